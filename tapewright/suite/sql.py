@@ -64,7 +64,7 @@ WINDOW w AS (PARTITION BY symbol ORDER BY open_time),
 WINDOW w14 AS (PARTITION BY symbol ORDER BY open_time ROWS 13 PRECEDING))"""
 
 
-def _score() -> str:
+def score_sql() -> str:
     """The linear score with the fixed parameters written out."""
     terms = [repr(PARAMS["intercept"])]
     for name in FEATURES:
@@ -99,7 +99,7 @@ CTES = {
   strftime(make_timestamp((open_time + {HOUR}) * 1000), {ISO}) AS prediction_time,
   strftime(make_timestamp((open_time + {HOUR}) * 1000), '%Y-%m-%d %H:%M:%S') AS target_time,
   return_1, rsi, volatility_5, volume_ratio
-FROM (SELECT *, {_score()} AS s FROM features WHERE {NOT_NULL})""",
+FROM (SELECT *, {score_sql()} AS s FROM features WHERE {NOT_NULL})""",
     "levels": f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY symbol, timestamp, side
     ORDER BY abs(price - 1000), trade_id) AS level
 FROM (SELECT symbol, trade_time - trade_time % {DAY} + {DAY} AS timestamp, trade_id, quantity,
