@@ -48,9 +48,10 @@ def _edge(own: DataFrame, keys: list[str], order: list[Column], count: int) -> D
 
 def _lend(edge: DataFrame, frame: WindowSpec, columns: list[str]) -> DataFrame:
     """One copy of an edge row for each other block that has an edge row in ``frame``."""
-    borrowers = F.array_distinct(F.collect_list(BLOCK).over(frame))
+    reached = edge.withColumn("_reached", F.collect_list(BLOCK).over(frame))
+    borrowers = F.array_remove(F.array_distinct("_reached"), F.col(BLOCK))
     return (
-        edge.withColumn("_to", F.explode(F.array_remove(borrowers, F.col(BLOCK))))
+        reached.withColumn("_to", F.explode(borrowers))
         .select(*columns, F.col("_to").alias(BLOCK))
         .withColumn(OWN, F.lit(False))
     )

@@ -23,6 +23,21 @@ def batch_name(batch: DataFrame, batch_id: int) -> str:
     return f"{query}:{batch_id}"
 
 
+def write_partitions(rows: DataFrame, path: str, partitions: list[str]) -> None:
+    """Replace the partitions ``rows`` fall into.
+
+    Rebalancing brings a partition's rows together, so it becomes few files, and splits
+    a partition that is too large for one task.
+    """
+    (
+        rows.hint("rebalance", *map(F.col, partitions))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*partitions)
+        .parquet(path)
+    )
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists on whatever file system it names."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -73,18 +88,13 @@ class KeyedTable:
             rows = rows.persist()
             try:
                 merged = self._merge(spark, self.prepare(rows)).withColumn(STAGED_BATCH, F.lit(batch))
+                merged = merged.hint("rebalance", *map(F.col, self.partitions))
                 merged.write.mode("overwrite").partitionBy(*self.partitions).parquet(staged)
             finally:
                 rows.unpersist()
         result = _read_if_present(spark, staged)
         if result is not None:
-            (
-                result.drop(STAGED_BATCH)
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy(*self.partitions)
-                .parquet(self.path)
-            )
+            write_partitions(result.drop(STAGED_BATCH), self.path, self.partitions)
 
     @staticmethod
     def _holds(spark: SparkSession, staged: str, batch: str) -> bool:
@@ -139,13 +149,8 @@ def append_once(rows: DataFrame, path: str, time: str, batch: str) -> None:
     The batch name is a partition too, so a replayed batch overwrites its own files
     instead of appending them twice.
     """
-    (
-        rows.withColumns({"date": day_of(F.col(time)), "batch": F.lit(batch.replace(":", "-"))})
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("date", "batch")
-        .parquet(path)
-    )
+    named = rows.withColumns({"date": day_of(F.col(time)), "batch": F.lit(batch.replace(":", "-"))})
+    write_partitions(named, path, ["date", "batch"])
 
 
 def replace_table(rows: DataFrame, path: str) -> None:

@@ -10,6 +10,7 @@ from tapewright.operators import candles as op
 from tapewright.operators.joins import active_symbols, join_dim
 from tapewright.schemas import CASCADE, SOURCE_TAG, WIDTH_MS
 from tapewright.sources import tables
+from tapewright.sources.sinks import write_partitions
 from tapewright.suite.inputs import AS_OF, Inputs
 from tapewright.suite.registry import query
 from tapewright.suite.sql import rollup
@@ -194,7 +195,7 @@ WHERE interval = '1h' AND symbol IN ('click', 'view', 'error') AND open_time >=
 )
 def _scan(i: Inputs) -> DataFrame:
     stored = i.scratch("candles")
-    i.candle_table.write.partitionBy("interval", "date").parquet(stored)
+    write_partitions(i.candle_table, stored, ["interval", "date"])
     scanned = tables.scan_candles(i.spark.read.parquet(stored), "1h", ["click", "view", "error"], START, END)
     return scanned.withColumn("date", F.col("date").cast("string"))
 

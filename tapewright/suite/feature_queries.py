@@ -110,5 +110,3 @@ WHERE (SELECT count(*) FROM bars_5m WHERE open_time >= {RECENT}) < 40""",
 )
 def _fallback(i: Inputs) -> DataFrame:
     return recent_or_latest(i.bars("5m"), AS_OF).select("symbol", "open_time", "close")
-
-

@@ -192,7 +192,8 @@ class Inputs:
         from tapewright.sources.decode import normalize_depth
 
         feed = self.depth_feed.withColumn("value", F.to_json(F.struct("bids", "asks")))
-        return normalize_depth(feed, F.col("symbol"), F.col("timestamp"), levels=FEED_LEVELS)
+        books = normalize_depth(feed, F.col("symbol"), F.col("timestamp"), levels=FEED_LEVELS)
+        return books.withColumn("symbol", F.lower("symbol"))
 
     @property
     def quotes(self) -> DataFrame:
