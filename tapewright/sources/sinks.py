@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from tapewright.operators.serving import latest_per_key
-from tapewright.sources.tables import day_of
+from tapewright.sources.tables import CANDLE_PARTITIONS, day_of, read_partitioned
 
 
 #: Column of staged rows naming the micro-batch they belong to.
@@ -44,11 +43,11 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
-def _read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
+def _read_if_present(spark: SparkSession, path: str, partitions: dict[str, str]) -> DataFrame | None:
     if not _exists(spark, path):
         return None
     try:
-        return spark.read.parquet(path)
+        return read_partitioned(spark, path, partitions)
     except AnalysisException:
         return None  # folder without data files yet
 
@@ -66,11 +65,11 @@ class KeyedTable:
 
     path: str
     keys: list[str]
-    partitions: list[str]
+    partitions: dict[str, str]
     order: list[str] = field(default_factory=list)
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self.path)
+        return read_partitioned(spark, self.path, self.partitions)
 
     def prepare(self, rows: DataFrame) -> DataFrame:
         """Hook: derive partition columns."""
@@ -92,20 +91,19 @@ class KeyedTable:
                 merged.write.mode("overwrite").partitionBy(*self.partitions).parquet(staged)
             finally:
                 rows.unpersist()
-        result = _read_if_present(spark, staged)
+        result = _read_if_present(spark, staged, self.partitions)
         if result is not None:
-            write_partitions(result.drop(STAGED_BATCH), self.path, self.partitions)
+            write_partitions(result.drop(STAGED_BATCH), self.path, list(self.partitions))
 
-    @staticmethod
-    def _holds(spark: SparkSession, staged: str, batch: str) -> bool:
+    def _holds(self, spark: SparkSession, staged: str, batch: str) -> bool:
         if not _exists(spark, f"{staged}/_SUCCESS"):
             return False
-        found = _read_if_present(spark, staged)
+        found = _read_if_present(spark, staged, self.partitions)
         return found is not None and [r[0] for r in found.select(STAGED_BATCH).limit(1).collect()] == [batch]
 
     def _merge(self, spark: SparkSession, rows: DataFrame) -> DataFrame:
         new = latest_per_key(rows, self.keys, self.order) if self.order else rows.dropDuplicates(self.keys)
-        stored = _read_if_present(spark, self.path)
+        stored = _read_if_present(spark, self.path, self.partitions)
         if stored is None:
             return new
         # The partitions one batch touches are calendar days, so their list is short.
@@ -120,7 +118,7 @@ class KeyedTable:
         for values in touched:
             one = F.lit(True)
             for name, value in zip(self.partitions, values, strict=True):
-                one = one & (F.col(name) == (str(value) if isinstance(value, date) else value))
+                one = one & (F.col(name) == value)
             test = test | one
         return test
 
@@ -137,7 +135,7 @@ class CandleTable(KeyedTable):
     """Candles of all intervals, keyed by symbol, interval and open time."""
 
     def __init__(self, path: str, order: list[str] | None = None):
-        super().__init__(path, ["symbol", "interval", "open_time"], ["interval", "date"], order or [])
+        super().__init__(path, ["symbol", "interval", "open_time"], CANDLE_PARTITIONS, order or [])
 
     def prepare(self, rows: DataFrame) -> DataFrame:
         return rows.withColumn("date", day_of(F.col("open_time")))

@@ -7,7 +7,6 @@ from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tapewright.schemas import LOOKBACK_BARS, MODEL_PARAMS, SYMBOL_METADATA, SYMBOLS, TRAINING_DAYS, WIDTH_MS
 
@@ -84,10 +83,16 @@ def scan_recent(
     return time_range(df, start=as_of - periods * WIDTH_MS[interval])
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """A stored Parquet table; ``schema`` skips reading file footers for inference."""
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.parquet(path)
+#: Partition columns of the candle table. Left to inference, the folder name
+#: ``interval=1d`` reads as the number 1.0.
+CANDLE_PARTITIONS = {"interval": "string", "date": "string"}
+
+
+def read_partitioned(spark: SparkSession, path: str, partitions: dict[str, str]) -> DataFrame:
+    """A stored table with its partition columns in given types."""
+    fields = spark.read.parquet(path).schema.fields
+    typed = ", ".join(f"`{f.name}` {partitions.get(f.name, f.dataType.simpleString())}" for f in fields)
+    return spark.read.schema(typed).parquet(path)
 
 
 def symbol_metadata(spark: SparkSession, rows: list[tuple] | None = None) -> DataFrame:

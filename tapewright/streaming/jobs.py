@@ -116,7 +116,7 @@ def start_klines(
 
 def book_table(path: str) -> KeyedTable:
     """Latest top of book, one row per symbol; ``shard`` is its only partition."""
-    return KeyedTable(path, ["symbol", "shard"], ["shard"], ["timestamp"])
+    return KeyedTable(path, ["symbol", "shard"], {"shard": "int"}, ["timestamp"])
 
 
 def start_book(

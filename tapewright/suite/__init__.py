@@ -6,7 +6,9 @@ from tapewright.suite import (  # noqa: F401
     decode_queries,
     feature_queries,
     market_queries,
+    model_queries,
     serving_queries,
+    stream_queries,
 )
 from tapewright.suite.registry import ORACLES, QUERIES
 

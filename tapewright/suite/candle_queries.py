@@ -196,8 +196,8 @@ WHERE interval = '1h' AND symbol IN ('click', 'view', 'error') AND open_time >=
 def _scan(i: Inputs) -> DataFrame:
     stored = i.scratch("candles")
     write_partitions(i.candle_table, stored, ["interval", "date"])
-    scanned = tables.scan_candles(i.spark.read.parquet(stored), "1h", ["click", "view", "error"], START, END)
-    return scanned.withColumn("date", F.col("date").cast("string"))
+    candles = tables.read_partitioned(i.spark, stored, tables.CANDLE_PARTITIONS)
+    return tables.scan_candles(candles, "1h", ["click", "view", "error"], START, END)
 
 
 @query(

@@ -171,7 +171,7 @@ def _upsert(i: Inputs) -> DataFrame:
     table.upsert(bars.where(F.col("open_time") < BOUND).withColumn("source", F.lit("first")))
     for _ in range(2):
         table.upsert(bars.where(F.col("open_time") >= BOUND).withColumn("source", F.lit("second")))
-    return table.read(i.spark).withColumn("date", F.col("date").cast("string"))
+    return table.read(i.spark)
 
 
 @query(
