@@ -55,9 +55,17 @@ def pair_stats(klines: DataFrame, trades: DataFrame, interval: str = "1m") -> Da
     return ends.select("symbol", F.col("rows").alias("messages"), F.col("last").alias("last_price"))
 
 
-def pair_total(stats: DataFrame) -> DataFrame:
-    """Messages over all symbols."""
-    return stats.agg(F.coalesce(F.sum("messages"), F.lit(0)).alias("total_messages"))
+def pair_report(stats: DataFrame) -> DataFrame:
+    """``pair_stats`` with one more row, symbol ``TOTAL``, over all symbols."""
+    is_total = F.grouping("symbol") == 1
+    summed = stats.rollup("symbol").agg(
+        is_total.alias("_total"), F.sum("messages").alias("messages"), F.max("last_price").alias("last_price")
+    )
+    return summed.select(
+        F.when(F.col("_total"), F.lit("TOTAL")).otherwise(F.col("symbol")).alias("symbol"),
+        "messages",
+        F.when(~F.col("_total"), F.col("last_price")).alias("last_price"),
+    )
 
 
 def throughput(df: DataFrame, time: str, keys: list[str], width_ms: int = 60_000) -> DataFrame:

@@ -74,5 +74,6 @@ def recent_or_latest(
 def forecast(candles: DataFrame, params: Mapping, as_of: int, interval: str = "5m") -> DataFrame:
     """One prediction per symbol from its newest complete feature row."""
     source = recent_or_latest(candles, as_of, interval)
-    newest = latest_row(features(source, interval))
+    # At most a few dozen candles per symbol, so each symbol is handled in one piece.
+    newest = latest_row(features(source, interval, block_bars=None))
     return predictions(clean(newest, None), params, iso_time(F.lit(as_of).cast("bigint")), interval)

@@ -84,16 +84,25 @@ class KeyedTable:
         spark = rows.sparkSession
         staged = f"{self.path.rstrip('/')}__staging/{writer}"
         if batch is None or not self._holds(spark, staged, batch):
-            rows = rows.persist()
+            rows = self.prepare(rows).persist()
             try:
-                merged = self._merge(spark, self.prepare(rows)).withColumn(STAGED_BATCH, F.lit(batch))
-                merged = merged.hint("rebalance", *map(F.col, self.partitions))
-                merged.write.mode("overwrite").partitionBy(*self.partitions).parquet(staged)
+                if not self._stage(spark, rows, staged, batch):
+                    return
             finally:
                 rows.unpersist()
-        result = _read_if_present(spark, staged, self.partitions)
-        if result is not None:
-            write_partitions(result.drop(STAGED_BATCH), self.path, list(self.partitions))
+        result = read_partitioned(spark, staged, self.partitions).drop(STAGED_BATCH)
+        write_partitions(result, self.path, list(self.partitions))
+
+    def _stage(self, spark: SparkSession, rows: DataFrame, staged: str, batch: str | None) -> bool:
+        """Write the merged partitions; false when there are no rows to merge."""
+        # The partitions one batch touches are calendar days, so their list is short.
+        touched = [tuple(r) for r in rows.select(*self.partitions).distinct().collect()]
+        if not touched:
+            return False
+        merged = self._merge(spark, rows, touched).withColumn(STAGED_BATCH, F.lit(batch))
+        rebalanced = merged.hint("rebalance", *map(F.col, self.partitions))
+        rebalanced.write.mode("overwrite").partitionBy(*self.partitions).parquet(staged)
+        return True
 
     def _holds(self, spark: SparkSession, staged: str, batch: str) -> bool:
         if not _exists(spark, f"{staged}/_SUCCESS"):
@@ -101,13 +110,12 @@ class KeyedTable:
         found = _read_if_present(spark, staged, self.partitions)
         return found is not None and [r[0] for r in found.select(STAGED_BATCH).limit(1).collect()] == [batch]
 
-    def _merge(self, spark: SparkSession, rows: DataFrame) -> DataFrame:
+    def _merge(self, spark: SparkSession, rows: DataFrame, touched: list[tuple]) -> DataFrame:
+        """Stored rows of the touched partitions with the new rows over them."""
         new = latest_per_key(rows, self.keys, self.order) if self.order else rows.dropDuplicates(self.keys)
         stored = _read_if_present(spark, self.path, self.partitions)
         if stored is None:
             return new
-        # The partitions one batch touches are calendar days, so their list is short.
-        touched = [tuple(r) for r in new.select(*self.partitions).distinct().collect()]
         old = stored.where(self._in_partitions(touched))
         names = [*stored.columns, *(c for c in new.columns if c not in stored.columns)]
         both = old.alias("o").join(new.alias("n").withColumn("_new", F.lit(True)), self.keys, "full_outer")

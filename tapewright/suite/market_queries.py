@@ -87,18 +87,18 @@ def _flow(i: Inputs) -> DataFrame:
     return activity.trade_flow(i.tape)
 
 
+PAIR_STATS = """SELECT symbol, count(*) AS messages, last(price ORDER BY time, trade_id) AS last_price
+FROM (SELECT symbol, trade_time AS time, trade_id, price FROM tape
+  UNION ALL SELECT symbol, event_time, 0, close FROM klines_1m) GROUP BY symbol"""
+
+
 @query(
     "pair_stats",
-    """SELECT symbol, messages, last_price, CAST(sum(messages) OVER () AS BIGINT) AS total_messages
-FROM (SELECT symbol, count(*) AS messages, last(price ORDER BY time, trade_id) AS last_price
-FROM (SELECT symbol, trade_time AS time, trade_id, price FROM tape
-  UNION ALL SELECT symbol, event_time, 0, close FROM klines_1m) GROUP BY symbol)""",
+    f"""{PAIR_STATS} UNION ALL
+SELECT 'TOTAL', CAST(sum(messages) AS BIGINT), NULL FROM ({PAIR_STATS})""",
 )
 def _pairs(i: Inputs) -> DataFrame:
-    stats = activity.pair_stats(i.klines("1m"), i.tape)
-    # One row on the right: the total over all symbols.
-    total = activity.pair_total(stats).withColumn("_one", F.lit(1))
-    return stats.withColumn("_one", F.lit(1)).join(total, "_one").drop("_one")
+    return activity.pair_report(activity.pair_stats(i.klines("1m"), i.tape))
 
 
 @query(
