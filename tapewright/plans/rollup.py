@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tapewright.operators.candles import BAR_COLUMNS, cascade, cascade_step, last_closed_bounds
+from tapewright.operators.candles import cascade, cascade_step, last_closed_bounds
+from tapewright.plans.forecast import iso_time
 from tapewright.schemas import CASCADE
 from tapewright.sources.sinks import CandleTable
 from tapewright.sources.tables import scan_candles
@@ -22,7 +24,8 @@ def roll_last_closed(spark: SparkSession, table: CandleTable, interval: str, as_
     """
     start, end = last_closed_bounds(interval, as_of)
     source = scan_candles(table.read(spark), finer(interval), start=start, end=end)
-    table.upsert(cascade_step(source, interval, as_of).select(*BAR_COLUMNS, "source"))
+    made = iso_time(F.lit(as_of).cast("bigint"))
+    table.upsert(cascade_step(source, interval, as_of).withColumn("created_at", made))
 
 
 def backfill(candles_1m: DataFrame, interval: str) -> DataFrame:

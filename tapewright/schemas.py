@@ -76,6 +76,19 @@ CANDLE = _record(
     *("taker_buy_volume DOUBLE", "vwap DOUBLE"),
 )
 
+#: The stored candle table: one fixed layout for every writer, so partitions written by
+#: different jobs read alike and no file footer is needed to know the columns. What a
+#: writer does not provide is NULL.
+STORED_CANDLE = T.StructType(
+    [
+        *CANDLE.fields,
+        *_record("name STRING", "category STRING", "is_closed BOOLEAN", "price_change_pct DOUBLE").fields,
+        *_record("candle_type STRING", "body_size DOUBLE", "upper_shadow DOUBLE", "lower_shadow DOUBLE").fields,
+        *_record("first_open_time BIGINT", "last_close_time BIGINT", "event_time BIGINT").fields,
+        *_record("created_at STRING", "source STRING", "date STRING").fields,
+    ]
+)
+
 _NUMBERS = T.MapType(T.StringType(), T.DoubleType())
 MODEL_PARAMS = T.StructType(
     [

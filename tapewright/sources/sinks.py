@@ -6,10 +6,11 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql import types as T
 
 from tapewright.operators.serving import latest_per_key
-from tapewright.sources.tables import CANDLE_PARTITIONS, day_of, read_partitioned
+from tapewright.schemas import STORED_CANDLE
+from tapewright.sources.tables import day_of
 
 
 #: Column of staged rows naming the micro-batch they belong to.
@@ -43,15 +44,6 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
-def _read_if_present(spark: SparkSession, path: str, partitions: dict[str, str]) -> DataFrame | None:
-    if not _exists(spark, path):
-        return None
-    try:
-        return read_partitioned(spark, path, partitions)
-    except AnalysisException:
-        return None  # folder without data files yet
-
-
 @dataclass
 class KeyedTable:
     """A Parquet table with a unique key and last-write-wins upserts.
@@ -64,12 +56,13 @@ class KeyedTable:
     """
 
     path: str
+    schema: T.StructType
     keys: list[str]
-    partitions: dict[str, str]
+    partitions: list[str]
     order: list[str] = field(default_factory=list)
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return read_partitioned(spark, self.path, self.partitions)
+        return spark.read.schema(self.schema).parquet(self.path)
 
     def prepare(self, rows: DataFrame) -> DataFrame:
         """Hook: derive partition columns."""
@@ -82,6 +75,9 @@ class KeyedTable:
         micro-batch that may be replayed, unique over the writer's lifetime.
         """
         spark = rows.sparkSession
+        unknown = set(rows.columns) - set(self.schema.fieldNames())
+        if unknown:
+            raise ValueError(f"columns not in the table: {sorted(unknown)}")
         staged = f"{self.path.rstrip('/')}__staging/{writer}"
         if batch is None or not self._holds(spark, staged, batch):
             rows = self.prepare(rows).persist()
@@ -90,8 +86,8 @@ class KeyedTable:
                     return
             finally:
                 rows.unpersist()
-        result = read_partitioned(spark, staged, self.partitions).drop(STAGED_BATCH)
-        write_partitions(result, self.path, list(self.partitions))
+        result = self._staged(spark, staged).drop(STAGED_BATCH)
+        write_partitions(result, self.path, self.partitions)
 
     def _stage(self, spark: SparkSession, rows: DataFrame, staged: str, batch: str | None) -> bool:
         """Write the merged partitions; false when there are no rows to merge."""
@@ -104,22 +100,30 @@ class KeyedTable:
         rebalanced.write.mode("overwrite").partitionBy(*self.partitions).parquet(staged)
         return True
 
+    def _staged(self, spark: SparkSession, staged: str) -> DataFrame:
+        layout = T.StructType([*self.schema.fields, T.StructField(STAGED_BATCH, T.StringType())])
+        return spark.read.schema(layout).parquet(staged)
+
     def _holds(self, spark: SparkSession, staged: str, batch: str) -> bool:
+        """Whether the staging folder holds the complete result of ``batch``."""
         if not _exists(spark, f"{staged}/_SUCCESS"):
             return False
-        found = _read_if_present(spark, staged, self.partitions)
-        return found is not None and [r[0] for r in found.select(STAGED_BATCH).limit(1).collect()] == [batch]
+        return [r[0] for r in self._staged(spark, staged).select(STAGED_BATCH).limit(1).collect()] == [batch]
 
     def _merge(self, spark: SparkSession, rows: DataFrame, touched: list[tuple]) -> DataFrame:
         """Stored rows of the touched partitions with the new rows over them."""
         new = latest_per_key(rows, self.keys, self.order) if self.order else rows.dropDuplicates(self.keys)
-        stored = _read_if_present(spark, self.path, self.partitions)
-        if stored is None:
-            return new
-        old = stored.where(self._in_partitions(touched))
-        names = [*stored.columns, *(c for c in new.columns if c not in stored.columns)]
+        given = [c for c in self.schema.fieldNames() if c in new.columns]
+        if not _exists(spark, self.path):
+            return new.select(*given)
+        old = self.read(spark).where(self._in_partitions(touched))
         both = old.alias("o").join(new.alias("n").withColumn("_new", F.lit(True)), self.keys, "full_outer")
-        return both.select(*self.keys, *(self._field(c, old, new) for c in names if c not in self.keys))
+        fields = [
+            F.when(F.col("_new"), F.col(f"n.{c}")).otherwise(F.col(f"o.{c}")).alias(c) if c in given else F.col(f"o.{c}")
+            for c in self.schema.fieldNames()
+            if c not in self.keys
+        ]
+        return both.select(*self.keys, *fields)
 
     def _in_partitions(self, touched: list[tuple]) -> Column:
         test = F.lit(False)
@@ -130,20 +134,12 @@ class KeyedTable:
             test = test | one
         return test
 
-    @staticmethod
-    def _field(name: str, old: DataFrame, new: DataFrame) -> Column:
-        if name not in new.columns:
-            return F.col(f"o.{name}")
-        if name not in old.columns:
-            return F.col(f"n.{name}")
-        return F.when(F.col("_new"), F.col(f"n.{name}")).otherwise(F.col(f"o.{name}")).alias(name)
-
 
 class CandleTable(KeyedTable):
     """Candles of all intervals, keyed by symbol, interval and open time."""
 
     def __init__(self, path: str, order: list[str] | None = None):
-        super().__init__(path, ["symbol", "interval", "open_time"], CANDLE_PARTITIONS, order or [])
+        super().__init__(path, STORED_CANDLE, ["symbol", "interval", "open_time"], ["interval", "date"], order or [])
 
     def prepare(self, rows: DataFrame) -> DataFrame:
         return rows.withColumn("date", day_of(F.col("open_time")))

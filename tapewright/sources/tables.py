@@ -83,18 +83,6 @@ def scan_recent(
     return time_range(df, start=as_of - periods * WIDTH_MS[interval])
 
 
-#: Partition columns of the candle table. Left to inference, the folder name
-#: ``interval=1d`` reads as the number 1.0.
-CANDLE_PARTITIONS = {"interval": "string", "date": "string"}
-
-
-def read_partitioned(spark: SparkSession, path: str, partitions: dict[str, str]) -> DataFrame:
-    """A stored table with its partition columns in given types."""
-    fields = spark.read.parquet(path).schema.fields
-    typed = ", ".join(f"`{f.name}` {partitions.get(f.name, f.dataType.simpleString())}" for f in fields)
-    return spark.read.schema(typed).parquet(path)
-
-
 def symbol_metadata(spark: SparkSession, rows: list[tuple] | None = None) -> DataFrame:
     """The symbol dimension, one row per symbol, as literals in the plan."""
     names = SYMBOL_METADATA.fieldNames()

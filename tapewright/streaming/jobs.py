@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tapewright.functions import candle
@@ -13,7 +14,7 @@ from tapewright.operators import candles as bars
 from tapewright.operators import ranking as ranks
 from tapewright.operators.joins import broadcast_if_small
 from tapewright.operators.state import latest_book
-from tapewright.schemas import DURATION, LATENESS, TRIGGER
+from tapewright.schemas import BOOK_TOP, DURATION, LATENESS, TRIGGER
 from tapewright.sources.sinks import CandleTable, KeyedTable, append_once, batch_name, replace_table
 
 Writer = Callable[[DataFrame, int], None]
@@ -116,7 +117,7 @@ def start_klines(
 
 def book_table(path: str) -> KeyedTable:
     """Latest top of book, one row per symbol; ``shard`` is its only partition."""
-    return KeyedTable(path, ["symbol", "shard"], {"shard": "int"}, ["timestamp"])
+    return KeyedTable(path, T.StructType(BOOK_TOP.fields).add("shard", "int"), ["symbol", "shard"], ["shard"], ["timestamp"])
 
 
 def start_book(
@@ -133,7 +134,8 @@ def start_book(
         batch_key = batch_name(batch, batch_id)
         append_once(batch, history_path, "timestamp", batch_key)
         shard = F.pmod(F.hash("symbol"), F.lit(shards))
-        latest.upsert(latest_book(batch).withColumn("shard", shard), "book", batch_key)
+        tops = latest_book(batch).select(*BOOK_TOP.fieldNames()).withColumn("shard", shard)
+        latest.upsert(tops, "book", batch_key)
 
     return run(tops, "book", "append", write, checkpoint, every)
 

@@ -10,7 +10,7 @@ from tapewright.operators import candles as op
 from tapewright.operators.joins import active_symbols, join_dim
 from tapewright.schemas import CASCADE, SOURCE_TAG, WIDTH_MS
 from tapewright.sources import tables
-from tapewright.sources.sinks import write_partitions
+from tapewright.sources.sinks import CandleTable, write_partitions
 from tapewright.suite.inputs import AS_OF, Inputs
 from tapewright.suite.registry import query
 from tapewright.suite.sql import rollup
@@ -196,8 +196,8 @@ WHERE interval = '1h' AND symbol IN ('click', 'view', 'error') AND open_time >=
 def _scan(i: Inputs) -> DataFrame:
     stored = i.scratch("candles")
     write_partitions(i.candle_table, stored, ["interval", "date"])
-    candles = tables.read_partitioned(i.spark, stored, tables.CANDLE_PARTITIONS)
-    return tables.scan_candles(candles, "1h", ["click", "view", "error"], START, END)
+    scanned = tables.scan_candles(CandleTable(stored).read(i.spark), "1h", ["click", "view", "error"], START, END)
+    return scanned.select(*op.BAR_COLUMNS, "date")
 
 
 @query(

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapewright.operators import ranking, serving, state
+from tapewright.operators.candles import BAR_COLUMNS
 from tapewright.schemas import TTL_SECONDS
 from tapewright.sources import sinks
 from tapewright.suite.inputs import AS_OF, Inputs
@@ -171,7 +172,7 @@ def _upsert(i: Inputs) -> DataFrame:
     table.upsert(bars.where(F.col("open_time") < BOUND).withColumn("source", F.lit("first")))
     for _ in range(2):
         table.upsert(bars.where(F.col("open_time") >= BOUND).withColumn("source", F.lit("second")))
-    return table.read(i.spark)
+    return table.read(i.spark).select(*BAR_COLUMNS, "date", "source")
 
 
 @query(

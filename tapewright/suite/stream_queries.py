@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tapewright.operators.candles import BAR_COLUMNS
 from tapewright.schemas import BOOK_TOP, KLINE, MAX_TRADES_PER_TRIGGER, TRADE
 from tapewright.sources.decode import decode_json
 from tapewright.sources.sinks import CandleTable
@@ -17,6 +18,7 @@ from tapewright.suite.inputs import Inputs
 from tapewright.suite.registry import query
 
 SUMS = "quote_volume vwap"
+GEOMETRY = ["price_change_pct", "candle_type", "body_size", "upper_shadow", "lower_shadow"]
 
 
 def json_stream(i: Inputs, rows: DataFrame, schema: T.StructType, max_files: int | None = None) -> DataFrame:
@@ -33,9 +35,9 @@ def drained(i: Inputs, stream: DataFrame, name: str) -> DataFrame:
     return i.spark.read.parquet(path)
 
 
-def stored_candles(i: Inputs, table: CandleTable, queries: list[StreamingQuery]) -> DataFrame:
+def stored_candles(i: Inputs, table: CandleTable, queries: list[StreamingQuery], *more: str) -> DataFrame:
     await_all(queries)
-    return table.read(i.spark).drop("date")
+    return table.read(i.spark).select(*BAR_COLUMNS, *more)
 
 
 @query(
@@ -70,7 +72,7 @@ def _dim(i: Inputs) -> DataFrame:
     table = CandleTable(i.scratch("candles"))
     stream = json_stream(i, i.trades, TRADE)
     query_ = jobs.start_ohlcv(stream, "4h", table, i.scratch("checkpoint"), _stream_dim(i), None)
-    return stored_candles(i, table, [query_])
+    return stored_candles(i, table, [query_], "name", "category")
 
 
 def _stream_dim(i: Inputs) -> DataFrame:
@@ -93,7 +95,8 @@ FROM klines_1m WHERE is_closed""",
 def _enrich(i: Inputs) -> DataFrame:
     table = CandleTable(i.scratch("candles"), ["event_time"])
     stream = json_stream(i, i.klines(), KLINE)
-    return stored_candles(i, table, [jobs.start_klines(stream, table, i.scratch("checkpoint"), every=None)])
+    running = jobs.start_klines(stream, table, i.scratch("checkpoint"), every=None)
+    return stored_candles(i, table, [running], *GEOMETRY, "is_closed", "event_time")
 
 
 @query(
@@ -127,7 +130,7 @@ def _replay(i: Inputs) -> DataFrame:
     stream = json_stream(i, i.trades, TRADE)
     for _ in range(2):
         await_all([jobs.start_ohlcv(stream, "1d", table, i.scratch("checkpoint"), every=None)])
-    return table.read(i.spark).drop("date")
+    return table.read(i.spark).select(*BAR_COLUMNS)
 
 
 @query(
@@ -140,7 +143,8 @@ def _several(i: Inputs) -> DataFrame:
     checkpoint = i.scratch("checkpoint")
     stored = {interval: CandleTable(i.scratch(interval)) for interval in ("4h", "1d")}
     await_all([jobs.start_ohlcv(stream, n, table, checkpoint, every=None) for n, table in stored.items()])
-    return stored["4h"].read(i.spark).unionByName(stored["1d"].read(i.spark)).drop("date")
+    both = stored["4h"].read(i.spark).unionByName(stored["1d"].read(i.spark))
+    return both.select(*BAR_COLUMNS)
 
 
 @query("stream_rate_limit", "SELECT count(*) AS trades, true AS limited FROM tape")
