@@ -8,17 +8,22 @@ from pyspark.sql import functions as F
 from tapewright.functions import candle
 from tapewright.schemas import WIDTH_MS
 
-#: Most rows a side may have to be broadcast.
+#: Most rows and most bytes (as JSON text) a side may have to be broadcast.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 32 * 1024 * 1024
 
 
-def broadcast_if_small(side: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint behind a row check that reads at most ``max_rows + 1`` rows.
+def broadcast_if_small(
+    side: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Broadcast hint behind a size check that looks at ``max_rows + 1`` rows at most.
 
     A larger side is left to the optimizer: a shuffled join whose hot keys adaptive
     execution splits.
     """
-    return F.broadcast(side) if side.limit(max_rows + 1).count() <= max_rows else side
+    width = F.octet_length(F.to_json(F.struct(*side.columns)))
+    rows, size = side.limit(max_rows + 1).agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).collect()[0]
+    return F.broadcast(side) if rows <= max_rows and size <= max_bytes else side
 
 
 def join_dim(facts: DataFrame, dim: DataFrame, key: str = "symbol") -> DataFrame:

@@ -98,7 +98,7 @@ def sentiment(ranked: DataFrame) -> DataFrame:
         F.count_if(change < 0).alias("losers"),
         F.count("*").alias("total"),
     )
-    share = F.floor(F.try_divide(F.col("gainers") * 100, F.col("total")) + 0.5)
+    share = F.floor(F.try_divide("gainers", "total") * 100 + 0.5)
     scored = counts.withColumn("score", F.coalesce(share, F.lit(50)).cast("bigint"))
     return scored.withColumn("label", candle.banded(F.col("score"), SENTIMENT_BANDS, SENTIMENT_FLOOR))
 

@@ -26,18 +26,18 @@ def candles_latest(
     candles: DataFrame, symbol: str, interval: str = "5m", n: int = 200, start: int | None = None, end: int | None = None
 ) -> DataFrame:
     """Newest ``n`` candles within optional inclusive bounds, oldest first."""
-    return _newest(time_range(_of(candles, symbol, interval), start, end), n).orderBy("open_time")
+    return _newest(time_range(_of(candles, symbol, interval), start, end, interval=interval), n).orderBy("open_time")
 
 
 def candles_page_before(candles: DataFrame, symbol: str, start: int, interval: str = "1m", n: int = 200) -> DataFrame:
     """Newest ``n`` candles strictly before ``start``; of these the closed ones, oldest first."""
-    page = _newest(time_range(_of(candles, symbol, interval), end=start, closed=False), n)
+    page = _newest(time_range(_of(candles, symbol, interval), end=start, closed=False, interval=interval), n)
     return page.where(closed_flag(candles.columns)).orderBy("open_time")
 
 
 def candles_page_until(candles: DataFrame, symbol: str, end: int, interval: str = "1m", n: int = 200) -> DataFrame:
     """First ``n`` candles up to ``end``; of these the closed ones, oldest first."""
-    page = time_range(_of(candles, symbol, interval), end=end).orderBy("open_time").limit(n)
+    page = time_range(_of(candles, symbol, interval), end=end, interval=interval).orderBy("open_time").limit(n)
     return page.where(closed_flag(candles.columns)).orderBy("open_time")
 
 

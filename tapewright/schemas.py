@@ -102,6 +102,10 @@ MODEL_PARAMS = T.StructType(
     ]
 )
 
+#: Span of one partition of the candle table per interval. A partition is what an upsert
+#: rewrites and what one file holds: a day of minutes, but a year of daily candles.
+PARTITION_SPAN = {"1m": "day", "5m": "day", "1h": "month", "4h": "month", "1d": "year"}
+
 # --- fixed values: these must equal the published system's for equal results ---
 
 #: Candle widths in milliseconds.

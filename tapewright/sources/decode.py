@@ -20,19 +20,28 @@ from tapewright.schemas import (
 )
 
 
+def parse_once(df: DataFrame, record: Column, name: str) -> DataFrame:
+    """Add ``record`` as a column that is computed exactly once per row.
+
+    A projected ``from_json`` is copied into every later filter and field access; the
+    output of a generator is not.
+    """
+    return df.withColumn(name, F.explode(F.array(record)))
+
+
 def decode_json(messages: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
     """Decode a JSON column into the columns of ``schema``.
 
     A bad field becomes NULL; a record with no readable field gives no row and is
     found by ``quarantine``.
     """
-    parsed = messages.select(F.from_json(F.col(value).cast("string"), schema).alias("m"))
-    return parsed.where(~_unreadable("m", schema)).select("m.*")
+    parsed = parse_once(messages, F.from_json(F.col(value).cast("string"), schema), "_m")
+    return parsed.where(~_unreadable("_m", schema)).select("_m.*")
 
 
 def quarantine(messages: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
     """The records ``decode_json`` leaves out, unchanged."""
-    parsed = messages.withColumn("_m", F.from_json(F.col(value).cast("string"), schema))
+    parsed = parse_once(messages, F.from_json(F.col(value).cast("string"), schema), "_m")
     return parsed.where(_unreadable("_m", schema)).drop("_m")
 
 
@@ -50,7 +59,7 @@ def _stamp(time_ms: Column | None) -> Column:
 
 def normalize_trade(messages: DataFrame, value: str = "value", ingestion_time: Column | None = None) -> DataFrame:
     """Exchange trade messages to the trade layout; a missing best-match flag is false."""
-    raw = messages.withColumn("_r", _record(F.col(value), RAW_TRADE, RAW_TRADE_NAMES))
+    raw = parse_once(messages, _record(F.col(value), RAW_TRADE, RAW_TRADE_NAMES), "_r")
     return raw.where("_r.kind = 'trade' AND _r.symbol IS NOT NULL").select(
         "_r.symbol",
         "_r.trade_id",
@@ -66,7 +75,7 @@ def normalize_trade(messages: DataFrame, value: str = "value", ingestion_time: C
 
 def normalize_kline(messages: DataFrame, value: str = "value", ingestion_time: Column | None = None) -> DataFrame:
     """Exchange candle messages (nested record) to the kline layout."""
-    raw = messages.withColumn("_r", _record(F.col(value), RAW_KLINE, RAW_KLINE_NAMES))
+    raw = parse_once(messages, _record(F.col(value), RAW_KLINE, RAW_KLINE_NAMES), "_r")
     numbers = ["open", "high", "low", "close", "volume", "quote_volume"]
     return raw.where("_r.kind = 'kline' AND _r.k.symbol IS NOT NULL").select(
         *(f"_r.k.{c}" for c in ("symbol", "interval", "open_time", "close_time")),
@@ -91,7 +100,7 @@ def normalize_depth(
     Best prices and spread are 0 for an empty side, with ``spread_valid`` telling a
     true zero spread from a missing one.
     """
-    raw = messages.withColumn("_d", F.from_json(F.col(value).cast("string"), RAW_DEPTH))
+    raw = parse_once(messages, F.from_json(F.col(value).cast("string"), RAW_DEPTH), "_d")
     sides = raw.where("_d.bids IS NOT NULL AND _d.asks IS NOT NULL").select(
         F.upper(symbol).alias("symbol"),
         book.parse_levels(F.col("_d.bids"), levels).alias("bids"),
@@ -119,17 +128,17 @@ def route_messages(messages: DataFrame, value: str = "value") -> DataFrame:
     carry their symbol only in the stream name).
     """
     raw = F.col(value).cast("string")
-    payload = F.coalesce(F.get_json_object(raw, "$.data"), raw)
-    event = F.get_json_object(F.col("payload"), "$.e")
-    has_book = (
-        F.get_json_object(F.col("payload"), "$.bids").isNotNull()
-        & F.get_json_object(F.col("payload"), "$.asks").isNotNull()
-    )
-    return (
-        messages.withColumn("payload", payload)
-        .withColumn("stream_symbol", stream_symbol(F.get_json_object(raw, "$.stream")))
-        .withColumn("kind", F.when(event.isin("kline", "trade"), event).when(has_book, F.lit("depth")))
-    )
+    outer = parse_once(messages, F.from_json(raw, "stream STRING, data STRING"), "_o")
+    unwrapped = outer.withColumn("payload", F.coalesce("_o.data", raw))
+    inner = parse_once(unwrapped, F.from_json("payload", "e STRING, bids STRING, asks STRING"), "_i")
+    event = F.col("_i.e")
+    has_book = F.col("_i.bids").isNotNull() & F.col("_i.asks").isNotNull()
+    return inner.withColumns(
+        {
+            "stream_symbol": stream_symbol(F.col("_o.stream")),
+            "kind": F.when(event.isin("kline", "trade"), event).when(has_book, F.lit("depth")),
+        }
+    ).drop("_o", "_i")
 
 
 def symbol_interval_filter(messages: DataFrame, symbol: str, interval: str | None = None) -> DataFrame:
@@ -173,7 +182,7 @@ def alias_coalesce(messages: DataFrame, value: str = "value") -> DataFrame:
     wire = T.StructType([T.StructField({"T_": "T"}.get(n, n), T.StringType()) for n in longs])
     renamed = T.StructType([T.StructField(n, T.StringType()) for n in longs])
     record = F.from_json(F.col(value).cast("string"), wire).cast(renamed)
-    flat = messages.select(record.alias("m")).select("m.*")
+    flat = parse_once(messages, record, "_m").select("_m.*")
     return flat.select(*(first_of(names, kind, default).alias(out) for out, names, kind, default in KLINE_ALIASES)).where(
         "symbol IS NOT NULL"
     )

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tapewright.operators.serving import latest_per_key
 from tapewright.schemas import STORED_CANDLE
-from tapewright.sources.tables import day_of
+from tapewright.sources.tables import day_of, partition_date
 
 
 #: Column of staged rows naming the micro-batch they belong to.
@@ -142,7 +142,7 @@ class CandleTable(KeyedTable):
         super().__init__(path, STORED_CANDLE, ["symbol", "interval", "open_time"], ["interval", "date"], order or [])
 
     def prepare(self, rows: DataFrame) -> DataFrame:
-        return rows.withColumn("date", day_of(F.col("open_time")))
+        return rows.withColumn("date", partition_date(F.col("interval"), F.col("open_time")))
 
 
 def append_once(rows: DataFrame, path: str, time: str, batch: str) -> None:

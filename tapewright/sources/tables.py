@@ -8,18 +8,43 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapewright.schemas import LOOKBACK_BARS, MODEL_PARAMS, SYMBOL_METADATA, SYMBOLS, TRAINING_DAYS, WIDTH_MS
+from tapewright.schemas import (
+    LOOKBACK_BARS,
+    MODEL_PARAMS,
+    PARTITION_SPAN,
+    SYMBOL_METADATA,
+    SYMBOLS,
+    TRAINING_DAYS,
+    WIDTH_MS,
+)
 
 DAY_MS = 86_400_000
 
 
 def day_of(time_ms: Column) -> Column:
-    """Partition value of a candle or event time."""
+    """Partition value of an event time."""
     return F.date_format(F.timestamp_millis(time_ms), "yyyy-MM-dd")
 
 
-def day_literal(time_ms: int) -> str:
-    return datetime.fromtimestamp(time_ms // 1000, tz=timezone.utc).strftime("%Y-%m-%d")
+def partition_date(interval: Column, time_ms: Column) -> Column:
+    """Partition value of a candle: first day of the span its interval is stored in."""
+    start = F.timestamp_millis(time_ms)
+    span = F.lit("day")
+    for name, value in PARTITION_SPAN.items():
+        span = F.when(interval == name, value).otherwise(span)
+    trimmed = F.when(span == "year", F.trunc(start, "year")).when(span == "month", F.trunc(start, "month"))
+    return F.date_format(trimmed.otherwise(start.cast("date")), "yyyy-MM-dd")
+
+
+def first_day(interval: str | None, time_ms: int) -> str:
+    """``partition_date`` of a known time; without an interval the earliest it can be."""
+    day = datetime.fromtimestamp(time_ms // 1000, tz=timezone.utc).date()
+    span = PARTITION_SPAN[interval] if interval else "year"
+    if span != "day":
+        day = day.replace(day=1)
+    if span == "year":
+        day = day.replace(month=1)
+    return day.isoformat()
 
 
 def time_range(
@@ -28,20 +53,22 @@ def time_range(
     end: int | None = None,
     column: str = "open_time",
     closed: bool = True,
+    interval: str | None = None,
 ) -> DataFrame:
     """Rows in ``[start, end]`` (or ``[start, end)``), either bound optional.
 
-    Also bounds the ``date`` partition when the table has one.
+    Also bounds the ``date`` partition when the table has one; naming the interval makes
+    that bound tight.
     """
     dated = "date" in df.columns
     if start is not None:
         df = df.where(F.col(column) >= start)
         if dated:
-            df = df.where(F.col("date") >= day_literal(start))
+            df = df.where(F.col("date") >= first_day(interval, start))
     if end is not None:
         df = df.where(F.col(column) <= end if closed else F.col(column) < end)
         if dated:
-            df = df.where(F.col("date") <= day_literal(end))
+            df = df.where(F.col("date") <= first_day("1m", end))
     return df
 
 
@@ -56,7 +83,7 @@ def scan_candles(
     df = candles.where(F.col("interval") == interval)
     if symbols is not None:
         df = df.where(F.col("symbol").isin(symbols))
-    return time_range(df, start, end, closed=False)
+    return time_range(df, start, end, closed=False, interval=interval)
 
 
 def scan_training_window(
@@ -66,7 +93,7 @@ def scan_training_window(
     df = candles.where(F.col("interval") == interval)
     if symbols is not None:
         df = df.where(F.col("symbol").isin(symbols))
-    return time_range(df, as_of - days * DAY_MS, as_of)
+    return time_range(df, as_of - days * DAY_MS, as_of, interval=interval)
 
 
 def scan_recent(
@@ -80,7 +107,7 @@ def scan_recent(
     df = candles.where(F.col("interval") == interval)
     if symbols is not None:
         df = df.where(F.col("symbol").isin(symbols))
-    return time_range(df, start=as_of - periods * WIDTH_MS[interval])
+    return time_range(df, start=as_of - periods * WIDTH_MS[interval], interval=interval)
 
 
 def symbol_metadata(spark: SparkSession, rows: list[tuple] | None = None) -> DataFrame:

@@ -117,7 +117,7 @@ def start_klines(
 
 def book_table(path: str) -> KeyedTable:
     """Latest top of book, one row per symbol; ``shard`` is its only partition."""
-    return KeyedTable(path, T.StructType(BOOK_TOP.fields).add("shard", "int"), ["symbol", "shard"], ["shard"], ["timestamp"])
+    return KeyedTable(path, T.StructType(BOOK_TOP.fields).add("shard", T.IntegerType()), ["symbol", "shard"], ["shard"], ["timestamp"])
 
 
 def start_book(

@@ -189,15 +189,14 @@ def _active(i: Inputs) -> DataFrame:
 
 @query(
     "scan_candles_range",
-    f"""SELECT *, strftime(make_timestamp(open_time * 1000), '%Y-%m-%d') AS date FROM candle_table
-WHERE interval = '1h' AND symbol IN ('click', 'view', 'error') AND open_time >= {START} AND open_time < {END}""",
+    f"""SELECT * FROM candle_table WHERE interval = '1h' AND symbol IN ('click', 'view', 'error') AND open_time >= {START} AND open_time < {END}""",
     SUMS,
 )
 def _scan(i: Inputs) -> DataFrame:
     stored = i.scratch("candles")
     write_partitions(i.candle_table, stored, ["interval", "date"])
     scanned = tables.scan_candles(CandleTable(stored).read(i.spark), "1h", ["click", "view", "error"], START, END)
-    return scanned.select(*op.BAR_COLUMNS, "date")
+    return scanned.select(*op.BAR_COLUMNS)
 
 
 @query(

@@ -75,6 +75,10 @@ PARAMS = {
 }
 
 
+#: The number in an event's ``{"k": <number>}`` properties.
+QUANTITY_PATTERN = r'"k":\s*(\d+)'
+
+
 class Inputs:
     """Inputs of one query run: a session and a folder of tables."""
 
@@ -101,7 +105,7 @@ class Inputs:
             F.col("event_type").alias("symbol"),
             F.col("event_id").alias("trade_id"),
             F.col("value").alias("price"),
-            F.get_json_object("props", "$.k").cast("double").alias("quantity"),
+            F.regexp_extract("props", QUANTITY_PATTERN, 1).cast("double").alias("quantity"),
             time.alias("trade_time"),
             (F.col("user_id") % 2 == 0).alias("is_buyer_maker"),
         )
@@ -128,9 +132,9 @@ class Inputs:
 
     @property
     def candle_table(self) -> DataFrame:
-        """Stored candles of three intervals with their partition day."""
+        """Stored candles of three intervals with their partition date."""
         bars = self.bars("5m").unionByName(self.bars("1h")).unionByName(self.bars("4h"))
-        return bars.withColumn("date", tables.day_of(F.col("open_time")))
+        return bars.withColumn("date", tables.partition_date(F.col("interval"), F.col("open_time")))
 
     def klines(self, *intervals: str) -> DataFrame:
         """Exchange candles; those not closed at the clock are still open."""
@@ -260,7 +264,7 @@ class Inputs:
             "user_id",
             "event_type",
             F.col("value").alias("price"),
-            F.get_json_object("props", "$.k").cast("double").alias("quantity"),
+            F.regexp_extract("props", QUANTITY_PATTERN, 1).cast("double").alias("quantity"),
             F.unix_millis(F.col("ts").cast("timestamp")).alias("trade_time"),
         )
         if start is not None:

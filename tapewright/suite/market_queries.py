@@ -48,7 +48,7 @@ WHERE percent_change {'<' if _losers else '>'} 0 ORDER BY position LIMIT 8""",
     "market_sentiment",
     """SELECT *, CASE WHEN score >= 70 THEN 'Greed' WHEN score >= 55 THEN 'Bullish' WHEN score >= 45 THEN 'Neutral'
   WHEN score >= 30 THEN 'Bearish' ELSE 'Fear' END AS label
-FROM (SELECT *, CAST(CASE WHEN total > 0 THEN floor(gainers * 100.0 / total + 0.5) ELSE 50 END AS BIGINT) AS score
+FROM (SELECT *, CAST(CASE WHEN total > 0 THEN floor(CAST(gainers AS DOUBLE) / total * 100 + 0.5) ELSE 50 END AS BIGINT) AS score
 FROM (SELECT CAST(count_if(percent_change > 0) AS BIGINT) AS gainers,
   CAST(count_if(percent_change < 0) AS BIGINT) AS losers, count(*) AS total FROM ranking))""",
 )

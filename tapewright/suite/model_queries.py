@@ -111,9 +111,12 @@ def _predictions(i: Inputs) -> DataFrame:
 
 @query(
     "ml_forecast_latest",
-    f"""SELECT symbol, open_time, close, predicted_price, direction,
-  strftime(make_timestamp({AS_OF} * 1000), '%Y-%m-%dT%H:%M:%S.%gZ') AS prediction_time, target_time
-FROM predictions QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY open_time DESC) = 1""",
+    f"""SELECT symbol, open_time, close, close * (1 + s / 100) AS predicted_price,
+  CASE WHEN s > 0 THEN 'UP' ELSE 'DOWN' END AS direction,
+  strftime(make_timestamp({AS_OF} * 1000), '%Y-%m-%dT%H:%M:%S.%gZ') AS prediction_time,
+  strftime(make_timestamp((open_time + 3600000) * 1000), '%Y-%m-%d %H:%M:%S') AS target_time
+FROM (SELECT *, {score_sql()} AS s FROM forecast_features
+  QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY open_time DESC) = 1) WHERE {NOT_NULL}""",
     "predicted_price",
 )
 def _forecast(i: Inputs) -> DataFrame:

@@ -160,8 +160,7 @@ def _unique(i: Inputs) -> DataFrame:
 
 @query(
     "sink_candle_upsert",
-    f"""SELECT * EXCLUDE (interval), interval, strftime(make_timestamp(open_time * 1000), '%Y-%m-%d') AS date,
-  CASE WHEN open_time >= {BOUND} THEN 'second' ELSE 'first' END AS source FROM bars_4h""",
+    f"""SELECT *, CASE WHEN open_time >= {BOUND} THEN 'second' ELSE 'first' END AS source FROM bars_4h""",
     SUMS,
 )
 def _upsert(i: Inputs) -> DataFrame:
@@ -172,7 +171,7 @@ def _upsert(i: Inputs) -> DataFrame:
     table.upsert(bars.where(F.col("open_time") < BOUND).withColumn("source", F.lit("first")))
     for _ in range(2):
         table.upsert(bars.where(F.col("open_time") >= BOUND).withColumn("source", F.lit("second")))
-    return table.read(i.spark).select(*BAR_COLUMNS, "date", "source")
+    return table.read(i.spark).select(*BAR_COLUMNS, "source")
 
 
 @query(

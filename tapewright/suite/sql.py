@@ -94,6 +94,11 @@ CTES = {
     "candle_table": "SELECT * FROM bars_5m UNION ALL SELECT * FROM bars_1h UNION ALL SELECT * FROM bars_4h",
     "features": _features("bars_1h"),
     "training": f"SELECT * FROM features WHERE target IS NOT NULL AND {NOT_NULL}",
+    "recent_1h": f"SELECT * FROM bars_1h WHERE open_time >= {AS_OF - 40 * WIDTH_MS['1h']}",
+    "forecast_bars": """SELECT * FROM recent_1h WHERE (SELECT count(*) FROM recent_1h) >= 40 UNION ALL
+SELECT * FROM (SELECT * FROM bars_1h QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY open_time DESC) <= 40)
+WHERE (SELECT count(*) FROM recent_1h) < 40""",
+    "forecast_features": _features("forecast_bars"),
     "predictions": f"""SELECT symbol, open_time, close, close * (1 + s / 100) AS predicted_price,
   s AS predicted_change_pct, CASE WHEN s > 0 THEN 'UP' ELSE 'DOWN' END AS direction,
   strftime(make_timestamp((open_time + {HOUR}) * 1000), {ISO}) AS prediction_time,

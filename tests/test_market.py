@@ -45,6 +45,9 @@ def test_top_n(ranked):
 def test_sentiment(ranked):
     row = ranking.sentiment(ranked).collect()[0]
     assert (row.gainers, row.losers, row.total, row.score, row.label) == (2, 1, 5, 40, "Bearish")
+    # 29 of 200: the share is 14.499999999999998 in floating point and rounds down.
+    many = ranked.sparkSession.range(200).selectExpr("IF(id < 29, 1.0D, -1.0D) AS percent_change")
+    assert ranking.sentiment(many).collect()[0].score == 14
     empty = ranking.sentiment(ranked.limit(0)).collect()[0]
     assert (empty.total, empty.score, empty.label) == (0, 50, "Neutral")
 
@@ -141,6 +144,7 @@ def test_broadcast_only_below_the_row_bound(spark):
         dim = spark.range(5).selectExpr("id AS symbol", "id AS v")
         assert "BroadcastHashJoin" in plan(facts.join(joins.broadcast_if_small(dim), "symbol", "left"))
         assert "BroadcastHashJoin" not in plan(facts.join(joins.broadcast_if_small(dim, 4), "symbol", "left"))
+        assert "BroadcastHashJoin" not in plan(facts.join(joins.broadcast_if_small(dim, max_bytes=9), "symbol", "left"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 

@@ -110,6 +110,18 @@ def test_scans_prune_partitions_and_push_filters(spark, tmp_path):
     assert "source" not in plan.split("ReadSchema")[1]
 
 
+@pytest.mark.parametrize("interval", ["1m", "5m", "1h", "4h", "1d"])
+def test_partition_bounds_lose_no_candle(spark, tmp_path, interval):
+    table = sinks.CandleTable(str(tmp_path / "t"))
+    times = [0, 20 * DAY, 40 * DAY, 364 * DAY, 365 * DAY]
+    table.upsert(spark.createDataFrame([("A", interval, t, 1.0, "x") for t in times], SCHEMA))
+    for start, end in [(0, 20 * DAY), (20 * DAY, 40 * DAY), (40 * DAY, 365 * DAY), (364 * DAY, 400 * DAY)]:
+        want = [(t,) for t in times if start <= t < end]
+        assert rows_of(tables.scan_candles(table.read(spark), interval, None, start, end), "open_time") == want
+        whole = tables.time_range(table.read(spark), start, end)
+        assert whole.count() == sum(start <= t <= end for t in times)
+
+
 def test_scan_windows(spark):
     df = spark.createDataFrame([("A", "5m", t * 300_000, 1.0, "x") for t in range(100)], SCHEMA)
     as_of = 99 * 300_000
