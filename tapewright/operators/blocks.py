@@ -6,9 +6,9 @@ reach into: the last ``back`` rows before it and the first ``ahead`` rows after
 counted in rows, however many blocks away they lie. Window functions partitioned by
 key and block then give the same answer as over the whole key.
 
-Cost: one shuffle of the rows by (key, block); the borrowed rows are found from at most
-``back + ahead`` rows per block, so what is handled per key grows with its number of
-blocks and not with its rows.
+Cost: one shuffle of the rows by (key, block), used both to hand a block its own rows and
+to find the rows near its ends. What is then handled per key is at most ``back + ahead``
+rows per block, so it grows with the number of blocks and not with the rows.
 """
 
 from __future__ import annotations
@@ -24,37 +24,38 @@ def with_borders(
 ) -> DataFrame:
     """``df`` plus borrowed rows; ``_block`` names the block a row serves, ``_own`` is
     false for borrowed rows. ``block`` must not decrease along ``order``."""
-    own = df.withColumn(BLOCK, block)
-    parts = [own.withColumn(OWN, F.lit(True))]
-    ascending = [F.col(c) for c in order]
-    along = Window.partitionBy(*keys).orderBy(*ascending)
-    if back:
-        last = _edge(own, keys, [c.desc() for c in ascending], back)
-        parts.append(_lend(last, along.rowsBetween(1, back), df.columns))
-    if ahead:
-        first = _edge(own, keys, ascending, ahead)
-        parts.append(_lend(first, along.rowsBetween(-ahead, -1), df.columns))
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
-
-
-def _edge(own: DataFrame, keys: list[str], order: list[Column], count: int) -> DataFrame:
-    """The ``count`` rows at one end of every block (pruned before the shuffle)."""
-    rank = F.row_number().over(Window.partitionBy(*keys, BLOCK).orderBy(*order))
-    return own.withColumn("_rank", rank).where(F.col("_rank") <= count).drop("_rank")
+    own = df.withColumn(BLOCK, block).repartition(*keys, BLOCK)
+    near = _near_ends(own, block_window(keys, order), back, ahead)
+    along = Window.partitionBy(*keys).orderBy(*order)
+    nothing = F.array().cast("array<bigint>")
+    # A row near its block's end serves the blocks that start within ``back`` rows after
+    # it, one near the start those that end within ``ahead`` rows before it. Every block
+    # between has all its rows among the near ones or too many rows to look through.
+    later = F.collect_list(BLOCK).over(along.rowsBetween(1, back)) if back else nothing
+    earlier = F.collect_list(BLOCK).over(along.rowsBetween(-ahead, -1)) if ahead else nothing
+    reached = near.withColumns({"_later": later, "_earlier": earlier})
+    served = F.array_union(
+        F.when(F.col("_last"), F.col("_later")).otherwise(nothing),
+        F.when(F.col("_first"), F.col("_earlier")).otherwise(nothing),
+    )
+    borrowed = (
+        reached.withColumn("_to", F.explode(F.array_remove(served, F.col(BLOCK))))
+        .select(*df.columns, F.col("_to").alias(BLOCK))
+        .repartition(*keys, BLOCK)
+    )
+    return own.withColumn(OWN, F.lit(True)).unionByName(borrowed.withColumn(OWN, F.lit(False)))
 
 
-def _lend(edge: DataFrame, frame: WindowSpec, columns: list[str]) -> DataFrame:
-    """One copy of an edge row for each other block that has an edge row in ``frame``."""
-    reached = edge.withColumn("_reached", F.collect_list(BLOCK).over(frame))
-    borrowers = F.array_remove(F.array_distinct("_reached"), F.col(BLOCK))
-    return (
-        reached.withColumn("_to", F.explode(borrowers))
-        .select(*columns, F.col("_to").alias(BLOCK))
-        .withColumn(OWN, F.lit(False))
+def _near_ends(own: DataFrame, within: WindowSpec, back: int, ahead: int) -> DataFrame:
+    """The last ``back`` and the first ``ahead`` rows of every block, marked as such."""
+    never = F.lit(False)
+    marked = own.withColumns(
+        {
+            "_last": F.lead(F.lit(1), back).over(within).isNull() if back else never,
+            "_first": F.lag(F.lit(1), ahead).over(within).isNull() if ahead else never,
+        }
     )
+    return marked.where(F.col("_last") | F.col("_first"))
 
 
 def block_window(keys: list[str], order: list[str]) -> WindowSpec:

@@ -69,12 +69,12 @@ def test_newest_rows_are_cut_before_the_shuffle(inputs, plan):
         assert partial
 
 
-def test_features_shuffle_rows_by_block_and_sort_them_once(inputs, plan):
+def test_features_shuffle_rows_by_block_once(inputs, plan):
     text = plan(inputs.features())
-    main = text.split("Union")[0]
-    assert main.count("Exchange") == 1 and main.count("Sort [") == 1
-    assert "hashpartitioning(symbol" in main and "_block" in main
-    assert text.count("FileScan") == 1  # the borrowed rows reuse the candles' shuffle
+    above, below = text.split("Union", 1)
+    assert "Exchange" not in above and above.count("Sort [") == 1  # the union keeps the partitioning
+    assert re.search(r"Exchange hashpartitioning\(symbol#\d+, _block#\d+L, 8\), REPARTITION_BY_COL", below)
+    assert "ReusedExchange" in below and text.count("FileScan") == 1  # found from the same shuffle
 
 
 def test_every_query_but_the_fitted_ones_has_sql():
