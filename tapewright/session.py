@@ -49,6 +49,10 @@ def stream_session(spark: SparkSession, state_partitions: int | None = None) ->
     return child
 
 
+#: Temporary folder of each local session that names no shared one.
+_local_roots: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Folder for checkpoints and intermediate tables, visible to every executor.
 
@@ -58,11 +62,12 @@ def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if context.applicationId not in _local_roots:
+        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    return _local_roots[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -13,10 +13,6 @@ from tapewright.schemas import STORED_CANDLE
 from tapewright.sources.tables import day_of, partition_date
 
 
-#: Column of staged rows naming the micro-batch they belong to.
-STAGED_BATCH = "_staged_batch"
-
-
 def batch_name(batch: DataFrame, batch_id: int) -> str:
     """Name of a micro-batch: the query's own id, which a new checkpoint renews, and its number."""
     query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
@@ -38,10 +34,25 @@ def write_partitions(rows: DataFrame, path: str, partitions: list[str]) -> None:
     )
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` exists on whatever file system it names."""
+def _file(spark: SparkSession, path: str):
+    """A path and the file system it names."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    target, fs = _file(spark, path)
+    return fs.exists(target)
+
+
+def _mark(spark: SparkSession, path: str) -> None:
+    target, fs = _file(spark, path)
+    fs.create(target, True).close()
+
+
+def _unmark(spark: SparkSession, path: str) -> None:
+    target, fs = _file(spark, path)
+    fs.delete(target, False)
 
 
 @dataclass
@@ -49,10 +60,11 @@ class KeyedTable:
     """A Parquet table with a unique key and last-write-wins upserts.
 
     An upsert rewrites only the partitions its rows fall into, in two steps: the merged
-    partitions are written to a staging folder, then copied over the live ones. Staged
-    rows carry the batch they belong to. A micro-batch replayed after a crash between
-    the steps finds its own complete staged result and only repeats the copy; one
-    replayed after both steps gives the same rows again.
+    partitions are written to the writer's staging folder and marked ready, then copied
+    over the live ones and unmarked. A writer that finds its staging still marked was cut
+    off while copying, and copies again before it goes on; so a lost driver never costs
+    stored rows, and a replayed batch merges to the same result. A partition has one
+    writer at a time.
     """
 
     path: str
@@ -68,47 +80,35 @@ class KeyedTable:
         """Hook: derive partition columns."""
         return rows
 
-    def upsert(self, rows: DataFrame, writer: str = "batch", batch: str | None = None) -> None:
+    def upsert(self, rows: DataFrame, writer: str = "batch") -> None:
         """Insert ``rows`` or replace the fields of the rows with the same key.
 
-        Fields the new rows do not carry keep their stored values. ``batch`` names a
-        micro-batch that may be replayed, unique over the writer's lifetime.
+        Fields the new rows do not carry keep their stored values.
         """
         spark = rows.sparkSession
         unknown = set(rows.columns) - set(self.schema.fieldNames())
         if unknown:
             raise ValueError(f"columns not in the table: {sorted(unknown)}")
         staged = f"{self.path.rstrip('/')}__staging/{writer}"
-        if batch is None or not self._holds(spark, staged, batch):
-            rows = self.prepare(rows).persist()
-            try:
-                if not self._stage(spark, rows, staged, batch):
-                    return
-            finally:
-                rows.unpersist()
-        result = self._staged(spark, staged).drop(STAGED_BATCH)
-        write_partitions(result, self.path, self.partitions)
-
-    def _stage(self, spark: SparkSession, rows: DataFrame, staged: str, batch: str | None) -> bool:
-        """Write the merged partitions; false when there are no rows to merge."""
-        # The partitions one batch touches are calendar days, so their list is short.
-        touched = [tuple(r) for r in rows.select(*self.partitions).distinct().collect()]
-        if not touched:
-            return False
-        merged = self._merge(spark, rows, touched).withColumn(STAGED_BATCH, F.lit(batch))
-        rebalanced = merged.hint("rebalance", *map(F.col, self.partitions))
-        rebalanced.write.mode("overwrite").partitionBy(*self.partitions).parquet(staged)
-        return True
-
-    def _staged(self, spark: SparkSession, staged: str) -> DataFrame:
-        layout = T.StructType([*self.schema.fields, T.StructField(STAGED_BATCH, T.StringType())])
-        return spark.read.schema(layout).parquet(staged)
-
-    def _holds(self, spark: SparkSession, staged: str, batch: str) -> bool:
-        """Whether the staging folder holds the complete result of ``batch``."""
-        if not _exists(spark, f"{staged}/_SUCCESS"):
-            return False
-        return [r[0] for r in self._staged(spark, staged).select(STAGED_BATCH).limit(1).collect()] == [batch]
+        self._publish(spark, staged)
+        rows = self.prepare(rows).persist()
+        try:
+            # The partitions one batch touches are calendar spans, so their list is short.
+            touched = [tuple(r) for r in rows.select(*self.partitions).distinct().collect()]
+            if not touched:
+                return
+            merged = self._merge(spark, rows, touched).hint("rebalance", *map(F.col, self.partitions))
+            merged.write.mode("overwrite").partitionBy(*self.partitions).parquet(staged)
+        finally:
+            rows.unpersist()
+        _mark(spark, f"{staged}.ready")
+        self._publish(spark, staged)
+
+    def _publish(self, spark: SparkSession, staged: str) -> None:
+        """Copy staged partitions over the live ones if they are marked ready."""
+        if _exists(spark, f"{staged}.ready"):
+            write_partitions(spark.read.schema(self.schema).parquet(staged), self.path, self.partitions)
+            _unmark(spark, f"{staged}.ready")
 
     def _merge(self, spark: SparkSession, rows: DataFrame, touched: list[tuple]) -> DataFrame:
         """Stored rows of the touched partitions with the new rows over them."""
@@ -166,10 +166,9 @@ def expire_days(spark: SparkSession, path: str, before: str) -> list[str]:
     Partition folders are dropped, not rewritten, so the cost does not grow with their
     rows.
     """
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    pattern, fs = _file(spark, f"{path}/date=*")
     dropped = []
-    for status in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/date=*")) or []:
+    for status in fs.globStatus(pattern) or []:
         day = status.getPath()
         if day.getName().split("=", 1)[1] < before:
             fs.delete(day, True)

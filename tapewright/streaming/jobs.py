@@ -77,7 +77,7 @@ def start_ohlcv(
     name = f"ohlcv_{interval}"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        table.upsert(batch, name, batch_name(batch, batch_id))
+        table.upsert(batch, name)
 
     return run(tumbling(trades, interval, dim, lateness), name, "update", write, checkpoint, every)
 
@@ -110,7 +110,7 @@ def start_klines(
     """Exchange candles, stateless; the newest message of a candle wins."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        table.upsert(batch, "klines", batch_name(batch, batch_id))
+        table.upsert(batch, "klines")
 
     return run(enrich_klines(klines, interval), "klines", "append", write, checkpoint, every)
 
@@ -131,11 +131,10 @@ def start_book(
     """Top-of-book snapshots to a latest table and a history."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch_key = batch_name(batch, batch_id)
-        append_once(batch, history_path, "timestamp", batch_key)
+        append_once(batch, history_path, "timestamp", batch_name(batch, batch_id))
         shard = F.pmod(F.hash("symbol"), F.lit(shards))
         tops = latest_book(batch).select(*BOOK_TOP.fieldNames()).withColumn("shard", shard)
-        latest.upsert(tops, "book", batch_key)
+        latest.upsert(tops, "book")
 
     return run(tops, "book", "append", write, checkpoint, every)
 

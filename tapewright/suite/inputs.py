@@ -75,6 +75,11 @@ PARAMS = {
 }
 
 
+#: Layout of the ``events`` table; giving it saves reading file footers to plan a query.
+EVENTS = (
+    "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+)
+
 #: The number in an event's ``{"k": <number>}`` properties.
 QUANTITY_PATTERN = r'"k":\s*(\d+)'
 
@@ -85,9 +90,11 @@ class Inputs:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = use_utc(spark)
         self.folder = folder
+        self._bars: dict[str, DataFrame] = {}
 
-    def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+    @cached_property
+    def events(self) -> DataFrame:
+        return self.spark.read.schema(EVENTS).parquet(f"{self.folder}/events.parquet")
 
     def scratch(self, name: str) -> str:
         return scratch_path(self.spark, name)
@@ -98,10 +105,10 @@ class Inputs:
 
     # --- trades ---
 
-    @property
+    @cached_property
     def tape(self) -> DataFrame:
         time = F.unix_millis(F.col("ts").cast("timestamp"))
-        return self.table("events").select(
+        return self.events.select(
             F.col("event_type").alias("symbol"),
             F.col("event_id").alias("trade_id"),
             F.col("value").alias("price"),
@@ -110,7 +117,7 @@ class Inputs:
             (F.col("user_id") % 2 == 0).alias("is_buyer_maker"),
         )
 
-    @property
+    @cached_property
     def trades(self) -> DataFrame:
         """The tape in the full trade layout."""
         return self.tape.withColumns(
@@ -128,7 +135,9 @@ class Inputs:
     # --- candles ---
 
     def bars(self, interval: str) -> DataFrame:
-        return candles.ohlcv(self.tape, interval)
+        if interval not in self._bars:
+            self._bars[interval] = candles.ohlcv(self.tape, interval)
+        return self._bars[interval]
 
     @property
     def candle_table(self) -> DataFrame:
@@ -260,7 +269,7 @@ class Inputs:
     def tickers(self, start: int | None = None, end: int | None = None) -> DataFrame:
         """A pair per user with its traded volume as text; the ``error`` traders' own
         pairs report no number."""
-        trades = self.table("events").select(
+        trades = self.events.select(
             "user_id",
             "event_type",
             F.col("value").alias("price"),

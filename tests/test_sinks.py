@@ -40,25 +40,24 @@ def test_newest_of_a_batch_wins(spark, tmp_path):
     assert rows_of(table.read(spark), "close") == [(2.0,)]
 
 
-def test_a_batch_cut_off_between_the_steps_is_finished_by_its_replay(spark, tmp_path, monkeypatch):
+def test_an_upsert_cut_off_while_copying_is_finished_by_the_next(spark, tmp_path, monkeypatch):
     table = sinks.CandleTable(str(tmp_path / "t"))
     table.upsert(spark.createDataFrame([("A", "1m", 0, 1.0, "x"), ("B", "1m", 0, 2.0, "x")], SCHEMA))
     batch = spark.createDataFrame([("A", "1m", 0, 9.0, "y")], SCHEMA)
 
     def crash(rows, path, partitions):
         # The live partition is gone and its replacement not there yet.
-        fs_path = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/interval=1m")
-        fs_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(fs_path, True)
+        target, fs = sinks._file(spark, f"{path}/interval=1m")
+        fs.delete(target, True)
         raise RuntimeError("lost driver")
 
     with monkeypatch.context() as patched:
         patched.setattr(sinks, "write_partitions", crash)
         with pytest.raises(RuntimeError):
-            table.upsert(batch, "q", "query:7")
-    table.upsert(batch, "q", "query:7")
+            table.upsert(batch, "q")
+    table.upsert(batch, "q")  # the batch is replayed
     assert rows_of(table.read(spark), "symbol", "close") == [("A", 9.0), ("B", 2.0)]
-    # The next batch does not take the staged rows for its own.
-    table.upsert(spark.createDataFrame([("B", "1m", 0, 5.0, "z")], SCHEMA), "q", "query:8")
+    table.upsert(spark.createDataFrame([("B", "1m", 0, 5.0, "z")], SCHEMA), "q")
     assert rows_of(table.read(spark), "symbol", "close") == [("A", 9.0), ("B", 5.0)]
 
 
