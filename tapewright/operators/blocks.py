@@ -18,6 +18,10 @@ from pyspark.sql import functions as F
 
 BLOCK, OWN = "_block", "_own"
 
+#: Block length for raw ticks. A symbol with 30 TB of trades a year has some 300 MB in five
+#: minutes, which one task sorts; a quiet symbol borrows about one row per row.
+BLOCK_MS = 300_000
+
 
 def with_borders(
     df: DataFrame, keys: list[str], order: list[str], block: Column, back: int = 0, ahead: int = 0

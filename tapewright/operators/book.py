@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapewright.functions import book as fn
-from tapewright.operators.blocks import block_window, drop_borrowed, with_borders
-from tapewright.schemas import BOOK_LEVELS, DISPLAY_LEVELS, WIDTH_MS
+from tapewright.operators.blocks import BLOCK_MS, block_window, drop_borrowed, with_borders
+from tapewright.schemas import BOOK_LEVELS, DISPLAY_LEVELS
 
 #: Smallest quantity a level's share is measured against.
 QUANTITY_FLOOR = 0.0001
@@ -57,7 +57,7 @@ def depth_norm(books: DataFrame, levels: int = DISPLAY_LEVELS) -> DataFrame:
 
 
 def dedupe(
-    snapshots: DataFrame, order: tuple[str, ...] = ("timestamp",), block_ms: int = WIDTH_MS["1h"]
+    snapshots: DataFrame, order: tuple[str, ...] = ("timestamp",), block_ms: int = BLOCK_MS
 ) -> DataFrame:
     """Snapshots whose timestamp differs from the one before them of the same symbol."""
     block = F.expr(f"{order[0]} div {block_ms}")

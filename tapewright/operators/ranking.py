@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tapewright.functions import candle
 from tapewright.functions.symbols import base_asset, quoted_in
-from tapewright.operators.blocks import block_window, drop_borrowed, with_borders
+from tapewright.operators.blocks import BLOCK_MS, block_window, drop_borrowed, with_borders
 from tapewright.schemas import (
     MAX_PAIRS,
     MIN_PAIR_VOLUME,
@@ -107,7 +107,7 @@ def tick_direction(
     ticks: DataFrame,
     price: str = "price",
     order: tuple[str, ...] = ("trade_time", "trade_id"),
-    block_ms: int = WIDTH_MS["1h"],
+    block_ms: int = BLOCK_MS,
 ) -> DataFrame:
     """Each tick against the one before it: up, down, flat or NULL, and the change.
 

@@ -16,10 +16,12 @@ def _newest(df: DataFrame, n: int) -> DataFrame:
     return df.orderBy(F.col("open_time").desc()).limit(n)
 
 
-def closed_flag(columns: list[str]) -> Column:
-    """Closed marker under either of its names; false when neither is set."""
+def closed_flag(columns: list[str], as_of: int | None = None) -> Column:
+    """Closed marker under either of its names; where neither is set, whether the candle
+    has ended at ``as_of``, or false without a clock."""
     present = [F.col(c) for c in ("is_closed", "x") if c in columns]
-    return F.coalesce(*present, F.lit(False))
+    ended = F.lit(False) if as_of is None else F.col("close_time") <= as_of
+    return F.coalesce(*present, ended)
 
 
 def candles_latest(
@@ -29,21 +31,27 @@ def candles_latest(
     return _newest(time_range(_of(candles, symbol, interval), start, end, interval=interval), n).orderBy("open_time")
 
 
-def candles_page_before(candles: DataFrame, symbol: str, start: int, interval: str = "1m", n: int = 200) -> DataFrame:
+def candles_page_before(
+    candles: DataFrame, symbol: str, start: int, interval: str = "1m", n: int = 200, as_of: int | None = None
+) -> DataFrame:
     """Newest ``n`` candles strictly before ``start``; of these the closed ones, oldest first."""
     page = _newest(time_range(_of(candles, symbol, interval), end=start, closed=False, interval=interval), n)
-    return page.where(closed_flag(candles.columns)).orderBy("open_time")
+    return page.where(closed_flag(candles.columns, as_of)).orderBy("open_time")
 
 
-def candles_page_until(candles: DataFrame, symbol: str, end: int, interval: str = "1m", n: int = 200) -> DataFrame:
+def candles_page_until(
+    candles: DataFrame, symbol: str, end: int, interval: str = "1m", n: int = 200, as_of: int | None = None
+) -> DataFrame:
     """First ``n`` candles up to ``end``; of these the closed ones, oldest first."""
     page = time_range(_of(candles, symbol, interval), end=end, interval=interval).orderBy("open_time").limit(n)
-    return page.where(closed_flag(candles.columns)).orderBy("open_time")
+    return page.where(closed_flag(candles.columns, as_of)).orderBy("open_time")
 
 
-def candles_closed(candles: DataFrame, symbol: str, interval: str = "1m", n: int = 100) -> DataFrame:
+def candles_closed(
+    candles: DataFrame, symbol: str, interval: str = "1m", n: int = 100, as_of: int | None = None
+) -> DataFrame:
     """Newest ``n`` candles, then only the closed ones, oldest first."""
-    return _newest(_of(candles, symbol, interval), n).where(closed_flag(candles.columns)).orderBy("open_time")
+    return _newest(_of(candles, symbol, interval), n).where(closed_flag(candles.columns, as_of)).orderBy("open_time")
 
 
 def trades_latest(trades: DataFrame, symbol: str, n: int = 50) -> DataFrame:

@@ -164,7 +164,7 @@ def expire_days(spark: SparkSession, path: str, before: str) -> list[str]:
     """Drop whole ``date=`` partitions older than the day ``before``; returns their paths.
 
     Partition folders are dropped, not rewritten, so the cost does not grow with their
-    rows.
+    rows. For candles, ``path`` is the folder of one interval.
     """
     pattern, fs = _file(spark, f"{path}/date=*")
     dropped = []

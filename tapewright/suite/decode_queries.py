@@ -187,7 +187,7 @@ def _roundtrip(i: Inputs) -> DataFrame:
     """SELECT * FROM (SELECT unnest(['return_1', 'return_2', 'rsi', 'volume_ratio']) AS feature,
   unnest([avg(return_1), avg(return_2), avg(rsi), avg(volume_ratio)]) AS mean,
   unnest([stddev_samp(return_1), stddev_samp(return_2), stddev_samp(rsi), stddev_samp(volume_ratio)]) AS std,
-  unnest([-0.5, 0.125, -1.5, 0.0]) AS coefficient, 0.25 AS intercept FROM training)""",
+  unnest([-0.5, 0.125, -1.5, 0.0]::DOUBLE[]) AS coefficient, 0.25::DOUBLE AS intercept FROM training)""",
     "mean std",
 )
 def _params(i: Inputs) -> DataFrame:

@@ -163,6 +163,9 @@ def test_pages(spark):
     assert minutes(serving.candles_latest(df, "A", "1m", 2, end=5 * 60_000)) == [4, 5]
     assert minutes(serving.candles_latest(df, "A", "1m", 9, start=8 * 60_000)) == [8, 9]
     assert minutes(serving.candles_closed(df, "A", n=2)) == [8]  # the limit comes first
+    unmarked = df.drop("is_closed").withColumn("close_time", df.open_time + 60_000)
+    assert minutes(serving.candles_closed(unmarked, "A", n=2)) == []
+    assert minutes(serving.candles_closed(unmarked, "A", n=2, as_of=9 * 60_000)) == [8]
     renamed = df.withColumnRenamed("is_closed", "x")
     assert minutes(serving.candles_closed(renamed, "A", n=2)) == [8]
 
