@@ -14,7 +14,7 @@ from tapewright.schemas import FEATURES
 from tapewright.sources import tables
 from tapewright.suite.inputs import AS_OF, PARAMS, Inputs
 from tapewright.suite.registry import query
-from tapewright.suite.sql import NOT_NULL, score_sql
+from tapewright.suite.sql import CUT, NOT_NULL, fitted_sql, score_sql
 
 Z = [f"z_{name}" for name in FEATURES]
 
@@ -30,9 +30,6 @@ def _scale(i: Inputs) -> DataFrame:
     return training.scale(i.stored(i.training, "training"))
 
 
-CUT = "(SELECT min(open_time) + CAST(floor((max(open_time) - min(open_time)) * 0.8) AS BIGINT) FROM training)"
-
-
 @query(
     "ml_split",
     f"""SELECT symbol, open_time, CASE WHEN open_time <= {CUT} THEN 'train' ELSE 'test' END AS part FROM training""",
@@ -54,7 +51,16 @@ def fitted(i: Inputs) -> tuple[PipelineModel, dict]:
     return training.train(i.bars("1h"), "1h")
 
 
-@query("ml_train_ridge")
+FITTED_ALL, FROM_ALL = fitted_sql("all")
+FITTED_TRAIN, FROM_TRAIN = fitted_sql("train")
+
+
+@query(
+    "ml_train_ridge",
+    f"SELECT symbol, open_time, target, {FITTED_ALL} AS prediction FROM training, {FROM_ALL}",
+    "target prediction",
+    places=3,
+)
 def _train(i: Inputs) -> DataFrame:
     """Predicted next change of every complete bar by the model trained on them."""
     table = i.stored(i.training, "training")
@@ -62,14 +68,34 @@ def _train(i: Inputs) -> DataFrame:
     return model.transform(table).select("symbol", "open_time", "target", "prediction")
 
 
-@query("ml_evaluate")
+def _metrics_sql() -> str:
+    """RMSE, MAE and R2 of both parts, one row each."""
+    wide = f"""SELECT part, sqrt(avg((target - p) ** 2)) AS rmse, avg(abs(target - p)) AS mae,
+  1 - sum((target - p) ** 2) / (var_pop(target) * count(*)) AS r2
+FROM (SELECT CASE WHEN open_time <= {CUT} THEN 'train' ELSE 'test' END AS part, target, {FITTED_TRAIN} AS p
+  FROM training, {FROM_TRAIN}) GROUP BY part"""
+    return " UNION ALL ".join(
+        f"SELECT part || '_{name}' AS metric, {name} AS value FROM ({wide})" for name in ("rmse", "mae", "r2")
+    )
+
+
+@query("ml_evaluate", _metrics_sql(), "value", places=3)
 def _evaluate(i: Inputs) -> DataFrame:
     _, params = fitted(i)
     frame = training.parameter_frame(i.spark, params)
     return frame.select(F.explode("metrics").alias("metric", "value"))
 
 
-@query("ml_coefficients")
+@query(
+    "ml_coefficients",
+    " UNION ALL ".join(
+        f"""SELECT '{name}' AS feature, s.means[{i}] AS mean, s.deviations[{i}] * sqrt(n / (n - 1)) AS std,
+  x.m[{i}][{len(FEATURES) + 1}] * sqrt(n / (n - 1)) AS coefficient, s.intercept FROM {FROM_TRAIN}"""
+        for i, name in enumerate(FEATURES, 1)
+    ),
+    "mean std coefficient intercept",
+    places=3,
+)
 def _coefficients(i: Inputs) -> DataFrame:
     _, params = fitted(i)
     return training.coefficients(i.spark, params)

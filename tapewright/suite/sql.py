@@ -76,6 +76,40 @@ def score_sql() -> str:
     return " + ".join(terms)
 
 
+def _system(source: str) -> str:
+    """Normal equations of the ridge fit on unit-variance columns, as rows of
+    ``[gram..., right-hand side]``, with what is needed to undo the scaling.
+
+    The penalty 0.1 is in units of the label's deviation.
+    """
+    rows = []
+    for a in FEATURES:
+        gram = [f"corr({a}, {b})" if a != b else "1 + 0.1 / stddev_pop(target)" for b in FEATURES]
+        rows.append(f"[{', '.join([*gram, f'covar_pop({a}, target) / stddev_pop({a})'])}]")
+    means, deviations = ([f"{f}({a})" for a in FEATURES] for f in ("avg", "stddev_pop"))
+    return f"""SELECT [{', '.join(rows)}] AS m, count(*) AS n, avg(target) AS intercept,
+  [{', '.join(means)}] AS means, [{', '.join(deviations)}] AS deviations FROM {source}"""
+
+
+def _solved(system: str, name: str) -> str:
+    """Gauss-Jordan elimination, one column per step (the matrix is positive definite)."""
+    return f"""SELECT 1 AS k, m FROM {system} UNION ALL
+SELECT k + 1, list_transform(m, lambda r, i: CASE WHEN i = k THEN list_transform(r, lambda v: v / r[k])
+  ELSE list_transform(r, lambda v, j: v - m[k][j] * r[k] / m[k][k]) END)
+FROM {name} WHERE k <= {len(FEATURES)}"""
+
+
+def fitted_sql(part: str) -> tuple[str, str]:
+    """The fitted prediction and the one-row relations it reads: ``s`` (system) and ``x``
+    (solution)."""
+    width = len(FEATURES) + 1
+    terms = [f"x.m[{i}][{width}] * ({n} - s.means[{i}]) / s.deviations[{i}]" for i, n in enumerate(FEATURES, 1)]
+    return f"(s.intercept + {' + '.join(terms)})", f"system_{part} s, (SELECT m FROM solved_{part} WHERE k = {width}) x"
+
+
+#: Last bar time of the earlier four fifths of the covered span.
+CUT = "(SELECT min(open_time) + CAST(floor((max(open_time) - min(open_time)) * 0.8) AS BIGINT) FROM training)"
+
 NOT_NULL = " AND ".join(f"{name} IS NOT NULL" for name in FEATURES)
 HOUR, DAY = WIDTH_MS["1h"], WIDTH_MS["1d"]
 
@@ -99,6 +133,11 @@ CTES = {
 SELECT * FROM (SELECT * FROM bars_1h QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY open_time DESC) <= 40)
 WHERE (SELECT count(*) FROM recent_1h) < 40""",
     "forecast_features": _features("forecast_bars"),
+    "train_part": f"SELECT * FROM training WHERE open_time <= {CUT}",
+    "system_all": _system("training"),
+    "solved_all": _solved("system_all", "solved_all"),
+    "system_train": _system("train_part"),
+    "solved_train": _solved("system_train", "solved_train"),
     "predictions": f"""SELECT symbol, open_time, close, close * (1 + s / 100) AS predicted_price,
   s AS predicted_change_pct, CASE WHEN s > 0 THEN 'UP' ELSE 'DOWN' END AS direction,
   strftime(make_timestamp((open_time + {HOUR}) * 1000), {ISO}) AS prediction_time,
@@ -136,8 +175,8 @@ def with_ctes(body: str) -> str:
     while pending:
         text = pending.pop()
         for name, definition in CTES.items():
-            if name not in needed and re.search(rf"\b(FROM|JOIN)\s+{name}\b", text):
+            if name not in needed and re.search(rf"(\b(FROM|JOIN)|,)\s+{name}\b", text):
                 needed.add(name)
                 pending.append(definition)
     heads = ",\n".join(f"{name} AS ({CTES[name]})" for name in CTES if name in needed)
-    return f"WITH {heads}\n{body}" if heads else body
+    return f"WITH RECURSIVE {heads}\n{body}" if heads else body
