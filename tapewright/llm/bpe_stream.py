@@ -31,7 +31,7 @@ from tapewright.llm.columns import pieces, texts
 
 ENCODED = "doc_id {id}, ids binary, decoded string"
 
-#: Chunks and words that each worker remembers; either memory is emptied when full.
+#: Chunks, words and pairs of tokens that each worker remembers; each memory is emptied when full.
 CHUNKS = 400_000
 #: Longest chunk or word that is remembered.
 CHUNK_CHARS = 48
@@ -56,7 +56,15 @@ class Merges:
         #: By pair of ids: the rank of their merge. By id: the merge that makes the token.
         self.joined = {vocab[a] << 32 | vocab[b]: k for (a, b), k in self.rank.items()}
         self.made = {vocab[a + b]: (k, vocab[a], vocab[b]) for (a, b), k in self.rank.items()}
-        self._single: dict[int, bool] = {}
+        #: By the last three symbols: how long a token that ends in them can be.
+        self.longest: dict[str, int] = {}
+        for t in vocab:
+            symbols = self.symbols(t)
+            end = "".join(symbols[-3:])
+            self.longest[end] = max(self.longest.get(end, 0), len(symbols))
+        self._pairs: dict[int, bool] = {}
+        # Only tokens that are the encoding of their own symbols can occur.
+        self.vocab = {t: i for t, i in vocab.items() if self.merged(self.symbols(t)) == [t]}
 
     def symbols(self, token: str) -> list[str]:
         """The single-character symbols a token is made of; the last carries the suffix."""
@@ -76,14 +84,6 @@ class Merges:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def stands(self, token: int) -> bool:
-        """Whether a token is the encoding of its own symbols."""
-        known = self._single.get(token)
-        if known is None:
-            text = self.token[token]
-            known = self._single[token] = self.merged(self.symbols(text)) == [text]
-        return known
-
     def follows(self, left: int, right: int) -> bool:
         """Whether encoding the symbols of both tokens gives exactly these two.
 
@@ -106,16 +106,25 @@ class Merges:
 
     def encode(self, body: str) -> Iterator[int]:
         """Token ids of one word, given as byte symbols, each as soon as it is settled."""
-        vocab, suffix, reach, end = self.vocab, self.suffix, self.lookahead, len(body)
+        vocab, suffix, longest, pairs = self.vocab, self.suffix, self.longest, self._pairs
+        reach, end = self.lookahead, len(body)
         base, last, before = 0, [-1], [0]  # of the prefix of base + k symbols
         for stop in range(1, end + 1):
-            for start in range(max(base, stop - reach), stop):
-                text = body[start:stop]
-                token = vocab.get(text + suffix if stop == end else text)
+            tail = body[max(0, stop - 3) : stop] + (suffix if stop == end else "")
+            for start in range(max(base, stop - longest.get(tail, 2)), stop):
+                token = vocab.get(body[start:stop] + suffix if stop == end else body[start:stop])
                 if token is None:
                     continue
                 left = last[start - base]
-                if self.stands(token) and (left < 0 or self.follows(left, token)):
+                if left < 0:
+                    break
+                pair = left << 32 | token
+                fits = pairs.get(pair)
+                if fits is None:
+                    if len(pairs) >= CHUNKS:
+                        pairs.clear()
+                    fits = pairs[pair] = self.follows(left, token)
+                if fits:
                     break
             else:
                 raise ValueError(f"no token for {body[stop - 1]!r}")
