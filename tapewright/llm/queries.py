@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapewright.llm import bpe_stream, token_store
+from tapewright.llm import bpe_stream, pairwise_quality, token_store
+from tapewright.llm.columns import texts
 from tapewright.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,3 +46,17 @@ def op5_token_store(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     token_store.write_tokens(docs, store, public_tokenizers.path("byte_bpe_50k.json"), END_ID)
     return token_store.crc32(token_store.read_tokens(spark, store, docs.schema["doc_id"].dataType.simpleString()))
+
+
+@query
+def op10_pairwise_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Score every document with weights learnt from the labelled rows of the other folds."""
+    docs = table(spark, folder, "documents")
+    ranking = pairwise_quality.learn(docs, table(spark, folder, "labels"))
+    rows = pairwise_quality.scored(texts(docs), ranking)
+    return rows.select(
+        "doc_id",
+        pairwise_quality.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= pairwise_quality.BORDER).cast("int").alias("predicted"),
+    )
