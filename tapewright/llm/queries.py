@@ -8,9 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapewright.llm import bpe_stream, pairwise_quality, token_store
+from tapewright.llm import bpe_stream, divergence, pairwise_quality, token_store
 from tapewright.llm.columns import texts
-from tapewright.session import scratch_path
+from tapewright.session import materialize, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -60,3 +60,10 @@ def op10_pairwise_quality(spark: SparkSession, folder: str) -> DataFrame:
         "score",
         (F.col("score") >= pairwise_quality.BORDER).cast("int").alias("predicted"),
     )
+
+
+@query
+def op4_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    """Base rules and the verdict of the distribution test for every document."""
+    rows = materialize(divergence.measured(table(spark, folder, "documents")), "measures")
+    return divergence.judged(rows, divergence.references(rows))
