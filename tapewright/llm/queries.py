@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapewright.llm import bpe_stream, divergence, pairwise_quality, token_store
+from tapewright.llm import bpe_stream, divergence, pairwise_quality, pii_votes, token_store
 from tapewright.llm.columns import texts
 from tapewright.session import materialize, scratch_path
 
@@ -67,3 +67,9 @@ def op4_divergence(spark: SparkSession, folder: str) -> DataFrame:
     """Base rules and the verdict of the distribution test for every document."""
     rows = materialize(divergence.measured(table(spark, folder, "documents")), "measures")
     return divergence.judged(rows, divergence.references(rows))
+
+
+@query
+def op9_pii_votes(spark: SparkSession, folder: str) -> DataFrame:
+    """Spans of personal data in every document."""
+    return pii_votes.digest(pii_votes.private_spans(texts(table(spark, folder, "documents"))))
