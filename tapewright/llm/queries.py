@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapewright.llm import bpe_stream, divergence, pairwise_quality, pii_votes, token_store
+from tapewright.llm import bpe_stream, divergence, pairwise_quality, pii_votes, site_templates, token_store
 from tapewright.llm.columns import texts
 from tapewright.session import materialize, scratch_path
 
@@ -73,3 +73,10 @@ def op4_divergence(spark: SparkSession, folder: str) -> DataFrame:
 def op9_pii_votes(spark: SparkSession, folder: str) -> DataFrame:
     """Spans of personal data in every document."""
     return pii_votes.digest(pii_votes.private_spans(texts(table(spark, folder, "documents"))))
+
+
+@query
+def op2_site_templates(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    rows = site_templates.main_text(table(spark, folder, "pages"))
+    return rows.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))

@@ -15,10 +15,12 @@ gives shards without documents.
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -34,6 +36,9 @@ from tokenizers import Tokenizer
 
 from tapewright.llm.columns import pieces, shuffle_partitions, texts
 
+# Spark runs one task for each core; the library's own threads would compete with them.
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+
 # Fixed values of the seekable format.
 SEEK_TABLE_MAGIC = 0x184D2A5E
 SEEK_FOOTER_MAGIC = 0x8F92EAB1
@@ -42,8 +47,9 @@ CHECKSUM_FLAG = 0x80
 
 FRAME_BYTES = 256 << 10
 LEVEL = 3
-#: Chunks whose ids each worker keeps; emptied when full.
-CHUNKS = 600_000
+#: Chunks whose ids each worker keeps. When it is full, others are encoded where they occur;
+#: it is emptied when over a third of the different chunks are others.
+CHUNKS = 700_000
 CHUNK_CHARS = 48
 
 MANIFEST = "shard int, path string, width int, n_docs long, n_tokens long"
@@ -52,6 +58,15 @@ MANIFEST = "shard int, path string, width int, n_docs long, n_tokens long"
 SPACE = " \\t\\n\\r\\x0b\\x0c\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 
 
+class Known(dict):
+    """Ids that are kept, and those that pass by: of the chunks at hand, once it is full."""
+
+    passing: dict[str, bytes | None]
+
+    def __missing__(self, chunk: str) -> bytes | None:
+        return self.passing[chunk]
+
+
 class Encoder:
     """The tokenizers library behind a bounded memory of chunks it has encoded.
 
@@ -67,35 +82,46 @@ class Encoder:
         self.library.no_padding()
         self.library.no_truncation()
         self.width = 2 if self.library.get_vocab_size() <= 1 << 16 else 4
-        self.kind = np.dtype(f"<u{self.width}")
-        self.end = np.array([end_id], self.kind).tobytes()
-        self.spaced: dict[str, bytes | None] = {}
+        self.code = "H" if self.width == 2 else "I"  # machine integers: little-endian on all that Spark runs on
+        self.end = array(self.code, [end_id]).tobytes()
+        self.marks = dict(zip(".,;:!?", self._encode(list(".,;:!?"))))
+        self.spaced = Known()
         self.units: dict[str, bytes] = {}
 
     def _encode(self, units: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.kind).tobytes() for e in self.library.encode_batch_fast(units, add_special_tokens=False)]
+        return [array(self.code, e.ids).tobytes() for e in self.library.encode_batch_fast(units, add_special_tokens=False)]
 
     def learn(self, chunks: set[str]) -> None:
-        """Remember chunks that follow one blank, or that start with their line feed.
+        """Make ids known for chunks that follow one blank, or start with their line feed.
 
         A chunk with white space elsewhere is marked: its text goes unit by unit.
         """
-        if len(self.spaced) > CHUNKS:
-            self.spaced.clear()
-        new = [c for c in chunks if c not in self.spaced]
+        known = self.spaced
+        new = chunks - known.keys()
+        if len(known) >= CHUNKS and 3 * len(new) > len(chunks):
+            known.clear()
+            new = chunks
+        # Letters and the mark after them are encoded apart.
+        marked = [c for c in new if c[-1:] in self.marks and c[:-1].isalpha()]
+        new = (new | {c[:-1] for c in marked}).difference(known, marked)
         plain = [c for c in new if c not in ("", "\n") and not self.OTHER.search(c, c[0] == "\n")]
-        self.spaced |= dict.fromkeys(new)
-        self.spaced |= zip(plain, self._encode([c if c[0] == "\n" else " " + c for c in plain]))
+        fresh: dict[str, bytes | None] = dict.fromkeys(new)
+        fresh |= zip(plain, self._encode([c if c[0] == "\n" else " " + c for c in plain]))
+        fresh |= {c: (fresh if c[:-1] in fresh else known)[c[:-1]] + self.marks[c[-1]] for c in marked}
+        if len(known) < CHUNKS:
+            known |= fresh
+            fresh = {}
+        known.passing = fresh
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text with the end id, ``width`` bytes each."""
         split = [t.replace("\n", " \n").split(" ") for t in texts]
-        self.learn({c for chunks in split for c in chunks[1:]})
+        firsts = [chunks[0] for chunks in split]
+        self.learn(set().union(*split))
         out = []
-        for text, chunks in zip(texts, split):
+        for text, first, chunks in zip(texts, self._encode(firsts), split):
             try:
-                body = b"".join(map(self.spaced.__getitem__, chunks[1:]))
-                out.append(self._encode([chunks[0]])[0] + body + self.end)
+                out.append(b"".join([first, *map(self.spaced.__getitem__, chunks[1:]), self.end]))
             except TypeError:
                 out.append(self.by_units(text) + self.end)
         return out
