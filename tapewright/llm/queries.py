@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapewright.llm import bpe_stream, divergence, pairwise_quality, pii_votes, site_templates, token_store
+from tapewright.llm import bpe_stream, divergence, pairwise_quality, pii_votes, site_templates, snapshots, token_store
 from tapewright.llm.columns import texts
 from tapewright.session import materialize, scratch_path
 
@@ -23,6 +23,10 @@ def query(build: Callable[[SparkSession, str], DataFrame]):
     return build
 
 
+def oracle(name: str, sql: str) -> None:
+    ORACLES[name] = sql
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -80,3 +84,12 @@ def op2_site_templates(spark: SparkSession, folder: str) -> DataFrame:
     """Main text of every page."""
     rows = site_templates.main_text(table(spark, folder, "pages"))
     return rows.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op8_snapshots(spark: SparkSession, folder: str) -> DataFrame:
+    """Maximal conversations, rendered."""
+    return snapshots.collapse(table(spark, folder, "conversations"))
+
+
+oracle("op8_snapshots", snapshots.SQL)
