@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapewright.llm import bpe_stream, divergence, pairwise_quality, pii_votes, site_templates, snapshots, token_store
+from tapewright.llm import bpe_stream, divergence, leak_search, pairwise_quality, pii_votes, site_templates, snapshots, token_store
 from tapewright.llm.columns import texts
 from tapewright.session import materialize, scratch_path
 
@@ -93,3 +93,9 @@ def op8_snapshots(spark: SparkSession, folder: str) -> DataFrame:
 
 
 oracle("op8_snapshots", snapshots.SQL)
+
+
+@query
+def op7_leak_search(spark: SparkSession, folder: str) -> DataFrame:
+    """Training documents that contain a test item, with the item and the overlaps."""
+    return leak_search.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
