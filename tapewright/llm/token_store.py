@@ -48,8 +48,8 @@ CHECKSUM_FLAG = 0x80
 FRAME_BYTES = 256 << 10
 LEVEL = 3
 #: Chunks whose ids each worker keeps. When it is full, others are encoded where they occur;
-#: it is emptied when over a third of the different chunks are others.
-CHUNKS = 700_000
+#: it is emptied when a quarter of all chunks are others.
+CHUNKS = 1_500_000
 CHUNK_CHARS = 48
 
 MANIFEST = "shard int, path string, width int, n_docs long, n_tokens long"
@@ -58,15 +58,6 @@ MANIFEST = "shard int, path string, width int, n_docs long, n_tokens long"
 SPACE = " \\t\\n\\r\\x0b\\x0c\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 
 
-class Known(dict):
-    """Ids that are kept, and those that pass by: of the chunks at hand, once it is full."""
-
-    passing: dict[str, bytes | None]
-
-    def __missing__(self, chunk: str) -> bytes | None:
-        return self.passing[chunk]
-
-
 class Encoder:
     """The tokenizers library behind a bounded memory of chunks it has encoded.
 
@@ -85,45 +76,46 @@ class Encoder:
         self.code = "H" if self.width == 2 else "I"  # machine integers: little-endian on all that Spark runs on
         self.end = array(self.code, [end_id]).tobytes()
         self.marks = dict(zip(".,;:!?", self._encode(list(".,;:!?"))))
-        self.spaced = Known()
+        self.spaced: dict[str, bytes] = {}
         self.units: dict[str, bytes] = {}
 
     def _encode(self, units: list[str]) -> list[bytes]:
         return [array(self.code, e.ids).tobytes() for e in self.library.encode_batch_fast(units, add_special_tokens=False)]
 
-    def learn(self, chunks: set[str]) -> None:
-        """Make ids known for chunks that follow one blank, or start with their line feed.
-
-        A chunk with white space elsewhere is marked: its text goes unit by unit.
+    def learn(self, chunks: set[str]) -> dict[str, bytes | None]:
+        """Ids of new chunks that follow one blank, or start with their line feed; kept while
+        there is room. None for a chunk with white space elsewhere: its text goes unit by unit.
         """
         known = self.spaced
-        new = chunks - known.keys()
-        if len(known) >= CHUNKS and 3 * len(new) > len(chunks):
-            known.clear()
-            new = chunks
         # Letters and the mark after them are encoded apart.
-        marked = [c for c in new if c[-1:] in self.marks and c[:-1].isalpha()]
-        new = (new | {c[:-1] for c in marked}).difference(known, marked)
-        plain = [c for c in new if c not in ("", "\n") and not self.OTHER.search(c, c[0] == "\n")]
-        fresh: dict[str, bytes | None] = dict.fromkeys(new)
-        fresh |= zip(plain, self._encode([c if c[0] == "\n" else " " + c for c in plain]))
-        fresh |= {c: (fresh if c[:-1] in fresh else known)[c[:-1]] + self.marks[c[-1]] for c in marked}
+        marked = [c for c in chunks if c[-1:] in self.marks and c[:-1].isalpha()]
+        stems = {c[:-1] for c in marked}
+        plain = [c for c in (chunks | stems).difference(marked, known) if c and c != "\n" and not self.OTHER.search(c, c[0] == "\n")]
+        found = dict(zip(plain, self._encode([c if c[0] == "\n" else " " + c for c in plain])))
+        found |= {c: (found.get(c[:-1]) or known[c[:-1]]) + self.marks[c[-1]] for c in marked}
         if len(known) < CHUNKS:
-            known |= fresh
-            fresh = {}
-        known.passing = fresh
+            known |= found
+        return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text with the end id, ``width`` bytes each."""
-        split = [t.replace("\n", " \n").split(" ") for t in texts]
-        firsts = [chunks[0] for chunks in split]
-        self.learn(set().union(*split))
-        out = []
-        for text, first, chunks in zip(texts, self._encode(firsts), split):
-            try:
-                out.append(b"".join([first, *map(self.spaced.__getitem__, chunks[1:]), self.end]))
-            except TypeError:
-                out.append(self.by_units(text) + self.end)
+        known, rows, new = self.spaced, [], set()
+        total = 0
+        for text in texts:
+            chunks = text.replace("\n", " \n").split(" ")
+            ids = list(map(known.get, chunks))
+            gaps = [k for k, v in enumerate(ids) if v is None]
+            new.update(map(chunks.__getitem__, gaps))
+            rows.append((chunks, ids, gaps))
+            total += len(chunks)
+        found, out = self.learn(new), []
+        for text, (chunks, ids, gaps), first in zip(texts, rows, self._encode([chunks[0] for chunks, _, _ in rows])):
+            for k in gaps:
+                ids[k] = found.get(chunks[k])
+            ids[0] = first
+            out.append(b"".join(ids) + self.end if None not in ids else self.by_units(text) + self.end)
+        if len(known) >= CHUNKS and 4 * len(new) > total:
+            known.clear()  # other texts than those that filled it
         return out
 
     def by_units(self, text: str) -> bytes:
@@ -245,7 +237,7 @@ def write_tokens(docs: DataFrame, folder: str, path: str, end_id: int, id_col: s
         ids, lengths = [], []
         with fs.open_output_stream(attempt, compression=None) as sink:
             writer = ShardWriter(sink)
-            for piece in pieces(batches):
+            for piece in pieces(batches, limit=4 << 20):
                 for raw in use.encode(piece.column("text").to_pylist()):
                     writer.add(raw)
                     lengths.append(len(raw) // use.width)
