@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapewright.llm import bpe_stream, divergence, leak_search, pairwise_quality, pii_votes, site_templates, snapshots, token_store
+from tapewright.llm import bpe_stream, divergence, leak_search, pairwise_quality, pii_votes, site_templates, snapshots, token_store, trie_join
 from tapewright.llm.columns import texts
 from tapewright.session import materialize, scratch_path
 
@@ -99,3 +99,9 @@ oracle("op8_snapshots", snapshots.SQL)
 def op7_leak_search(spark: SparkSession, folder: str) -> DataFrame:
     """Training documents that contain a test item, with the item and the overlaps."""
     return leak_search.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op6_trie_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of documents whose four-word sequences are 85 percent alike."""
+    return trie_join.similar_groups(table(spark, folder, "documents"), 4, 85)
