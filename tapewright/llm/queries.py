@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapewright.llm import bpe_stream, divergence, leak_search, pairwise_quality, pii_votes, site_templates, snapshots, token_store, trie_join
+from tapewright.llm import bpe_stream, divergence, leak_search, pairwise_quality, pii_votes, site_templates, snapshots, suffix_dedup, token_store, trie_join
 from tapewright.llm.columns import texts
 from tapewright.session import materialize, scratch_path
 
@@ -105,3 +105,17 @@ def op7_leak_search(spark: SparkSession, folder: str) -> DataFrame:
 def op6_trie_join(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of documents whose four-word sequences are 85 percent alike."""
     return trie_join.similar_groups(table(spark, folder, "documents"), 4, 85)
+
+
+@query
+def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the bytes of strings that start twice in the corpus."""
+    rows = suffix_dedup.without_repeats(table(spark, folder, "documents"))
+    removed = F.aggregate("removed", F.lit(0).cast("long"), lambda acc, r: acc + r["end"] - r["start"])
+    return rows.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
