@@ -32,6 +32,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -101,6 +102,21 @@ def gram_sets(column: pa.Array, n: int) -> list[np.ndarray]:
     return out
 
 
+#: Bytes of a prefix n-gram's hash that travel; equal rests only add candidates.
+GRAM_BYTES = 5
+
+
+def packed(grams: np.ndarray) -> bytes:
+    """The low ``GRAM_BYTES`` bytes of each hash."""
+    return grams.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :GRAM_BYTES].tobytes()
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    wide = np.zeros((len(raw) // GRAM_BYTES, 8), np.uint8)
+    wide[:, :GRAM_BYTES] = np.frombuffer(raw, np.uint8).reshape(-1, GRAM_BYTES)
+    return wide.reshape(-1).view("<i8")
+
+
 def signed(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64))
 
@@ -157,7 +173,7 @@ def described(rows: DataFrame, like: Similarity, order: Order) -> DataFrame:
                     pa.array([len(s) for s in sets], pa.int64()),
                     signed(np.array([s.sum() for s in sets], np.uint64)),
                     signed(np.array([mix(s).sum() for s in sets], np.uint64)),
-                    pa.array([order.arranged(s)[: like.prefix(len(s)) if len(s) else 0].tobytes() for s in sets], pa.binary()),
+                    pa.array([packed(order.arranged(s)[: like.prefix(len(s)) if len(s) else 0]) for s in sets], pa.binary()),
                     pa.array([sketch(s) for s in sets], pa.binary()),
                 ],
                 ["doc_id", "n", "s1", "s2", "prefix", "sketch"],
@@ -171,8 +187,7 @@ def sieve(classes: DataFrame) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw = np.frombuffer(b"".join(batch.column("prefix").to_pylist()), np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(raw)], ["gram"])
+            yield pa.RecordBatch.from_arrays([pa.array(unpacked(b"".join(batch.column("prefix").to_pylist())))], ["gram"])
 
     twice = classes.select("prefix").mapInArrow(run, "gram long").groupBy("gram").count().filter("count > 1")
     bit = F.col("gram").bitwiseAND(F.lit(SIEVE_BITS - 1))
@@ -190,17 +205,16 @@ def shared_grams(classes: DataFrame, bits: np.ndarray, kind: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
         for batch in batches:
-            prefixes = [np.frombuffer(p, np.uint64) for p in batch.column("prefix").to_pylist()]
-            sizes = np.array([len(p) for p in prefixes])
-            grams = np.concatenate([np.zeros(0, np.uint64), *prefixes])
-            row = np.repeat(np.arange(len(prefixes)), sizes)
+            sizes = pc.binary_length(batch.column("prefix")).to_numpy() // GRAM_BYTES
+            grams = unpacked(b"".join(batch.column("prefix").to_pylist()))
+            row = np.repeat(np.arange(len(sizes)), sizes)
             position = np.arange(len(grams)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            bit = (grams & np.uint64(SIEVE_BITS - 1)).astype(np.int64)
+            bit = grams & (SIEVE_BITS - 1)
             keep = (table[bit >> 5] >> (bit & 31).astype(np.uint32)) & 1 == 1
             at = pa.array(row[keep])
             yield pa.RecordBatch.from_arrays(
                 [
-                    signed(grams[keep]),
+                    pa.array(grams[keep]),
                     batch.column("doc_id").take(at),
                     batch.column("n").take(at),
                     pa.array(position[keep].astype(np.int32)),
@@ -268,24 +282,83 @@ def candidate_links(size: np.ndarray, position: np.ndarray, sketches: np.ndarray
     return out
 
 
+def small_group_links(gram: np.ndarray, size: np.ndarray, position: np.ndarray, sketches: np.ndarray, like: Similarity) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows of one n-gram that may be similar, for many n-grams with few members each.
+    Rows ascend by n-gram and size; row i is compared with row i + 1, then i + 2, ..."""
+    left, right = [], []
+    live = np.arange(len(gram))
+    for d in range(1, len(gram)):
+        live = live[live + d < len(gram)]
+        live = live[gram[live] == gram[live + d]]
+        live = live[100 * size[live] >= like.percent * size[live + d]]  # greater ones follow
+        if not len(live):
+            break
+        other = live + d
+        needed = like.needed(size[live], size[other])
+        fits = np.minimum(size[live] - position[live], size[other] - position[other]) >= needed
+        k, j, needed = live[fits], other[fits], needed[fits]
+        fits = np.bitwise_count(sketches[k] ^ sketches[j]).sum(1) <= size[k] + size[j] - 2 * needed
+        left.append(k[fits])
+        right.append(j[fits])
+    return tuple(np.concatenate([np.zeros(0, np.int64), *x]) for x in (left, right))
+
+
+#: Rows looked at together, and members from which an n-gram is handled alone.
+CHUNK_ROWS, MANY = 200_000, 64
+
+
+def chunk_links(gram: np.ndarray, code: np.ndarray, size: np.ndarray, position: np.ndarray, sketches: np.ndarray, like: Similarity) -> list[tuple[int, int]]:
+    """Links between rows, as few as connect what may be similar. ``code``: the row's class."""
+    border = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]])
+    members = np.diff(np.r_[border, len(gram)])
+    few = np.flatnonzero(np.repeat(members <= MANY, members))
+    a, b = small_group_links(gram[few], size[few], position[few], sketches[few], like)
+    pairs = list(zip(few[a].tolist(), few[b].tolist()))
+    for at, n in zip(border[members > MANY].tolist(), members[members > MANY].tolist()):
+        own = slice(at, at + n)
+        pairs += [(at + k, at + j) for k, j in candidate_links(size[own], position[own], sketches[own], like)]
+    forest = Forest(int(code.max()) + 1 if len(code) else 0)
+    return [(k, j) for k, j in pairs if forest.join(int(code[k]), int(code[j]))]
+
+
 def candidates(classes: DataFrame, like: Similarity) -> DataFrame:
     """Links (``a``, ``b``) whose components contain every pair that can be similar."""
     kind = classes.schema["doc_id"].dataType
-    rows = materialize(shared_grams(classes, sieve(classes), kind.simpleString()), "grams")
-    sizes = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("members"), F.min("doc_id").alias("least")).filter("members > 1")
+    rows = shared_grams(classes, sieve(classes), kind.simpleString())
+    sizes = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("members"), F.min("doc_id").alias("least"))
+    crowds = materialize(sizes.filter(F.col("members") > CROWD), "crowds")
+    crowds = F.broadcast(crowds) if crowds.count() <= BROADCAST_IDS else crowds
     # Whoever shares a crowded n-gram hangs on its least member.
-    crowds = rows.select("gram", "doc_id").join(sizes.filter(F.col("members") > CROWD), "gram")
-    stars = crowds.select(F.col("doc_id").alias("a"), F.col("least").alias("b"))
-    calm = rows.join(sizes.filter(F.col("members") <= CROWD).select("gram"), "gram", "left_semi")
-    calm = calm.repartition(shuffle_partitions(classes), "gram").sortWithinPartitions("gram", "n", "doc_id")
+    stars = rows.select("gram", "doc_id").join(crowds, "gram").select(F.col("doc_id").alias("a"), F.col("least").alias("b"))
+    calm = rows.join(crowds.select("gram"), "gram", "left_anti")
+    calm = calm.repartition(shuffle_partitions(classes), "gram").sortWithinPartitions("gram", "n")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in runs(batches, ["gram"]):
-            sketches = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint64).reshape(-1, SKETCH_WORDS)
-            links = candidate_links(group.column("n").to_numpy(), group.column("position").to_numpy(), sketches, like)
-            ids = group.column("doc_id").combine_chunks()
+        held: list[pa.RecordBatch] = []
+
+        def flush(upto: int | None) -> pa.RecordBatch:
+            table = pa.Table.from_batches(held).combine_chunks()
+            held.clear()
+            if upto is not None:
+                held.extend(table.slice(upto).to_batches())
+                table = table.slice(0, upto)
+            ids = table.column("doc_id").combine_chunks()
+            sketches = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64).reshape(-1, SKETCH_WORDS)
+            columns = (table.column(c).to_numpy() for c in ("gram", "n", "position"))
+            gram, size, position = columns
+            links = chunk_links(gram, ids.dictionary_encode().indices.to_numpy(), size, position, sketches, like)
             ends = [ids.take(pa.array([e[k] for e in links], pa.int64())) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays(ends, ["a", "b"])
+            return pa.RecordBatch.from_arrays(ends, ["a", "b"])
+
+        for batch in batches:
+            held.append(batch)
+            if sum(map(len, held)) >= CHUNK_ROWS:
+                gram = np.concatenate([b.column("gram").to_numpy() for b in held])
+                last = int(np.searchsorted(gram, gram[-1]))  # the last n-gram may go on
+                if last:
+                    yield flush(last)
+        if held:
+            yield flush(None)
 
     name = kind.simpleString()
     return calm.mapInArrow(run, f"a {name}, b {name}").unionByName(stars)
@@ -458,12 +531,12 @@ def similar_groups(docs: DataFrame, n: int, percent: int, id_col: str = "doc_id"
     rough = components(candidates(members, like)).select(F.col("node").alias("doc_id"), F.col("root").alias("cluster"))
     sizes = rough.groupBy("cluster").agg(F.count(F.lit(1)).alias("members"))
     clusters = materialize(rough.join(sizes, "cluster").select("doc_id", "cluster", "members"), "clusters")
-    ordered = materialize(clustered_sets(rows, clusters, like, order), "ordered")
-    links = materialize(links_within(ordered, like, 0), "links")
-    large = ordered.filter(F.col("members") > GROUP)
+    links = materialize(links_within(clustered_sets(rows, clusters, like, order), like, 0), "links")
+    large = clusters.filter(F.col("members") > GROUP)
     if large.limit(1).count():
-        links = links.unionByName(materialize(links_within(large, like, 1), "links"))
-        links = links.unionByName(materialize(links_across(large, components(links), like), "links"))
+        ordered = materialize(clustered_sets(rows, large, like, order), "ordered")
+        links = links.unionByName(materialize(links_within(ordered, like, 1), "links"))
+        links = links.unionByName(materialize(links_across(ordered, components(links), like), "links"))
     roots = components(links)
     named = classes.join(roots, classes["class"] == roots["node"], "left")
     named = named.select(*keys, F.coalesce("root", "class").alias("component_id"))
