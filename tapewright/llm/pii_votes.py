@@ -217,13 +217,14 @@ def posterior(pattern: Iterable[int | None], prior: float, rates: list[tuple[flo
     return 1 / (1 + math.exp(min(500.0, no - yes)))
 
 
-def span_classifier(counts: dict[tuple, int], steps: int = 400, ridge: float = 0.01) -> list[float]:
+def span_classifier(counts: dict[tuple, int], steps: int = 1500, ridge: float = 0.001) -> list[float]:
     """Weights of the votes (private, not private) and of the kinds, by gradient ascent on the
-    posteriors that the vote patterns got."""
+    posteriors that the vote patterns got. A pattern weighs as the logarithm of its count, so
+    that rare ones are learnt too."""
     if not counts:
         return []
     priors, rates = reliabilities(counts)
-    rows = [(features(p), c, posterior(p[1:], priors[p[0]], rates)) for p, c in sorted(counts.items(), key=str)]
+    rows = [(features(p), math.log1p(c), posterior(p[1:], priors[p[0]], rates)) for p, c in sorted(counts.items(), key=str)]
     total, weights = sum(c for _, c, _ in rows), [0.0] * (1 + 2 * len(LABELERS) + len(CANDIDATES))
     for _ in range(steps):
         gradient = [-ridge * w for w in weights]

@@ -14,8 +14,8 @@ of either. The join goes from coarse to exact:
    left as soon as the remaining lengths cannot make up for what is missing, and subtrees
    already connected with the set are skipped. What is left is counted exactly.
 4. Clusters of more than ``GROUP`` sets are cut into blocks, twice and differently, and
-   components formed; only where a cluster still falls apart are all pairs of its blocks
-   compared.
+   components formed; only where a cluster still falls apart do the sets outside its largest
+   component visit all blocks.
 
 Links therefore span each component, without all pairs of a group of copies. Hashes of
 n-grams have 64 bits; overlaps count hashes.
@@ -155,9 +155,26 @@ def frequent(rows: DataFrame, like: Similarity) -> Order:
 
 def sketch(grams: np.ndarray) -> bytes:
     """Parity of the n-grams that fall on each bit: sets whose sketches differ in k bits differ
-    in k n-grams at least."""
-    bits = np.bincount((mix(grams) >> np.uint64(32)).astype(np.int64) % (64 * SKETCH_WORDS), minlength=64 * SKETCH_WORDS) & 1
-    return np.packbits(bits.astype(np.uint8)).tobytes()
+    in k n-grams at least. A larger set has more bits, by a power of two."""
+    bits = 64 * SKETCH_WORDS
+    while bits < len(grams) // 2:
+        bits *= 2
+    parity = np.bincount((mix(grams) >> np.uint64(32)).astype(np.int64) & (bits - 1), minlength=bits) & 1
+    return np.packbits(parity.astype(np.uint8)).tobytes()
+
+
+def folded(raw: bytes, words: int = SKETCH_WORDS) -> np.ndarray:
+    """The sketch of the same set with fewer bits: its halves joined by exclusive or."""
+    whole = np.frombuffer(raw, np.uint64)
+    while len(whole) > words:
+        whole = whole[: len(whole) // 2] ^ whole[len(whole) // 2 :]
+    return whole
+
+
+def apart(a: bytes, b: bytes) -> int:
+    """How many n-grams two sets differ in, at least."""
+    words = min(len(a), len(b)) // 8
+    return int(np.bitwise_count(folded(a, words) ^ folded(b, words)).sum())
 
 
 def described(rows: DataFrame, like: Similarity, order: Order) -> DataFrame:
@@ -264,7 +281,7 @@ def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Tabl
         yield pa.Table.from_batches(held)
 
 
-def candidate_links(size: np.ndarray, position: np.ndarray, sketches: np.ndarray, like: Similarity) -> list[tuple[int, int]]:
+def candidate_links(size: np.ndarray, position: np.ndarray, sketches: np.ndarray, raw: list[bytes], like: Similarity) -> list[tuple[int, int]]:
     """Links that connect the members of one n-gram which may be similar. Rows ascend by size."""
     forest, out = Forest(len(size)), []
     top = np.searchsorted(size, size * 100 // like.percent, "right")
@@ -275,9 +292,10 @@ def candidate_links(size: np.ndarray, position: np.ndarray, sketches: np.ndarray
         needed = like.needed(size[k], size[others])
         rest = np.minimum(size[k] - position[k], size[others] - position[others])
         others, needed = others[rest >= needed], needed[rest >= needed]
-        apart = np.bitwise_count(sketches[others] ^ sketches[k]).sum(1)
-        for j in others[apart <= size[k] + size[others] - 2 * needed].tolist():
-            if forest.join(k, j):
+        differ = np.bitwise_count(sketches[others] ^ sketches[k]).sum(1)
+        for j in others[differ <= size[k] + size[others] - 2 * needed].tolist():
+            if forest.root(k) != forest.root(j) and may_be_similar(size, raw, k, j, like):
+                forest.join(k, j)
                 out.append((k, j))
     return out
 
@@ -307,8 +325,9 @@ def small_group_links(gram: np.ndarray, size: np.ndarray, position: np.ndarray,
 CHUNK_ROWS, MANY = 200_000, 64
 
 
-def chunk_links(gram: np.ndarray, code: np.ndarray, size: np.ndarray, position: np.ndarray, sketches: np.ndarray, like: Similarity) -> list[tuple[int, int]]:
+def chunk_links(gram: np.ndarray, code: np.ndarray, size: np.ndarray, position: np.ndarray, raw: list[bytes], like: Similarity) -> list[tuple[int, int]]:
     """Links between rows, as few as connect what may be similar. ``code``: the row's class."""
+    sketches = np.frombuffer(b"".join(r if len(r) == 8 * SKETCH_WORDS else folded(r).tobytes() for r in raw), np.uint64).reshape(-1, SKETCH_WORDS)
     border = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]])
     members = np.diff(np.r_[border, len(gram)])
     few = np.flatnonzero(np.repeat(members <= MANY, members))
@@ -316,9 +335,17 @@ def chunk_links(gram: np.ndarray, code: np.ndarray, size: np.ndarray, position:
     pairs = list(zip(few[a].tolist(), few[b].tolist()))
     for at, n in zip(border[members > MANY].tolist(), members[members > MANY].tolist()):
         own = slice(at, at + n)
-        pairs += [(at + k, at + j) for k, j in candidate_links(size[own], position[own], sketches[own], like)]
+        pairs += [(at + k, at + j) for k, j in candidate_links(size[own], position[own], sketches[own], raw[own], like)]
     forest = Forest(int(code.max()) + 1 if len(code) else 0)
-    return [(k, j) for k, j in pairs if forest.join(int(code[k]), int(code[j]))]
+    return [(k, j) for k, j in pairs if may_be_similar(size, raw, k, j, like) and forest.join(int(code[k]), int(code[j]))]
+
+
+def may_be_similar(size: np.ndarray, raw: list[bytes], k: int, j: int, like: Similarity) -> bool:
+    """Look at all bits of two large sets."""
+    if min(len(raw[k]), len(raw[j])) == 8 * SKETCH_WORDS:
+        return True
+    a, b = int(size[k]), int(size[j])
+    return apart(raw[k], raw[j]) <= a + b - 2 * like.needed(a, b)
 
 
 def candidates(classes: DataFrame, like: Similarity) -> DataFrame:
@@ -343,10 +370,8 @@ def candidates(classes: DataFrame, like: Similarity) -> DataFrame:
                 held.extend(table.slice(upto).to_batches())
                 table = table.slice(0, upto)
             ids = table.column("doc_id").combine_chunks()
-            sketches = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64).reshape(-1, SKETCH_WORDS)
-            columns = (table.column(c).to_numpy() for c in ("gram", "n", "position"))
-            gram, size, position = columns
-            links = chunk_links(gram, ids.dictionary_encode().indices.to_numpy(), size, position, sketches, like)
+            gram, size, position = (table.column(c).to_numpy() for c in ("gram", "n", "position"))
+            links = chunk_links(gram, ids.dictionary_encode().indices.to_numpy(), size, position, table.column("sketch").to_pylist(), like)
             ends = [ids.take(pa.array([e[k] for e in links], pa.int64())) for k in (0, 1)]
             return pa.RecordBatch.from_arrays(ends, ["a", "b"])
 
@@ -407,17 +432,23 @@ class Trie:
             stack += node.below.values()
 
 
-def similar_in(sets: list[np.ndarray], like: Similarity) -> list[tuple[int, int]]:
-    """Links that connect all similar sets of a group. ``sets``: in global order."""
-    forest, trie, out = Forest(len(sets)), Trie(np.zeros(0, np.uint64), 0), []
-    share = like.percent / (100 + like.percent)
-    for x in sorted(range(len(sets)), key=lambda k: len(sets[k])):
-        own, size = np.sort(sets[x]), len(sets[x])
-        stack = [(child, 0) for child in trie.below.values()]
+class Joiner:
+    """A trie of sets, and which of all sets are connected so far."""
+
+    def __init__(self, sets: list[np.ndarray], like: Similarity) -> None:
+        self.sets, self.like, self.forest, self.trie = sets, like, Forest(len(sets)), Trie(np.zeros(0, np.uint64), 0)
+        self.share = like.percent / (100 + like.percent)
+
+    def insert(self, x: int) -> None:
+        self.trie.insert(x, self.sets[x])
+
+    def probe(self, grams: np.ndarray, same) -> Iterator[int]:
+        """Members similar to a set that ``same(member)`` does not yet call connected."""
+        own, size = np.sort(grams), len(grams)
+        stack = [(child, 0) for child in self.trie.below.values()]
         while stack:
             node, overlap = stack.pop()
-            root = forest.root(x)
-            if all(forest.root(m) == root for m in node.every()):
+            if all(map(same, node.every())):
                 continue
             at, depth, alive = 0, node.depth - len(node.edge), True
             while at < len(node.edge) and alive:
@@ -426,34 +457,24 @@ def similar_in(sets: list[np.ndarray], like: Similarity) -> list[tuple[int, int]
                 overlap += int((own[place] == part).sum())
                 at += len(part)
                 # A set of y n-grams has y - depth left, and needs share * (size + y).
-                alive = overlap - (depth + at) + (1 - share) * node.longest + 1e-9 >= share * size
+                alive = overlap - (depth + at) + (1 - self.share) * node.longest + 1e-9 >= self.share * size
             if not alive:
                 continue
             for m in node.members:
-                if like.percent * (size + len(sets[m]) - overlap) <= 100 * overlap and forest.join(x, m):
-                    out.append((m, x))
+                if self.like.percent * (size + len(self.sets[m]) - overlap) <= 100 * overlap and not same(m):
+                    yield m
             stack += [(child, overlap) for child in node.below.values()]
-        trie.insert(x, sets[x])
-    return out
 
 
-def similar_across(left: list[np.ndarray], right: list[np.ndarray], like: Similarity, forest_of: list[int]) -> list[tuple[int, int]]:
-    """Links between two blocks whose members lie in different components."""
-    sets, out = left + right, []
-    forest = Forest(len(sets))
-    first: dict[int, int] = {}
-    for k, c in enumerate(forest_of):
-        forest.join(first.setdefault(c, k), k)
-    order = [np.sort(s) for s in sets]
-    for k in range(len(left)):
-        for j in range(len(left), len(sets)):
-            a, b = len(sets[k]), len(sets[j])
-            if 100 * min(a, b) < like.percent * max(a, b) or forest.root(k) == forest.root(j):
-                continue
-            overlap = len(np.intersect1d(order[k], order[j], assume_unique=True))
-            if like.percent * (a + b - overlap) <= 100 * overlap:
-                forest.join(k, j)
-                out.append((k, j))
+def similar_in(sets: list[np.ndarray], like: Similarity) -> list[tuple[int, int]]:
+    """Links that connect all similar sets of a group. ``sets``: in global order."""
+    joiner, out = Joiner(sets, like), []
+    root = joiner.forest.root
+    for x in sorted(range(len(sets)), key=lambda k: len(sets[k])):
+        for m in joiner.probe(sets[x], lambda m, x=x: root(m) == root(x)):
+            joiner.forest.join(x, m)
+            out.append((m, x))
+        joiner.insert(x)
     return out
 
 
@@ -491,29 +512,41 @@ def links_within(sets: DataFrame, like: Similarity, salt: int) -> DataFrame:
 
 
 def links_across(sets: DataFrame, roots: DataFrame, like: Similarity) -> DataFrame:
-    """Verified links between the blocks of large clusters that are still in several components."""
+    """Verified links of large clusters that are still in several components. Their largest
+    component stays where it is, block by block; every set outside it visits all blocks."""
     kind = sets.schema["doc_id"].dataType.simpleString()
     named = sets.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
-    apart = named.groupBy("cluster").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("cluster")
-    named = named.join(apart, "cluster", "left_semi")
+    parts = named.groupBy("cluster", "root").agg(F.count(F.lit(1)).alias("size"))
+    cores = parts.groupBy("cluster").agg(F.max_by("root", F.struct("size", "root")).alias("core"), F.count(F.lit(1)).alias("parts"))
+    named = named.join(cores.filter("parts > 1").select("cluster", "core"), "cluster")
     blocks = F.ceil(F.col("members") / GROUP).cast("int")
-    named = named.withColumn("own", F.pmod(F.xxhash64(F.lit(0), "doc_id"), blocks).cast("int"))
-    pairs = named.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).filter("other <> own")
-    pairs = pairs.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
-    # Components as numbers: only equality within a pair of blocks counts.
-    pairs = pairs.withColumn("component", F.xxhash64("root"))
-    pairs = pairs.repartition(shuffle_partitions(sets), "cluster", "low", "high").sortWithinPartitions("cluster", "low", "high", "own", "doc_id")
+    named = named.withColumns({"own": F.pmod(F.xxhash64(F.lit(0), "doc_id"), blocks).cast("int"), "part": F.xxhash64("root")})
+    at = F.when(F.col("root") == F.col("core"), F.array("own")).otherwise(F.sequence(F.lit(0), blocks - 1))
+    rows = named.withColumn("block", F.explode(at)).withColumn("visits", F.col("block") != F.col("own"))
+    rows = rows.select("doc_id", "cluster", "block", "visits", "part", "grams").repartition(shuffle_partitions(sets), "cluster", "block")
+    rows = rows.sortWithinPartitions("cluster", "block", "visits")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in runs(batches, ["cluster", "low", "high"]):
-            grams = [np.frombuffer(g, np.uint64) for g in group.column("grams").to_pylist()]
-            own, low = group.column("own").to_pylist(), group.column("low")[0].as_py()
-            cut = sum(o == low for o in own)
-            links = similar_across(grams[:cut], grams[cut:], like, group.column("component").to_pylist())
-            ids = group.column("doc_id").combine_chunks()
-            yield pa.RecordBatch.from_arrays([ids.take(pa.array([e[k] for e in links], pa.int64())) for k in (0, 1)], ["a", "b"])
-
-    return pairs.select("doc_id", "cluster", "low", "high", "own", "component", "grams").mapInArrow(run, f"a {kind}, b {kind}")
+        key, ids, parts, joiner = None, [], [], None
+        for batch in batches:
+            found: list[tuple] = []
+            for row in batch.to_pylist():
+                if (row["cluster"], row["block"]) != key:
+                    key, ids, parts, joiner = (row["cluster"], row["block"]), [], [], Joiner([], like)
+                grams = np.frombuffer(row["grams"], np.uint64)
+                if not row["visits"]:  # residents come first; they have met each other before
+                    joiner.sets.append(grams)
+                    joiner.insert(len(ids))
+                    ids.append(row["doc_id"])
+                    parts.append(row["part"])
+                    continue
+                met = {row["part"]}
+                for m in joiner.probe(grams, lambda m, met=met: parts[m] in met):
+                    met.add(parts[m])
+                    found.append((ids[m], row["doc_id"]))
+            yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], batch.schema.field("doc_id").type) for k in (0, 1)], ["a", "b"])
+
+    return rows.mapInArrow(run, f"a {kind}, b {kind}")
 
 
 def similar_groups(docs: DataFrame, n: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
