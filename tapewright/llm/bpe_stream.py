@@ -19,6 +19,7 @@ import codecs
 import json
 import re
 import unicodedata
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -178,25 +179,30 @@ class Codec:
             self.names[i] = token
         self.symbol = byte_symbols()
         self.byte = {c: b for b, c in enumerate(self.symbol)}
-        self.words: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, bytes] = {}
         self.chunks = Chunks(self)
 
-    def stream(self, text: str) -> Iterator[int]:
-        """Ids of a text without special tokens, one word after the other."""
+    def words(self, text: str) -> list[str]:
+        """The words of a text without special tokens, normalized."""
         text = unicodedata.normalize("NFC", text)
         # Lower case goes character by character: a sigma at the end of a word is no exception.
         text = "".join(c.lower() for c in text) if "Σ" in text else text.lower()
-        known = self.words
-        for word in self.word.findall(text):
-            if word in known:
-                yield from known[word]
-                continue
-            ids = self.merges.encode("".join(map(self.symbol.__getitem__, word.encode("utf-8"))))
+        return self.word.findall(text)
+
+    def ids(self, word: str) -> Iterator[int]:
+        """Ids of one word, each as soon as it is settled."""
+        return self.merges.encode("".join(map(self.symbol.__getitem__, word.encode("utf-8"))))
+
+    def packed(self, word: str) -> bytes:
+        """Ids of one word as bytes; short words are remembered."""
+        known = self.known.get(word)
+        if known is None:
+            known = array("I", self.ids(word)).tobytes()  # little-endian on all that Spark runs on
             if len(word) <= CHUNK_CHARS:
-                if len(known) >= CHUNKS:
-                    known.clear()
-                ids = known[word] = tuple(ids)
-            yield from ids
+                if len(self.known) >= CHUNKS:
+                    self.known.clear()
+                self.known[word] = known
+        return known
 
     def encode(self, text: str) -> bytes:
         """Ids of a whole text as little-endian unsigned 32-bit integers.
@@ -244,7 +250,7 @@ class Chunks(dict):
         self.codec = codec
 
     def __missing__(self, chunk: str) -> bytes:
-        ids = np.fromiter(self.codec.stream(chunk), "<u4").tobytes()
+        ids = b"".join(map(self.codec.packed, self.codec.words(chunk)))
         if len(chunk) <= CHUNK_CHARS:
             if len(self) >= CHUNKS:
                 self.clear()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -35,6 +36,15 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             total += size or 0
         if first < len(sizes):
             yield batch.slice(first)
+    release()
+
+
+def release() -> None:
+    """Give freed memory back to the machine: Spark keeps Python workers between tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def shuffle_partitions(df: DataFrame) -> int:

@@ -566,11 +566,15 @@ def similar_groups(docs: DataFrame, n: int, percent: int, id_col: str = "doc_id"
     clusters = materialize(rough.join(sizes, "cluster").select("doc_id", "cluster", "members"), "clusters")
     links = materialize(links_within(clustered_sets(rows, clusters, like, order), like, 0), "links")
     large = clusters.filter(F.col("members") > GROUP)
-    if large.limit(1).count():
+    split = large.limit(1).count() > 0
+    if split:
         ordered = materialize(clustered_sets(rows, large, like, order), "ordered")
-        links = links.unionByName(materialize(links_within(ordered, like, 1), "links"))
-        links = links.unionByName(materialize(links_across(ordered, components(links), like), "links"))
-    roots = components(links)
+        links = materialize(links.unionByName(links_within(ordered, like, 1)), "links")
+    roots = materialize(components(links), "roots")
+    if split:
+        late = materialize(links_across(ordered, roots, like), "links")
+        if late.limit(1).count():
+            roots = components(links.unionByName(late))
     named = classes.join(roots, classes["class"] == roots["node"], "left")
     named = named.select(*keys, F.coalesce("root", "class").alias("component_id"))
     return (

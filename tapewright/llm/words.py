@@ -13,7 +13,7 @@ MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 #: Bytes hashed with one table of powers; longer texts are cut between words.
-SEGMENT = 4 << 20
+SEGMENT = (1 << 20) - 1
 
 
 def mix(x: np.ndarray) -> np.ndarray:
