@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 LEVEL = "struct<price:double,quantity:double>"
 
 
-def parse_levels(raw: Column, levels: int) -> Column:
-    """``[[price, quantity], ...]`` strings to typed levels, best ``levels`` first.
+def parse_levels(raw: Column, levels: int | None) -> Column:
+    """``[[price, quantity], ...]`` strings to typed levels, best ``levels`` first, or all.
 
     A level that is too short or does not parse is left out; the rest are kept.
     """
+    pairs = F.coalesce(raw, F.array().cast("array<array<string>>"))
     typed = F.transform(
-        F.slice(F.coalesce(raw, F.array().cast("array<array<string>>")), 1, levels),
+        pairs if levels is None else F.slice(pairs, 1, levels),
         lambda pair: F.struct(
             F.try_element_at(pair, F.lit(1)).try_cast("double").alias("price"),
             F.try_element_at(pair, F.lit(2)).try_cast("double").alias("quantity"),
@@ -37,10 +38,10 @@ def spread(bids: Column, asks: Column) -> Column:
     return F.when(two_sided(bids, asks), top_price(asks) - top_price(bids)).otherwise(0.0)
 
 
-def side_quantity(levels: Column, depth: int) -> Column:
-    """Total quantity of the best ``depth`` levels."""
+def side_quantity(levels: Column, depth: int | None) -> Column:
+    """Total quantity of the best ``depth`` levels, or of all."""
     return F.aggregate(
-        F.slice(levels, 1, depth), F.lit(0.0), lambda acc, lv: acc + F.coalesce(lv["quantity"], F.lit(0.0))
+        levels if depth is None else F.slice(levels, 1, depth), F.lit(0.0), lambda acc, lv: acc + F.coalesce(lv["quantity"], F.lit(0.0))
     )
 
 

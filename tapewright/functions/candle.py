@@ -21,23 +21,15 @@ def change_pct(new: Column, old: Column) -> Column:
     return F.try_divide(new - old, old) * 100
 
 
-def tick_order(time_ms: Column, trade_id: Column, width_ms: int) -> Column:
-    """Rank of a trade within its candle as one BIGINT: time first, trade id second.
+def tick_order(time_ms: Column, trade_id: Column) -> Column:
+    """Order of trades as one decimal: time first, trade id second, for every 64-bit id.
 
-    ``min_by``/``max_by`` over a BIGINT plan as a hash aggregate, over a struct as a
-    sort aggregate that sorts the tape before combining it. The offset within the
-    candle needs at most 27 bits (one day), which leaves 36 or more for the id; an id
-    that does not fit stops the job instead of ordering trades wrongly.
+    ``min_by``/``max_by`` over a number plan as a hash aggregate, over a struct as a sort
+    aggregate that sorts the tape before combining it.
     """
-    id_bits = 63 - (width_ms - 1).bit_length()
-    ident = F.coalesce(trade_id, F.lit(0).cast("bigint"))
-    offset = F.pmod(time_ms, F.lit(width_ms).cast("bigint"))
-    message = F.concat(
-        F.lit("trade_id "), ident.cast("string"), F.lit(f" is outside 0..2^{id_bits}-1; use wide_ids=True")
-    )
-    return F.when(
-        ident.between(0, 2**id_bits - 1), F.shiftleft(offset, id_bits).bitwiseOR(ident)
-    ).otherwise(F.raise_error(message).cast("bigint"))
+    ident = F.coalesce(trade_id, F.lit(0)).cast("decimal(20,0)")
+    # A time that is no time (beyond 18 digits) orders nothing. Ids from -2**63 to 2**63 - 1 stay within their millisecond.
+    return time_ms.try_cast("decimal(18,0)") * F.lit(str(2 * 10**19)).cast("decimal(20,0)") + ident
 
 
 def direction(open_: Column, close: Column) -> Column:

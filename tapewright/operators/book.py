@@ -59,7 +59,12 @@ def depth_norm(books: DataFrame, levels: int = DISPLAY_LEVELS) -> DataFrame:
 def dedupe(
     snapshots: DataFrame, order: tuple[str, ...] = ("timestamp",), block_ms: int = BLOCK_MS
 ) -> DataFrame:
-    """Snapshots whose timestamp differs from the one before them of the same symbol."""
+    """Snapshots whose timestamp differs from the one before them of the same symbol.
+
+    Snapshots that ``order`` leaves equal are told apart by their prices, so the same one
+    is kept on every run.
+    """
+    order = (*order, *(c for c in ("best_bid", "best_ask") if c in snapshots.columns and c not in order))
     block = F.expr(f"{order[0]} div {block_ms}")
     bordered = with_borders(snapshots, ["symbol"], list(order), block, back=1)
     before = F.lag("timestamp").over(block_window(["symbol"], list(order)))

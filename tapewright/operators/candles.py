@@ -26,13 +26,12 @@ BAR_COLUMNS = [
 ]
 
 
-def trade_aggregates(width_ms: int, wide_ids: bool = False) -> list[Column]:
+def trade_aggregates() -> list[Column]:
     """Aggregates of one candle; shared by the batch and the streaming operator.
 
     Open and close are the prices of the first and last trade by (time, id).
     """
-    time, ident = F.col("trade_time"), F.col("trade_id")
-    order = F.struct(time, ident) if wide_ids else candle.tick_order(time, ident, width_ms)
+    order = candle.tick_order(F.col("trade_time"), F.col("trade_id"))
     quote = F.col("price") * F.col("quantity")
     return [
         F.min_by("price", order).alias("open"),
@@ -57,7 +56,7 @@ def _finish(bars: DataFrame, interval: str, extra: list[str]) -> DataFrame:
     return shaped.select(*BAR_COLUMNS, *extra)
 
 
-def ohlcv(trades: DataFrame, interval: str, dim: DataFrame | None = None, wide_ids: bool = False) -> DataFrame:
+def ohlcv(trades: DataFrame, interval: str, dim: DataFrame | None = None) -> DataFrame:
     """Tumbling candles per symbol.
 
     One shuffle of partial candles: every map task combines its trades first, so a
@@ -70,7 +69,7 @@ def ohlcv(trades: DataFrame, interval: str, dim: DataFrame | None = None, wide_i
     bars = (
         trades.where(F.col("trade_time").isNotNull())
         .groupBy("symbol", start)
-        .agg(*trade_aggregates(width, wide_ids))
+        .agg(*trade_aggregates())
     )
     bars = _finish(bars, interval, [])
     if dim is None:

@@ -14,36 +14,20 @@ from tapewright.schemas import (
     QUOTE_ASSET,
     SENTIMENT_BANDS,
     SENTIMENT_FLOOR,
-    WIDTH_MS,
 )
 
-DAY = WIDTH_MS["1d"]
-
-
 def first_last(trades: DataFrame, keys: list[str], time: str = "trade_time", value: str = "price") -> DataFrame:
     """First and last ``value`` per key by (time, trade id), with row count and last time.
 
-    In two steps, days then whole history, so both order keys fit a BIGINT and both
-    steps are hash aggregates: the tape is combined before it is shuffled and never
-    sorted.
+    One hash aggregate: the tape is combined before it is shuffled and never sorted. Rows
+    without a time are counted, but are neither first nor last.
     """
-    day = candle.bucket_start(F.col(time), DAY).alias("_day")
-    order = candle.tick_order(F.col(time), F.col("trade_id"), DAY)
-    daily = (
-        trades.where(F.col(time).isNotNull())
-        .groupBy(*keys, day)
-        .agg(
-            F.min_by(value, order).alias("first"),
-            F.max_by(value, order).alias("last"),
-            F.max(time).alias("last_time"),
-            F.count("*").alias("rows"),
-        )
-    )
-    return daily.groupBy(*keys).agg(
-        F.min_by("first", "_day").alias("first"),
-        F.max_by("last", "_day").alias("last"),
-        F.max("last_time").alias("last_time"),
-        F.sum("rows").alias("rows"),
+    order = candle.tick_order(F.col(time), F.col("trade_id"))
+    return trades.groupBy(*keys).agg(
+        F.min_by(value, order).alias("first"),
+        F.max_by(value, order).alias("last"),
+        F.max(time).alias("last_time"),
+        F.count("*").alias("rows"),
     )
 
 
@@ -51,7 +35,7 @@ def session_change(trades: DataFrame, since: int | None = None) -> DataFrame:
     """Open, close and percent change per symbol since a start time."""
     if since is not None:
         trades = trades.where(F.col("trade_time") >= since)
-    ends = first_last(trades, ["symbol"])
+    ends = first_last(trades.where(F.col("trade_time").isNotNull()), ["symbol"])
     return ends.select(
         "symbol",
         F.col("first").alias("open"),

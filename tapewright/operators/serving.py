@@ -62,7 +62,7 @@ def trades_latest(trades: DataFrame, symbol: str, n: int = 50) -> DataFrame:
 
 def prediction_history(predictions: DataFrame, symbol: str, n: int = 50) -> DataFrame:
     """Newest ``n`` predictions of a symbol."""
-    return predictions.where(F.col("symbol") == symbol).orderBy(F.col("prediction_time").desc()).limit(n)
+    return predictions.where(F.col("symbol") == symbol).orderBy(F.col("prediction_time").desc(), F.col("open_time").desc()).limit(n)
 
 
 def predictions_by_change(predictions: DataFrame) -> DataFrame:

@@ -33,7 +33,7 @@ def ticker(candles: DataFrame, interval: str = "1m") -> DataFrame:
 
 def latest_book(books: DataFrame) -> DataFrame:
     """Newest snapshot per symbol."""
-    return latest_per_key(books, ["symbol"], ["timestamp"])
+    return latest_per_key(books, ["symbol"], ["timestamp", *(c for c in ("best_bid", "best_ask") if c in books.columns)])
 
 
 def recent_trades(trades: DataFrame, keep: int = RECENT_TRADES, salts: int = 64) -> DataFrame:

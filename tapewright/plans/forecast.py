@@ -11,7 +11,7 @@ from tapewright.functions import scoring
 from tapewright.operators.features import clean, features, latest_k, latest_row
 from tapewright.operators.serving import fallback_source
 from tapewright.schemas import LOOKBACK_BARS, WIDTH_MS
-from tapewright.sources.tables import scan_recent
+from tapewright.sources.tables import scan_recent, time_range
 
 PREDICTION_COLUMNS = [
     "symbol",
@@ -59,12 +59,13 @@ def predictions(rows: DataFrame, params: Mapping, prediction_time: Column, inter
 def recent_or_latest(
     candles: DataFrame, as_of: int, interval: str = "5m", periods: int = LOOKBACK_BARS, per_symbol: bool = False
 ) -> DataFrame:
-    """Recent candles, or the newest ``periods`` per symbol where those are too few.
+    """Recent candles, or the newest ``periods`` per symbol where those are too few; closed at
+    ``as_of`` in either case.
 
     The threshold counts rows of all symbols together. ``per_symbol`` always takes the
     newest ``periods`` of each symbol instead.
     """
-    one = candles.where(F.col("interval") == interval)
+    one = time_range(candles.where(F.col("interval") == interval), end=as_of - WIDTH_MS[interval], interval=interval)
     older = latest_k(one, max(periods, LOOKBACK_BARS))
     if per_symbol:
         return older

@@ -93,7 +93,7 @@ def normalize_depth(
     symbol: Column,
     timestamp: Column,
     value: str = "value",
-    levels: int = BOOK_LEVELS,
+    levels: int | None = BOOK_LEVELS,
 ) -> DataFrame:
     """Depth messages to the book layout: typed levels, top of book and spread.
 

@@ -103,11 +103,13 @@ def scan_recent(
     periods: int = LOOKBACK_BARS,
     symbols: list[str] | None = None,
 ) -> DataFrame:
-    """Candles no older than ``periods`` candle widths."""
+    """Candles closed at ``as_of`` and no older than ``periods`` candle widths. A candle that is
+    still open, or opens later, holds trades the clock has not seen."""
     df = candles.where(F.col("interval") == interval)
     if symbols is not None:
         df = df.where(F.col("symbol").isin(symbols))
-    return time_range(df, start=as_of - periods * WIDTH_MS[interval], interval=interval)
+    width = WIDTH_MS[interval]
+    return time_range(df, as_of - periods * width, as_of - width, interval=interval)
 
 
 def symbol_metadata(spark: SparkSession, rows: list[tuple] | None = None) -> DataFrame:

@@ -76,7 +76,7 @@ def _latest(i: Inputs) -> DataFrame:
   coalesce(max(CASE WHEN side = 'bid' AND level = 1 THEN price END), 0) AS best_bid,
   coalesce(max(CASE WHEN side = 'ask' AND level = 1 THEN price END), 0) AS best_ask,
   sum(CASE WHEN side = 'bid' AND level <= 15 THEN quantity ELSE 0 END) AS bid_quantity,
-  greatest(max(CASE WHEN level <= 15 THEN quantity END), 0.0001) AS largest,
+  greatest(max(CASE WHEN level <= 15 THEN quantity END), 0.0001) AS largest, sum(quantity) AS whole_quantity,
   sum(CASE WHEN side = 'ask' AND level <= 20 THEN price * quantity ELSE 0 END) AS ask_notional
 FROM levels GROUP BY symbol, timestamp""",
     "ask_notional",
@@ -92,5 +92,6 @@ def _arrays(i: Inputs) -> DataFrame:
         fn.top_price(asks).alias("best_ask"),
         fn.side_quantity(bids, 15).alias("bid_quantity"),
         fn.max_quantity(bids, asks, 15, 0.0001).alias("largest"),
+        (fn.side_quantity(bids, None) + fn.side_quantity(asks, None)).alias("whole_quantity"),
         F.coalesce(total, F.lit(0.0)).alias("ask_notional"),
     )

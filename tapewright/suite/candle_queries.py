@@ -210,7 +210,7 @@ def _training(i: Inputs) -> DataFrame:
 
 @query(
     "scan_recent_lookback",
-    f"SELECT * FROM bars_5m WHERE open_time >= {AS_OF - 40 * 300_000}",
+    f"SELECT * FROM bars_5m WHERE open_time >= {AS_OF - 40 * 300_000} AND close_time <= {AS_OF}",
     SUMS,
 )
 def _recent(i: Inputs) -> DataFrame:

@@ -102,11 +102,12 @@ RECENT = AS_OF - 40 * 300_000
 @query(
     "fallback_source",
     f"""SELECT symbol, open_time, close FROM bars_5m
-WHERE open_time >= {RECENT} AND (SELECT count(*) FROM bars_5m WHERE open_time >= {RECENT}) >= 40
+WHERE open_time >= {RECENT} AND close_time <= {AS_OF}
+  AND (SELECT count(*) FROM bars_5m WHERE open_time >= {RECENT} AND close_time <= {AS_OF}) >= 40
 UNION ALL
-SELECT symbol, open_time, close FROM (SELECT * FROM bars_5m
+SELECT symbol, open_time, close FROM (SELECT * FROM bars_5m WHERE close_time <= {AS_OF}
   QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY open_time DESC) <= 40)
-WHERE (SELECT count(*) FROM bars_5m WHERE open_time >= {RECENT}) < 40""",
+WHERE (SELECT count(*) FROM bars_5m WHERE open_time >= {RECENT} AND close_time <= {AS_OF}) < 40""",
 )
 def _fallback(i: Inputs) -> DataFrame:
     return recent_or_latest(i.bars("5m"), AS_OF).select("symbol", "open_time", "close")

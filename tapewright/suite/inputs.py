@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapewright.operators import candles, features
@@ -21,9 +21,6 @@ from tapewright.sources import tables
 #: Explicit clock of the queries: 2024-01-30T18:42:30Z. Later bars count as open.
 AS_OF = 1_706_640_150_000
 
-#: Levels per side of a depth message.
-FEED_LEVELS = 100
-
 #: Four of the five symbols, so that one has no metadata.
 DIM_ROWS = [
     ("click", "Click", "CLK", "Layer 1", 1),
@@ -178,18 +175,17 @@ class Inputs:
 
     @property
     def depth_feed(self) -> DataFrame:
-        """One depth message per symbol and day: best levels of each side as strings."""
+        """One depth message per symbol and hour, at its end: all levels of each side as strings,
+        the quantities of one price added up. A side without trades is empty."""
         levels = self.tape.select(
             "symbol",
-            (F.col("trade_time") - F.pmod("trade_time", F.lit(WIDTH_MS["1d"])) + WIDTH_MS["1d"]).alias("timestamp"),
+            (F.col("trade_time") - F.pmod("trade_time", F.lit(WIDTH_MS["1h"])) + WIDTH_MS["1h"]).alias("timestamp"),
             F.when(F.col("is_buyer_maker"), "bid").otherwise("ask").alias("side"),
             F.when(F.col("is_buyer_maker"), 1000 - F.col("price")).otherwise(1000 + F.col("price")).alias("price"),
             "quantity",
-            "trade_id",
         )
-        nearest = Window.partitionBy("symbol", "timestamp", "side").orderBy(F.abs(F.col("price") - 1000), "trade_id")
-        ranked = levels.withColumn("level", F.row_number().over(nearest)).where(F.col("level") <= FEED_LEVELS)
-        return ranked.groupBy("symbol", "timestamp").agg(_side("bid").alias("bids"), _side("ask").alias("asks"))
+        summed = levels.groupBy("symbol", "timestamp", "side", "price").agg(F.sum("quantity").alias("quantity"))
+        return summed.groupBy("symbol", "timestamp").agg(_side("bid").alias("bids"), _side("ask").alias("asks"))
 
     @property
     def depth_messages(self) -> DataFrame:
@@ -205,7 +201,7 @@ class Inputs:
         from tapewright.sources.decode import normalize_depth
 
         feed = self.depth_feed.withColumn("value", F.to_json(F.struct("bids", "asks")))
-        books = normalize_depth(feed, F.col("symbol"), F.col("timestamp"), levels=FEED_LEVELS)
+        books = normalize_depth(feed, F.col("symbol"), F.col("timestamp"), levels=None)
         return books.withColumn("symbol", F.lower("symbol"))
 
     @property
@@ -306,6 +302,7 @@ class Inputs:
 
 def _side(name: str) -> Column:
     """Levels of one side, best first, as ``[price, quantity]`` strings."""
-    level = F.struct("level", F.array(F.col("price").cast("string"), F.col("quantity").cast("string")).alias("pair"))
+    pair = F.array(F.col("price").cast("string"), F.col("quantity").cast("string")).alias("pair")
+    level = F.struct(F.abs(F.col("price") - 1000).alias("distance"), pair)
     sorted_levels = F.array_sort(F.collect_list(F.when(F.col("side") == name, level)))
     return F.transform(sorted_levels, lambda s: s["pair"])

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 from tapewright.schemas import FEATURES, WIDTH_MS
-from tapewright.suite.inputs import AS_OF, DIM_ROWS, FEED_LEVELS, PARAMS
+from tapewright.suite.inputs import AS_OF, DIM_ROWS, PARAMS
 
 
 def _bars(width: int, name: str) -> str:
@@ -111,7 +111,7 @@ def fitted_sql(part: str) -> tuple[str, str]:
 CUT = "(SELECT min(open_time) + CAST(floor((max(open_time) - min(open_time)) * 0.8) AS BIGINT) FROM training)"
 
 NOT_NULL = " AND ".join(f"{name} IS NOT NULL" for name in FEATURES)
-HOUR, DAY = WIDTH_MS["1h"], WIDTH_MS["1d"]
+HOUR = WIDTH_MS["1h"]
 
 ISO = "'%Y-%m-%dT%H:%M:%S.%gZ'"
 
@@ -128,9 +128,10 @@ CTES = {
     "candle_table": "SELECT * FROM bars_5m UNION ALL SELECT * FROM bars_1h UNION ALL SELECT * FROM bars_4h",
     "features": _features("bars_1h"),
     "training": f"SELECT * FROM features WHERE target IS NOT NULL AND {NOT_NULL}",
-    "recent_1h": f"SELECT * FROM bars_1h WHERE open_time >= {AS_OF - 40 * WIDTH_MS['1h']}",
+    "past_1h": f"SELECT * FROM bars_1h WHERE close_time <= {AS_OF}",
+    "recent_1h": f"SELECT * FROM past_1h WHERE open_time >= {AS_OF - 40 * WIDTH_MS['1h']}",
     "forecast_bars": """SELECT * FROM recent_1h WHERE (SELECT count(*) FROM recent_1h) >= 40 UNION ALL
-SELECT * FROM (SELECT * FROM bars_1h QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY open_time DESC) <= 40)
+SELECT * FROM (SELECT * FROM past_1h QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY open_time DESC) <= 40)
 WHERE (SELECT count(*) FROM recent_1h) < 40""",
     "forecast_features": _features("forecast_bars"),
     "train_part": f"SELECT * FROM training WHERE open_time <= {CUT}",
@@ -144,11 +145,10 @@ WHERE (SELECT count(*) FROM recent_1h) < 40""",
   strftime(make_timestamp((open_time + {HOUR}) * 1000), '%Y-%m-%d %H:%M:%S') AS target_time,
   return_1, rsi, volatility_5, volume_ratio
 FROM (SELECT *, {score_sql()} AS s FROM features WHERE {NOT_NULL})""",
-    "levels": f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY symbol, timestamp, side
-    ORDER BY abs(price - 1000), trade_id) AS level
-FROM (SELECT symbol, trade_time - trade_time % {DAY} + {DAY} AS timestamp, trade_id, quantity,
+    "levels": f"""SELECT *, row_number() OVER (PARTITION BY symbol, timestamp, side ORDER BY abs(price - 1000)) AS level
+FROM (SELECT symbol, trade_time - trade_time % {HOUR} + {HOUR} AS timestamp, sum(quantity) AS quantity,
   CASE WHEN is_buyer_maker THEN 'bid' ELSE 'ask' END AS side,
-  CASE WHEN is_buyer_maker THEN 1000 - price ELSE 1000 + price END AS price FROM tape)) WHERE level <= {FEED_LEVELS}""",
+  CASE WHEN is_buyer_maker THEN 1000 - price ELSE 1000 + price END AS price FROM tape GROUP BY ALL)""",
     "tops": """SELECT symbol, timestamp, coalesce(max(CASE WHEN side = 'bid' AND level = 1 THEN price END), 0) AS best_bid,
   coalesce(max(CASE WHEN side = 'ask' AND level = 1 THEN price END), 0) AS best_ask,
   CASE WHEN count(DISTINCT side) = 2 THEN max(CASE WHEN side = 'ask' AND level = 1 THEN price END)

@@ -175,7 +175,8 @@ def test_fallback_counts_rows_of_all_symbols(spark):
     assert serving.fallback_source(recent, older, 3).count() == 3
     assert serving.fallback_source(recent, older, 4).count() == 5
     candles = _klines(spark, 100, interval="5m")
-    assert recent_or_latest(candles, as_of=0).count() == 100
+    assert recent_or_latest(candles, as_of=0).count() == 0
+    assert recent_or_latest(candles, as_of=24 * 60_000).count() == 20  # too few recent ones: all that are closed
     assert recent_or_latest(candles, as_of=10**12).count() == 40
 
 

@@ -107,5 +107,6 @@ def test_confidence(spark):
 def test_forecast_uses_newest_bar_of_each_symbol(bars):
     candles = bars({"A": range(1, 60), "B": range(60, 1, -1)}).withColumn("interval", F.lit("5m"))
     rows = forecast.forecast(candles, {"intercept": 1.0}, as_of=58 * 300_000).orderBy("symbol").collect()
-    assert [(r.symbol, r.open_time, r.close) for r in rows] == [("A", 58 * 300_000, 59.0), ("B", 58 * 300_000, 2.0)]
+    assert [(r.symbol, r.open_time, r.close) for r in rows] == [("A", 57 * 300_000, 58.0), ("B", 57 * 300_000, 3.0)]
+    assert forecast.forecast(candles.where("open_time < 17400000"), {"intercept": 1.0}, as_of=58 * 300_000).orderBy("symbol").collect() == rows
     assert rows[0].prediction_time == "1970-01-01T04:50:00.000Z"
