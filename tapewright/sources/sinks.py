@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass, field
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tapewright.operators.serving import latest_per_key
-from tapewright.schemas import STORED_CANDLE
+from tapewright.schemas import PARTITION_SPAN, STORED_CANDLE
 from tapewright.sources.tables import day_of, partition_date
 
 
@@ -19,16 +21,16 @@ def batch_name(batch: DataFrame, batch_id: int) -> str:
     return f"{query}:{batch_id}"
 
 
-def write_partitions(rows: DataFrame, path: str, partitions: list[str]) -> None:
-    """Replace the partitions ``rows`` fall into.
+def write_partitions(rows: DataFrame, path: str, partitions: list[str], mode: str = "overwrite") -> None:
+    """Replace the partitions ``rows`` fall into, or append to them.
 
     Rebalancing brings a partition's rows together, so it becomes few files, and splits
     a partition that is too large for one task.
     """
     (
         rows.hint("rebalance", *map(F.col, partitions))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .write.mode(mode)
+        .option("partitionOverwriteMode", "dynamic" if mode == "overwrite" else "static")
         .partitionBy(*partitions)
         .parquet(path)
     )
@@ -40,31 +42,21 @@ def _file(spark: SparkSession, path: str):
     return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target, fs = _file(spark, path)
-    return fs.exists(target)
-
-
-def _mark(spark: SparkSession, path: str) -> None:
-    target, fs = _file(spark, path)
-    fs.create(target, True).close()
-
-
-def _unmark(spark: SparkSession, path: str) -> None:
-    target, fs = _file(spark, path)
-    fs.delete(target, False)
+#: Columns a stored change has besides the table's: which fields it carries, and when it was
+#: written (microseconds).
+CHANGE = T.StructType().add("_given", T.ArrayType(T.StringType())).add("_at", T.LongType())
 
 
 @dataclass
 class KeyedTable:
-    """A Parquet table with a unique key and last-write-wins upserts.
-
-    An upsert rewrites only the partitions its rows fall into, in two steps: the merged
-    partitions are written to the writer's staging folder and marked ready, then copied
-    over the live ones and unmarked. A writer that finds its staging still marked was cut
-    off while copying, and copies again before it goes on; so a lost driver never costs
-    stored rows, and a replayed batch merges to the same result. A partition has one
-    writer at a time.
+    """A Parquet table with a unique key and newest-wins upserts, stored as changes.
+
+    An upsert appends its rows to the partitions they fall into; nothing stored is read or
+    rewritten, so its work follows the batch and not the partition, writers need not know
+    of each other, and a writer that is cut off leaves nothing behind. Reading takes, for
+    every key and field, the newest change that carries the field: by ``order``, then by
+    the time of writing. A replayed batch adds equal changes. Tables with several writers,
+    or with late messages, need an ``order``. ``compact`` folds changes together.
     """
 
     path: str
@@ -73,66 +65,71 @@ class KeyedTable:
     partitions: list[str]
     order: list[str] = field(default_factory=list)
 
+    def changes(self, spark: SparkSession) -> DataFrame:
+        """All stored changes."""
+        return spark.read.schema(T.StructType([*self.schema.fields, *CHANGE.fields])).parquet(self.path)
+
     def read(self, spark: SparkSession) -> DataFrame:
-        return spark.read.schema(self.schema).parquet(self.path)
+        """The current rows. Filters on keys and partitions reach the scan."""
+        return self._newest(self.changes(spark)).select(*self.schema.fieldNames())
 
     def prepare(self, rows: DataFrame) -> DataFrame:
         """Hook: derive partition columns."""
         return rows
 
-    def upsert(self, rows: DataFrame, writer: str = "batch") -> None:
+    def upsert(self, rows: DataFrame) -> None:
         """Insert ``rows`` or replace the fields of the rows with the same key.
 
         Fields the new rows do not carry keep their stored values.
         """
-        spark = rows.sparkSession
         unknown = set(rows.columns) - set(self.schema.fieldNames())
         if unknown:
             raise ValueError(f"columns not in the table: {sorted(unknown)}")
-        staged = f"{self.path.rstrip('/')}__staging/{writer}"
-        self._publish(spark, staged)
-        rows = self.prepare(rows).persist()
-        try:
-            # The partitions one batch touches are calendar spans, so their list is short.
-            touched = [tuple(r) for r in rows.select(*self.partitions).distinct().collect()]
-            if not touched:
-                return
-            merged = self._merge(spark, rows, touched).hint("rebalance", *map(F.col, self.partitions))
-            merged.write.mode("overwrite").partitionBy(*self.partitions).parquet(staged)
-        finally:
-            rows.unpersist()
-        _mark(spark, f"{staged}.ready")
-        self._publish(spark, staged)
-
-    def _publish(self, spark: SparkSession, staged: str) -> None:
-        """Copy staged partitions over the live ones if they are marked ready."""
-        if _exists(spark, f"{staged}.ready"):
-            write_partitions(spark.read.schema(self.schema).parquet(staged), self.path, self.partitions)
-            _unmark(spark, f"{staged}.ready")
-
-    def _merge(self, spark: SparkSession, rows: DataFrame, touched: list[tuple]) -> DataFrame:
-        """Stored rows of the touched partitions with the new rows over them."""
-        new = latest_per_key(rows, self.keys, self.order) if self.order else rows.dropDuplicates(self.keys)
-        given = [c for c in self.schema.fieldNames() if c in new.columns]
-        if not _exists(spark, self.path):
-            return new.select(*given)
-        old = self.read(spark).where(self._in_partitions(touched))
-        both = old.alias("o").join(new.alias("n").withColumn("_new", F.lit(True)), self.keys, "full_outer")
-        fields = [
-            F.when(F.col("_new"), F.col(f"n.{c}")).otherwise(F.col(f"o.{c}")).alias(c) if c in given else F.col(f"o.{c}")
-            for c in self.schema.fieldNames()
-            if c not in self.keys
+        fields = [c for c in self.schema.fieldNames() if c in rows.columns and c not in self._group()]
+        rows = self.prepare(rows)
+        order = [c for c in self.order if c in rows.columns]
+        new = latest_per_key(rows, self.keys, order) if order else rows.dropDuplicates(self.keys)
+        given = F.array(*map(F.lit, fields)).cast("array<string>").alias("_given")
+        write_partitions(new.select("*", given, F.lit(time.time_ns() // 1000).alias("_at")), self.path, self.partitions, "append")
+
+    def _group(self) -> list[str]:
+        return [*self.keys, *(c for c in self.partitions if c not in self.keys)]
+
+    def _version(self) -> Column:
+        """Order of changes as one value; a single whole-number column and the time of writing
+        share a decimal, which aggregates without sorting."""
+        at = F.coalesce("_at", F.lit(0).cast("bigint"))
+        if len(self.order) == 1:
+            first = F.coalesce(self.order[0], F.lit(-1).cast("bigint")).cast("decimal(18,0)")
+            return first * F.lit(str(10**19)).cast("decimal(20,0)") + at
+        return F.struct(*self.order, at) if self.order else at
+
+    def _newest(self, changes: DataFrame) -> DataFrame:
+        changes = changes.withColumn("_version", self._version())
+        fields = [c for c in self.schema.fieldNames() if c not in self._group()]
+        newest = [
+            F.expr(f"max_by(`{c}`, _version) FILTER (WHERE _given IS NULL OR array_contains(_given, '{c}')) AS `{c}`") for c in fields
         ]
-        return both.select(*self.keys, *fields)
+        known = F.array_distinct(F.flatten(F.collect_set(F.coalesce("_given", F.array(*map(F.lit, fields)))))).alias("_given")
+        return changes.groupBy(*self._group()).agg(*newest, known, F.max("_at").alias("_at"))
+
+    def compact(self, spark: SparkSession, where: Column | None = None) -> int:
+        """Fold the changes of the partitions that ``where`` selects; returns the files replaced.
 
-    def _in_partitions(self, touched: list[tuple]) -> Column:
-        test = F.lit(False)
-        for values in touched:
-            one = F.lit(True)
-            for name, value in zip(self.partitions, values, strict=True):
-                one = one & (F.col(name) == value)
-            test = test | one
-        return test
+        The folded rows are added first and the files they came from deleted after that:
+        a compaction that is cut off leaves changes twice, which read the same, and files
+        that other writers add meanwhile stay. ``where`` may name partition columns only.
+        """
+        changes = self.changes(spark) if where is None else self.changes(spark).where(where)
+        old = [r[0] for r in changes.select("_metadata.file_path").distinct().collect()]
+        if not old:
+            return 0
+        listed = spark.read.schema(changes.schema).option("basePath", self.path).parquet(*old)
+        write_partitions(self._newest(listed), self.path, self.partitions, "append")
+        for name in old:
+            target, fs = _file(spark, name)
+            fs.delete(target, False)
+        return len(old)
 
 
 class CandleTable(KeyedTable):
@@ -145,32 +142,81 @@ class CandleTable(KeyedTable):
         return rows.withColumn("date", partition_date(F.col("interval"), F.col("open_time")))
 
 
-def append_once(rows: DataFrame, path: str, time: str, batch: str) -> None:
-    """Append one micro-batch to a history partitioned by day.
+def append_once(rows: DataFrame, path: str, column: str, batch: str) -> None:
+    """Append one micro-batch to a history with one folder for each day.
 
-    The batch name is a partition too, so a replayed batch overwrites its own files
-    instead of appending them twice.
+    The batch is written aside and its files are then moved into the days under the
+    batch's name. A replay first removes what files of that name are there, so a batch
+    counts once wherever it was cut off; the number of folders follows the days.
     """
-    named = rows.withColumns({"date": day_of(F.col(time)), "batch": F.lit(batch.replace(":", "-"))})
-    write_partitions(named, path, ["date", "batch"])
+    spark = rows.sparkSession
+    name = batch.replace(":", "-")
+    aside = f"{path.rstrip('/')}__batches/{name}"
+    dated = rows.withColumn("date", day_of(F.col(column)))
+    dated.hint("rebalance", "date").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("date").parquet(aside)
+    source, fs = _file(spark, f"{aside}/date=*/*.parquet")
+    for stale in fs.globStatus(_file(spark, f"{path}/date=*/{name}.*.parquet")[0]) or []:
+        fs.delete(stale.getPath(), False)
+    for k, status in enumerate(fs.globStatus(source) or []):
+        day = _file(spark, f"{path}/{status.getPath().getParent().getName()}")[0]
+        fs.mkdirs(day)
+        if not fs.rename(status.getPath(), _file(spark, f"{day}/{name}.{k:05d}.parquet")[0]):
+            raise OSError(f"cannot move a file of batch {batch} into {day}")
+    fs.delete(_file(spark, aside)[0], True)
 
 
 def replace_table(rows: DataFrame, path: str) -> None:
-    """Write a small latest-value table whole."""
-    rows.write.mode("overwrite").parquet(path)
+    """Write a small latest-value table whole, as a new version that readers switch to at once.
+
+    Readers of ``read_latest`` see the old version until the new one is complete. The two
+    newest versions stay, for readers that have just opened one.
+    """
+    spark = rows.sparkSession
+    version = f"v{time.time_ns():020d}"
+    rows.write.parquet(f"{path}/{version}")
+    done = _versions(spark, path)
+    for old in done[:-2]:
+        target, fs = _file(spark, f"{path}/{old}")
+        fs.delete(target, True)
+
+
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    """Complete versions, oldest first: the writer marks a folder when all of it is there."""
+    pattern, fs = _file(spark, f"{path}/v*/_SUCCESS")
+    return sorted(status.getPath().getParent().getName() for status in fs.globStatus(pattern) or [])
+
+
+def read_latest(spark: SparkSession, path: str) -> DataFrame:
+    """The newest complete version of a replaced table."""
+    done = _versions(spark, path)
+    if not done:
+        raise FileNotFoundError(f"no complete version in {path}")
+    return spark.read.parquet(f"{path}/{done[-1]}")
+
+
+def span_end(day: str, span: str) -> str:
+    """First day after the span of a partition that is named by its first day."""
+    first = date.fromisoformat(day)
+    if span == "year":
+        return first.replace(year=first.year + 1).isoformat()
+    if span == "month":
+        return (first.replace(day=28) + timedelta(days=4)).replace(day=1).isoformat()
+    return (first + timedelta(days=1)).isoformat()
 
 
-def expire_days(spark: SparkSession, path: str, before: str) -> list[str]:
-    """Drop whole ``date=`` partitions older than the day ``before``; returns their paths.
+def expire_days(spark: SparkSession, path: str, before: str, interval: str | None = None) -> list[str]:
+    """Drop ``date=`` partitions all of whose days are older than ``before``; returns their paths.
 
-    Partition folders are dropped, not rewritten, so the cost does not grow with their
-    rows. For candles, ``path`` is the folder of one interval.
+    Folders are dropped, not rewritten, so the cost does not grow with their rows; the
+    partition that holds the border stays, and ``retain`` filters it. For candles, ``path``
+    is the folder of one ``interval``, whose partitions may span a month or a year.
     """
     pattern, fs = _file(spark, f"{path}/date=*")
+    span = PARTITION_SPAN[interval] if interval else "day"
     dropped = []
     for status in fs.globStatus(pattern) or []:
-        day = status.getPath()
-        if day.getName().split("=", 1)[1] < before:
-            fs.delete(day, True)
-            dropped.append(str(day))
+        folder = status.getPath()
+        if span_end(folder.getName().split("=", 1)[1], span) <= before:
+            fs.delete(folder, True)
+            dropped.append(str(folder))
     return sorted(dropped)

@@ -49,7 +49,7 @@ def tumbling(
         trades.withColumn("event_ts", candle.event_ts(F.col("trade_time")))
         .withWatermark("event_ts", lateness)
         .groupBy(F.window("event_ts", DURATION[interval]), "symbol")
-        .agg(*bars.trade_aggregates(bars.WIDTH_MS[interval]))
+        .agg(*bars.trade_aggregates())
     )
     shaped = windowed.withColumns(
         {
@@ -77,7 +77,7 @@ def start_ohlcv(
     name = f"ohlcv_{interval}"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        table.upsert(batch, name)
+        table.upsert(batch)
 
     return run(tumbling(trades, interval, dim, lateness), name, "update", write, checkpoint, every)
 
@@ -107,10 +107,13 @@ def start_klines(
     interval: str = "1m",
     every: str | None = TRIGGER["klines"],
 ) -> StreamingQuery:
-    """Exchange candles, stateless; the newest message of a candle wins."""
+    """Exchange candles, stateless; the newest message of a candle wins, so the table needs an
+    order of its messages."""
+    if not table.order:
+        raise ValueError("exchange candles need a table with an order, such as event_time")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        table.upsert(batch, "klines")
+        table.upsert(batch)
 
     return run(enrich_klines(klines, interval), "klines", "append", write, checkpoint, every)
 
@@ -134,7 +137,7 @@ def start_book(
         append_once(batch, history_path, "timestamp", batch_name(batch, batch_id))
         shard = F.pmod(F.hash("symbol"), F.lit(shards))
         tops = latest_book(batch).select(*BOOK_TOP.fieldNames()).withColumn("shard", shard)
-        latest.upsert(tops, "book")
+        latest.upsert(tops)
 
     return run(tops, "book", "append", write, checkpoint, every)
 
@@ -142,10 +145,9 @@ def start_book(
 def session_aggregate(trades: DataFrame) -> DataFrame:
     """Open, close and change per symbol since the stream began.
 
-    State is one row per symbol. The order key spans the whole session and so does not
-    fit one BIGINT with the trade id; a micro-batch is small enough to sort.
+    State is one row per symbol.
     """
-    order = F.struct("trade_time", "trade_id")
+    order = candle.tick_order(F.col("trade_time"), F.col("trade_id"))
     ends = trades.groupBy("symbol").agg(
         F.min_by("price", order).alias("open"),
         F.max_by("price", order).alias("close"),

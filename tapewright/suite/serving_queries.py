@@ -135,7 +135,7 @@ def _ranking(i: Inputs) -> DataFrame:
     path = i.scratch("ranking")
     for _ in range(2):  # replaced as a whole each time
         sinks.replace_table(ranking.top_n(ranked(i)), path)
-    return i.spark.read.parquet(path)
+    return sinks.read_latest(i.spark, path)
 
 
 @query(
@@ -188,4 +188,4 @@ def _append(i: Inputs) -> DataFrame:
     sinks.append_once(tops.where(early), path, "timestamp", "0")
     for _ in range(2):
         sinks.append_once(tops.where(~early), path, "timestamp", "1")
-    return i.spark.read.parquet(path).drop("batch").withColumn("date", F.col("date").cast("string"))
+    return i.spark.read.parquet(path).withColumn("date", F.col("date").cast("string"))

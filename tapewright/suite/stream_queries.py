@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tapewright.operators.candles import BAR_COLUMNS
 from tapewright.schemas import BOOK_TOP, KLINE, MAX_TRADES_PER_TRIGGER, TRADE
 from tapewright.sources.decode import decode_json
-from tapewright.sources.sinks import CandleTable
+from tapewright.sources.sinks import CandleTable, read_latest
 from tapewright.sources.streams import broker_options, read_files
 from tapewright.streaming import jobs
 from tapewright.streaming.supervise import await_all, progress_frame
@@ -120,7 +120,7 @@ def _ranking(i: Inputs) -> DataFrame:
     path = i.scratch("ranking")
     stream = json_stream(i, i.trades, TRADE, max_files=2)
     await_all([jobs.start_ranking(stream, path, i.scratch("checkpoint"), None)])
-    return i.spark.read.parquet(path)
+    return read_latest(i.spark, path)
 
 
 @query("stream_upsert_idempotent", "SELECT * FROM bars_1d", SUMS)

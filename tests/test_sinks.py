@@ -40,25 +40,67 @@ def test_newest_of_a_batch_wins(spark, tmp_path):
     assert rows_of(table.read(spark), "close") == [(2.0,)]
 
 
-def test_an_upsert_cut_off_while_copying_is_finished_by_the_next(spark, tmp_path, monkeypatch):
+ORDERED = "symbol STRING, interval STRING, open_time BIGINT, close DOUBLE, event_time BIGINT"
+
+
+def test_an_older_message_never_replaces_a_newer_one(spark, tmp_path):
+    table = sinks.CandleTable(str(tmp_path / "t"), ["event_time"])
+    for close, at in ((1.0, 7), (2.0, 5), (3.0, None)):
+        table.upsert(spark.createDataFrame([("A", "1m", 0, close, at)], ORDERED))
+        assert rows_of(table.read(spark), "close", "event_time") == [(1.0, 7)]
+    table.upsert(spark.createDataFrame([("A", "1m", 0, 4.0, 8)], ORDERED))
+    assert rows_of(table.read(spark), "close") == [(4.0,)]
+
+
+def test_writers_of_one_partition_do_not_undo_each_other(spark, tmp_path):
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        one, two = (sinks.CandleTable(str(tmp_path / "t")) for _ in range(2))
+        one.upsert(spark.createDataFrame([("A", "1m", 0, 1.0, "w1"), ("B", "1m", 0, 1.0, "w1")], SCHEMA))
+        two.upsert(spark.createDataFrame([("A", "1m", 0, 2.0, "w2")], SCHEMA))
+        one.upsert(spark.createDataFrame([("A", "1m", DAY, 3.0, "w1")], SCHEMA))
+        want = [("A", 0, 2.0), ("A", DAY, 3.0), ("B", 0, 1.0)]
+        assert rows_of(one.read(spark), "symbol", "open_time", "close") == want
+        one.compact(spark)
+        assert rows_of(two.read(spark), "symbol", "open_time", "close") == want
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+
+
+def test_an_upsert_reads_nothing_and_writes_its_own_rows(spark, tmp_path):
     table = sinks.CandleTable(str(tmp_path / "t"))
-    table.upsert(spark.createDataFrame([("A", "1m", 0, 1.0, "x"), ("B", "1m", 0, 2.0, "x")], SCHEMA))
-    batch = spark.createDataFrame([("A", "1m", 0, 9.0, "y")], SCHEMA)
+    table.upsert(spark.range(20_000).selectExpr("concat('S', id) symbol", "'1m' interval", "0L open_time", "1.0D close", "'x' source"))
+    before = {p: p.stat().st_mtime_ns for p in tmp_path.rglob("*.parquet")}
+    table.upsert(spark.createDataFrame([("S1", "1m", 0, 2.0, "y")], SCHEMA))
+    after = {p: p.stat().st_mtime_ns for p in tmp_path.rglob("*.parquet")}
+    assert before.items() <= after.items()
+    added = [p for p in after if p not in before]
+    assert len(added) == 1 and spark.read.parquet(str(added[0])).count() == 1
 
-    def crash(rows, path, partitions):
-        # The live partition is gone and its replacement not there yet.
-        target, fs = sinks._file(spark, f"{path}/interval=1m")
-        fs.delete(target, True)
-        raise RuntimeError("lost driver")
 
+def test_many_partitions_into_an_existing_table(spark, tmp_path):
+    table = sinks.CandleTable(str(tmp_path / "t"))
+    days = spark.range(400).selectExpr("'A' symbol", "'1m' interval", f"id * {DAY} open_time", "1.0D close", "'x' source")
+    for _ in range(2):
+        table.upsert(days)
+    assert table.read(spark).count() == 400
+
+
+def test_compaction_keeps_what_reads_show(spark, tmp_path, monkeypatch):
+    table = sinks.CandleTable(str(tmp_path / "t"), ["event_time"])
+    for k in range(4):
+        table.upsert(spark.createDataFrame([("A", "1m", 0, float(k), k), (f"S{k}", "1m", k * DAY, 1.0, 1)], ORDERED))
+    table.upsert(spark.createDataFrame([("A", "1m", 0, "note")], "symbol STRING, interval STRING, open_time BIGINT, source STRING"))
+    show = lambda: rows_of(table.read(spark), "symbol", "open_time", "close", "source")
+    want = show()
     with monkeypatch.context() as patched:
-        patched.setattr(sinks, "write_partitions", crash)
+        patched.setattr(sinks, "_file", lambda *a: (_ for _ in ()).throw(RuntimeError("lost driver")))
         with pytest.raises(RuntimeError):
-            table.upsert(batch, "q")
-    table.upsert(batch, "q")  # the batch is replayed
-    assert rows_of(table.read(spark), "symbol", "close") == [("A", 9.0), ("B", 2.0)]
-    table.upsert(spark.createDataFrame([("B", "1m", 0, 5.0, "z")], SCHEMA), "q")
-    assert rows_of(table.read(spark), "symbol", "close") == [("A", 9.0), ("B", 5.0)]
+            table.compact(spark)
+    assert show() == want  # cut off between adding and deleting
+    assert table.compact(spark, F.col("date") == "1970-01-01") > 1 and show() == want
+    table.compact(spark)
+    assert show() == want and table.changes(spark).count() == len(want)
 
 
 def test_empty_upsert_changes_nothing(spark, tmp_path):
@@ -77,11 +119,40 @@ def test_append_once_and_expiry(spark, tmp_path):
     for _ in range(2):
         sinks.append_once(day(1), path, "timestamp", "q:1")
     assert rows_of(spark.read.parquet(path), "timestamp") == [(5,), (DAY + 5,), (DAY + 5,)]
+    assert sorted(p.name for p in (tmp_path / "history").iterdir() if p.is_dir()) == ["date=1970-01-01", "date=1970-01-02"]
     dropped = sinks.expire_days(spark, path, "1970-01-02")
     assert [d.rsplit("/", 1)[1] for d in dropped] == ["date=1970-01-01"]
     assert rows_of(spark.read.parquet(path), "timestamp") == [(DAY + 5,), (DAY + 5,)]
 
 
+@pytest.mark.parametrize("interval, kept", [("1h", "1970-01-01"), ("1d", "1970-01-01"), ("1m", "1970-01-02")])
+def test_expiry_leaves_partitions_with_live_days(spark, tmp_path, interval, kept):
+    table = sinks.CandleTable(str(tmp_path / "t"))
+    table.upsert(spark.createDataFrame([("A", interval, k * DAY, 1.0, "x") for k in range(31)], SCHEMA))
+    folder = f"{table.path}/interval={interval}"
+    sinks.expire_days(spark, folder, "1970-01-02", interval)
+    assert table.read(spark).agg(F.min("date").cast("string")).first()[0] == kept
+    assert table.read(spark).where(f"open_time >= {DAY}").count() == 30
+    sinks.expire_days(spark, folder, "1971-01-01", interval)
+    assert not list((tmp_path / "t").rglob("*.parquet"))
+
+
+def test_a_replaced_table_is_always_there(spark, tmp_path):
+    path = str(tmp_path / "latest")
+    with pytest.raises(FileNotFoundError):
+        sinks.read_latest(spark, path)
+    opened = None
+    for k in range(4):
+        sinks.replace_table(spark.range(k, k + 1), path)
+        assert sinks.read_latest(spark, path).first()[0] == k
+        if opened:
+            assert opened.first()[0] == k - 1  # a reader of the version before still has it
+        opened = sinks.read_latest(spark, path)
+    assert len(list((tmp_path / "latest").iterdir())) == 2
+    (tmp_path / "latest" / "v99999999999999999999").mkdir()  # a writer that was cut off
+    assert sinks.read_latest(spark, path).first()[0] == 3
+
+
 def test_rollup_job_is_repeatable(spark, tmp_path, trades):
     from tapewright.operators.candles import ohlcv
 
@@ -125,5 +196,6 @@ def test_scan_windows(spark):
     df = spark.createDataFrame([("A", "5m", t * 300_000, 1.0, "x") for t in range(100)], SCHEMA)
     as_of = 99 * 300_000
     assert tables.scan_training_window(df, as_of).count() == 100
-    assert tables.scan_recent(df, as_of, periods=40).agg(F.min("open_time")).collect()[0][0] == 59 * 300_000
+    recent = tables.scan_recent(df, as_of, periods=40).agg(F.min("open_time"), F.max("open_time")).first()
+    assert tuple(recent) == (59 * 300_000, 98 * 300_000)  # the last candle has only begun
     assert tables.scan_recent(df, as_of, symbols=["B"]).count() == 0

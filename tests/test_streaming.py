@@ -7,7 +7,7 @@ from conftest import rows_of
 from tapewright.schemas import TRADE
 from tapewright.session import stream_session
 from tapewright.sources.decode import decode_json
-from tapewright.sources.sinks import CandleTable
+from tapewright.sources.sinks import CandleTable, read_latest
 from tapewright.sources.streams import read_files
 from tapewright.streaming import jobs
 from tapewright.streaming.supervise import await_all, progress_frame, supervise
@@ -80,7 +80,7 @@ def test_ranking_is_replaced_each_batch(spark, tmp_path):
     write_file(folder, 2, [(5, 2, 5)], "A")
     path = str(tmp_path / "ranking")
     await_all([jobs.start_ranking(trade_stream(spark, folder), path, str(tmp_path / "cp"), None)])
-    assert rows_of(spark.read.parquet(path), "symbol", "price", "percent_change") == [("A", 5.0, -50.0), ("B", 40.0, 300.0)]
+    assert rows_of(read_latest(spark, path), "symbol", "price", "percent_change") == [("A", 5.0, -50.0), ("B", 40.0, 300.0)]
 
 
 def test_a_failing_write_fails_the_query(spark, tmp_path, late_files):
