@@ -6,27 +6,17 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tapewright.functions import scoring
 from tapewright.operators.features import clean, features, latest_k, latest_row
 from tapewright.operators.serving import fallback_source
-from tapewright.schemas import LOOKBACK_BARS, WIDTH_MS
-from tapewright.sources.tables import scan_recent, time_range
-
-PREDICTION_COLUMNS = [
-    "symbol",
-    "open_time",
-    "close",
-    "predicted_price",
-    "predicted_change_pct",
-    "direction",
-    "prediction_time",
-    "target_time",
-    "return_1",
-    "rsi",
-    "volatility_5",
-    "volume_ratio",
-]
+from tapewright.schemas import LOOKBACK_BARS, PREDICTION, WIDTH_MS
+from tapewright.session import materialize
+from tapewright.sources.sinks import KeyedTable
+from tapewright.sources.tables import day_of, scan_recent, time_range
+
+PREDICTION_COLUMNS = PREDICTION.fieldNames()
 
 
 def iso_time(time_ms: Column) -> Column:
@@ -78,3 +68,29 @@ def forecast(candles: DataFrame, params: Mapping, as_of: int, interval: str = "5
     # At most a few dozen candles per symbol, so each symbol is handled in one piece.
     newest = latest_row(features(source, interval, block_bars=None))
     return predictions(clean(newest, None), params, iso_time(F.lit(as_of).cast("bigint")), interval)
+
+
+class PredictionStore:
+    """Every prediction ever made, by day, and the latest of each symbol.
+
+    ``made_at`` is the clock of the run. A run repeated for one clock adds nothing, and one
+    for an earlier clock does not replace a later prediction.
+    """
+
+    def __init__(self, path: str, shards: int = 16):
+        self.shards = shards
+        fields = [*PREDICTION.fields, T.StructField("made_at", T.LongType())]
+        history = T.StructType([*fields, T.StructField("date", T.StringType())])
+        latest = T.StructType([*fields, T.StructField("shard", T.IntegerType())])
+        self.history = KeyedTable(f"{path}/history", history, ["symbol", "made_at"], ["date"])
+        self.latest = KeyedTable(f"{path}/latest", latest, ["symbol"], ["shard"], ["made_at"])
+
+    def add(self, predictions: DataFrame, as_of: int) -> None:
+        made = predictions.withColumn("made_at", F.lit(as_of).cast("bigint"))
+        self.history.upsert(made.withColumn("date", day_of(F.col("made_at"))))
+        self.latest.upsert(made.withColumn("shard", F.pmod(F.hash("symbol"), F.lit(self.shards))))
+
+
+def run_forecast(candles: DataFrame, params: Mapping, as_of: int, store: PredictionStore, interval: str = "5m") -> None:
+    """One scheduled run: forecast at the clock and keep the predictions."""
+    store.add(materialize(forecast(candles, params, as_of, interval), "forecast"), as_of)

@@ -25,7 +25,8 @@ def roll_last_closed(spark: SparkSession, table: CandleTable, interval: str, as_
     start, end = last_closed_bounds(interval, as_of)
     source = scan_candles(table.read(spark), finer(interval), start=start, end=end)
     made = iso_time(F.lit(as_of).cast("bigint"))
-    table.upsert(cascade_step(source, interval, as_of).withColumn("created_at", made))
+    rolled = cascade_step(source, interval, as_of)
+    table.upsert(rolled.withColumns({"created_at": made, "is_closed": F.lit(True)}))  # only windows that have ended
 
 
 def backfill(candles_1m: DataFrame, interval: str) -> DataFrame:

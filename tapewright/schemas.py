@@ -23,6 +23,8 @@ def _record(*fields: str) -> T.StructType:
     return layout
 
 
+# --- fixed values: record layouts, which must equal the published messages and tables ---
+
 TRADE = _record(
     *("symbol STRING", "trade_id BIGINT", "price DOUBLE", "quantity DOUBLE", "trade_time BIGINT"),
     *("is_buyer_maker BOOLEAN", "is_best_match BOOLEAN", "event_time BIGINT", "ingestion_time BIGINT"),
@@ -108,6 +110,22 @@ PARTITION_SPAN = {"1m": "day", "5m": "day", "1h": "month", "4h": "month", "1d":
 
 # --- fixed values: these must equal the published system's for equal results ---
 
+#: A served prediction.
+PREDICTION = _record(
+    "symbol STRING",
+    "open_time BIGINT",
+    "close DOUBLE",
+    "predicted_price DOUBLE",
+    "predicted_change_pct DOUBLE",
+    "direction STRING",
+    "prediction_time STRING",
+    "target_time STRING",
+    "return_1 DOUBLE",
+    "rsi DOUBLE",
+    "volatility_5 DOUBLE",
+    "volume_ratio DOUBLE",
+)
+
 #: Candle widths in milliseconds.
 WIDTH_MS = {"1m": 60_000, "5m": 300_000, "1h": 3_600_000, "4h": 14_400_000, "1d": 86_400_000}
 

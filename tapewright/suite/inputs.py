@@ -21,6 +21,12 @@ from tapewright.sources import tables
 #: Explicit clock of the queries: 2024-01-30T18:42:30Z. Later bars count as open.
 AS_OF = 1_706_640_150_000
 
+#: 2024-01-01T00:00:00Z, when the events begin.
+FIRST_DAY = 1_704_067_200_000
+
+#: The clock a day earlier.
+EARLIER = AS_OF - WIDTH_MS["1d"]
+
 #: Four of the five symbols, so that one has no metadata.
 DIM_ROWS = [
     ("click", "Click", "CLK", "Layer 1", 1),

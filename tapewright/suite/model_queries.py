@@ -12,9 +12,9 @@ from tapewright.operators.serving import sample_predictions
 from tapewright.plans import forecast, training
 from tapewright.schemas import FEATURES
 from tapewright.sources import tables
-from tapewright.suite.inputs import AS_OF, PARAMS, Inputs
+from tapewright.suite.inputs import AS_OF, EARLIER, PARAMS, Inputs
 from tapewright.suite.registry import query
-from tapewright.suite.sql import CUT, NOT_NULL, fitted_sql, score_sql
+from tapewright.suite.sql import CUT, NOT_NULL, fitted_sql, forecast_sql, score_sql
 
 Z = [f"z_{name}" for name in FEATURES]
 
@@ -40,11 +40,16 @@ def _split(i: Inputs) -> DataFrame:
     return labelled.select("symbol", "open_time", "part")
 
 
-@query("ml_split_random")
+@query(
+    "ml_split_random",
+    f"""SELECT symbol, open_time,
+  CASE WHEN CAST('0x' || substr(md5(symbol || '|' || open_time || '|{training.SEED}'), 1, 8) AS BIGINT)
+    < {int(training.TRAIN_SHARE * 2**32)} THEN 'train' ELSE 'test' END AS part FROM training""",
+)
 def _random(i: Inputs) -> DataFrame:
     train, test = training.random_split(i.stored(i.training, "training"))
     labelled = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
-    return labelled.groupBy("part").agg(F.count("*").alias("rows"))
+    return labelled.select("symbol", "open_time", "part")
 
 
 def fitted(i: Inputs) -> tuple[PipelineModel, dict]:
@@ -152,6 +157,23 @@ def _forecast(i: Inputs) -> DataFrame:
     )
 
 
+@query(
+    "prediction_store",
+    f"""SELECT *, 'history' AS kind FROM ({forecast_sql("earlier_", EARLIER)} UNION ALL {forecast_sql("", AS_OF)})
+UNION ALL SELECT *, 'latest' FROM (SELECT * FROM ({forecast_sql("earlier_", EARLIER)} UNION ALL {forecast_sql("", AS_OF)})
+  QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY made_at DESC) = 1)""",
+    "predicted_price predicted_change_pct return_1 rsi volatility_5 volume_ratio",
+)
+def _prediction_store(i: Inputs) -> DataFrame:
+    """Runs at the clock, again at the clock, and late for the day before."""
+    store = forecast.PredictionStore(i.scratch("predictions"))
+    bars = i.stored(i.bars("1h"), "bars")
+    for clock in (AS_OF, AS_OF, EARLIER):
+        forecast.run_forecast(bars, PARAMS, clock, store, "1h")
+    kept = store.history.read(i.spark).drop("date").withColumn("kind", F.lit("history"))
+    return kept.unionByName(store.latest.read(i.spark).drop("shard").withColumn("kind", F.lit("latest")))
+
+
 @query(
     "ml_confidence",
     """SELECT symbol, open_time, confidence, share, CASE WHEN share >= 70 THEN 'high' WHEN share >= 45 THEN 'medium'

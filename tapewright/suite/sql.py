@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 from tapewright.schemas import FEATURES, WIDTH_MS
-from tapewright.suite.inputs import AS_OF, DIM_ROWS, PARAMS
+from tapewright.suite.inputs import AS_OF, DIM_ROWS, EARLIER, FIRST_DAY, PARAMS
 
 
 def _bars(width: int, name: str) -> str:
@@ -115,6 +115,32 @@ HOUR = WIDTH_MS["1h"]
 
 ISO = "'%Y-%m-%dT%H:%M:%S.%gZ'"
 
+
+
+def _forecast(prefix: str, clock: int) -> dict[str, str]:
+    """Features of the bars that a forecast at ``clock`` reads: closed ones, recent if they are enough."""
+    past, recent, chosen = (f"{prefix}{name}" for name in ("past_1h", "recent_1h", "forecast_bars"))
+    return {
+        past: f"SELECT * FROM bars_1h WHERE close_time <= {clock}",
+        recent: f"SELECT * FROM {past} WHERE open_time >= {clock - 40 * HOUR}",
+        chosen: f"""SELECT * FROM {recent} WHERE (SELECT count(*) FROM {recent}) >= 40 UNION ALL
+SELECT * FROM (SELECT * FROM {past} QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY open_time DESC) <= 40)
+WHERE (SELECT count(*) FROM {recent}) < 40""",
+        f"{prefix}forecast_features": _features(chosen),
+    }
+
+
+def forecast_sql(prefix: str, clock: int) -> str:
+    """The prediction of every symbol at ``clock`` in the served layout."""
+    return f"""SELECT symbol, open_time, close, close * (1 + s / 100) AS predicted_price, s AS predicted_change_pct,
+  CASE WHEN s > 0 THEN 'UP' ELSE 'DOWN' END AS direction,
+  strftime(make_timestamp({clock} * 1000), {ISO}) AS prediction_time,
+  strftime(make_timestamp((open_time + {HOUR}) * 1000), '%Y-%m-%d %H:%M:%S') AS target_time,
+  return_1, rsi, volatility_5, volume_ratio, CAST({clock} AS BIGINT) AS made_at
+FROM (SELECT *, {score_sql()} AS s FROM {prefix}forecast_features
+  QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY open_time DESC) = 1) WHERE {NOT_NULL}"""
+
+
 CTES = {
     "tape": """SELECT event_type AS symbol, event_id AS trade_id, value AS price,
   CAST(json_extract_string(props, '$.k') AS DOUBLE) AS quantity, epoch_us(ts) // 1000 AS trade_time,
@@ -128,12 +154,8 @@ CTES = {
     "candle_table": "SELECT * FROM bars_5m UNION ALL SELECT * FROM bars_1h UNION ALL SELECT * FROM bars_4h",
     "features": _features("bars_1h"),
     "training": f"SELECT * FROM features WHERE target IS NOT NULL AND {NOT_NULL}",
-    "past_1h": f"SELECT * FROM bars_1h WHERE close_time <= {AS_OF}",
-    "recent_1h": f"SELECT * FROM past_1h WHERE open_time >= {AS_OF - 40 * WIDTH_MS['1h']}",
-    "forecast_bars": """SELECT * FROM recent_1h WHERE (SELECT count(*) FROM recent_1h) >= 40 UNION ALL
-SELECT * FROM (SELECT * FROM past_1h QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY open_time DESC) <= 40)
-WHERE (SELECT count(*) FROM recent_1h) < 40""",
-    "forecast_features": _features("forecast_bars"),
+    **_forecast("", AS_OF),
+    **_forecast("earlier_", EARLIER),
     "train_part": f"SELECT * FROM training WHERE open_time <= {CUT}",
     "system_all": _system("training"),
     "solved_all": _solved("system_all", "solved_all"),
@@ -154,6 +176,8 @@ FROM (SELECT symbol, trade_time - trade_time % {HOUR} + {HOUR} AS timestamp, sum
   CASE WHEN count(DISTINCT side) = 2 THEN max(CASE WHEN side = 'ask' AND level = 1 THEN price END)
     - max(CASE WHEN side = 'bid' AND level = 1 THEN price END) ELSE 0 END AS spread,
   count(DISTINCT side) = 2 AS spread_valid FROM levels GROUP BY symbol, timestamp""",
+    "arrived": f"""SELECT *, CASE WHEN trade_id % 10 = 0 THEN own + 2 ELSE own END AS arrives FROM (SELECT *,
+  CAST(least(3, greatest(0, floor((trade_time - {FIRST_DAY}) / (7.5 * 86400000)))) AS INTEGER) AS own FROM tape)""",
     "quotes": f"""SELECT symbol, 1000 - price AS best_bid, 1000 + price AS best_ask, 2 * price AS spread,
   trade_time - trade_time % {HOUR} AS timestamp, trade_time, trade_id FROM tape""",
     "changes": """SELECT symbol, first(price ORDER BY trade_time, trade_id) AS open,

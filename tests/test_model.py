@@ -1,11 +1,14 @@
 import numpy as np
 import pytest
+from conftest import rows_of
 from pyspark.ml import PipelineModel
+from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
 
 from tapewright.functions import scoring
-from tapewright.operators.activity import prediction_summary, regression_metrics
+from tapewright.operators.activity import prediction_summary
 from tapewright.operators.features import clean, features
+from tapewright.operators.serving import prediction_history
 from tapewright.plans import forecast, training
 from tapewright.schemas import FEATURES
 from tapewright.sources import tables
@@ -44,10 +47,9 @@ def test_score_expression_equals_the_pipeline(spark, table):
 
 def test_metrics_agree_with_the_evaluator(table):
     scored = forecast.score(table, PARAMS)
-    row = regression_metrics(scored).collect()[0]
     judged = training.evaluate(scored)
     for name in ("rmse", "mae", "r2"):
-        assert row[name] == pytest.approx(judged[name])
+        assert judged[name] == pytest.approx(RegressionEvaluator(labelCol="target", metricName=name).evaluate(scored))
 
 
 def test_splits(table):
@@ -57,6 +59,22 @@ def test_splits(table):
     assert train.agg(F.max("open_time")).collect()[0][0] <= cut < test.agg(F.min("open_time")).collect()[0][0]
     a, b = training.random_split(table)
     assert a.count() + b.count() == table.count() and a.count() > b.count() > 0
+    again, _ = training.random_split(table.repartition(7, "close"))
+    assert rows_of(again, "symbol", "open_time") == rows_of(a, "symbol", "open_time")
+    other, _ = training.random_split(table, seed=7)
+    assert rows_of(other, "symbol", "open_time") != rows_of(a, "symbol", "open_time")
+
+
+def test_stored_predictions(spark, bars, tmp_path):
+    candles = bars({"A": range(1, 60), "B": range(60, 1, -1)}).withColumn("interval", F.lit("5m"))
+    store = forecast.PredictionStore(str(tmp_path / "predictions"))
+    for minute in (250, 250, 270):
+        forecast.run_forecast(candles, {"intercept": 1.0}, minute * 60_000, store)
+    history = store.history.read(spark)
+    assert rows_of(history, "symbol", "made_at") == [(s, m * 60_000) for s in "AB" for m in (250, 270)]
+    forecast.run_forecast(candles, {"intercept": 2.0}, 260 * 60_000, store)  # an earlier clock, run late
+    assert rows_of(store.latest.read(spark), "symbol", "made_at") == [("A", 270 * 60_000), ("B", 270 * 60_000)]
+    assert prediction_history(store.history.read(spark), "A", 2).select("made_at").collect()[0][0] == 270 * 60_000
 
 
 def test_save_and_load(spark, table, tmp_path):
