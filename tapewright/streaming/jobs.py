@@ -16,6 +16,7 @@ from tapewright.operators.joins import broadcast_if_small
 from tapewright.operators.state import latest_book
 from tapewright.schemas import BOOK_TOP, DURATION, LATENESS, TRIGGER
 from tapewright.sources.sinks import CandleTable, KeyedTable, append_once, batch_name, replace_table
+from tapewright.streaming.supervise import counted
 
 Writer = Callable[[DataFrame, int], None]
 
@@ -28,7 +29,8 @@ def run(
     A failing write fails the query, so a checkpoint never moves past lost rows.
     """
     writer = (
-        stream.writeStream.queryName(name)
+        counted(stream)
+        .writeStream.queryName(name)
         .outputMode(mode)
         .foreachBatch(write)
         .option("checkpointLocation", f"{checkpoint}/{name}")
@@ -172,7 +174,8 @@ def start_append(stream: DataFrame, name: str, path: str, checkpoint: str, every
     """A stateless stream to Parquet files, exactly once through the file sink's log."""
     trigger = {"availableNow": True} if every is None else {"processingTime": every}
     return (
-        stream.writeStream.queryName(name)
+        counted(stream)
+        .writeStream.queryName(name)
         .outputMode("append")
         .format("parquet")
         .option("path", path)

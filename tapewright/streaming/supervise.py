@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+
+#: Name of the count of rows that reach a sink.
+WRITTEN = "written"
 
 PROGRESS = (
     "query STRING, batch_id BIGINT, input_rows BIGINT, output_rows BIGINT, duration_ms BIGINT, "
@@ -43,25 +48,64 @@ def stop_all(queries: Iterable[StreamingQuery]) -> None:
             query.stop()
 
 
-def progress_frame(spark: SparkSession, queries: Iterable[StreamingQuery]) -> DataFrame:
-    """One row per reported micro-batch: rows, duration, late drops, state size.
+def counted(stream: DataFrame) -> DataFrame:
+    """A stream whose progress reports the rows that reach its sink."""
+    return stream.observe(WRITTEN, F.count(F.lit(1)).alias("rows"))
+
+
+class ProgressLog(StreamingQueryListener):
+    """Progress of every micro-batch of a session's queries: rows, duration, late drops, state.
 
-    Progress is driver-side bookkeeping of a bounded number of recent batches.
+    A query itself remembers its last hundred batches only. The log gets each batch as it
+    ends and, given a ``path``, appends them to a table there, so its memory is bounded.
     """
-    rows = []
-    for query in queries:
-        for p in query.recentProgress:
-            state = p["stateOperators"]
-            rows.append(
-                (
-                    p["name"],
-                    p["batchId"],
-                    p["numInputRows"],
-                    max(p["sink"].get("numOutputRows", -1), -1),
-                    p["batchDuration"],
-                    sum(s["numRowsDroppedByWatermark"] for s in state),
-                    sum(s["numRowsTotal"] for s in state),
-                    p["eventTime"].get("watermark"),
-                )
+
+    def __init__(self, spark: SparkSession, path: str | None = None, flush: int = 1000):
+        self.spark, self.path, self.flush = spark, path, flush
+        self.rows: list[tuple] = []
+        self.ended: set[str] = set()
+        spark.streams.addListener(self)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        written = p.observedMetrics.get(WRITTEN)
+        self.rows.append(
+            (
+                p.name,
+                p.batchId,
+                p.numInputRows,
+                written["rows"] if written else max(p.sink.numOutputRows, -1),
+                p.batchDuration,
+                sum(s.numRowsDroppedByWatermark for s in p.stateOperators),
+                sum(s.numRowsTotal for s in p.stateOperators),
+                p.eventTime.get("watermark"),
             )
-    return spark.createDataFrame(rows, PROGRESS)
+        )
+        if self.path and len(self.rows) >= self.flush:
+            self._write()
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.add(str(event.id))
+
+    def _write(self) -> None:
+        rows, self.rows = self.rows, []
+        self.spark.createDataFrame(rows, PROGRESS).coalesce(1).write.mode("append").parquet(self.path)
+
+    def close(self, queries: Iterable[StreamingQuery], seconds: float = 60.0) -> DataFrame:
+        """Stop listening once the ends of ``queries`` have been reported; the whole log."""
+        awaited, until = {str(q.id) for q in queries}, time.monotonic() + seconds
+        while not awaited <= self.ended:
+            if time.monotonic() > until:
+                raise TimeoutError("the end of a query was not reported")
+            time.sleep(0.05)
+        self.spark.streams.removeListener(self)
+        if not self.path:
+            return self.spark.createDataFrame(self.rows, PROGRESS)
+        self._write()
+        return self.spark.read.schema(PROGRESS).parquet(self.path)

@@ -8,12 +8,12 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tapewright.operators.candles import BAR_COLUMNS
-from tapewright.schemas import BOOK_TOP, KLINE, MAX_TRADES_PER_TRIGGER, TRADE
+from tapewright.schemas import BOOK_TOP, KLINE, TRADE
 from tapewright.sources.decode import decode_json
 from tapewright.sources.sinks import CandleTable, read_latest
-from tapewright.sources.streams import broker_options, read_files
+from tapewright.sources.streams import read_files
 from tapewright.streaming import jobs
-from tapewright.streaming.supervise import await_all, progress_frame
+from tapewright.streaming.supervise import ProgressLog, await_all
 from tapewright.suite.inputs import FIRST_DAY, Inputs
 from tapewright.suite.registry import query
 
@@ -147,32 +147,36 @@ def _several(i: Inputs) -> DataFrame:
     return both.select(*BAR_COLUMNS)
 
 
-@query("stream_rate_limit", "SELECT count(*) AS trades, true AS limited FROM tape")
+@query(
+    "stream_rate_limit",
+    "SELECT CAST(trade_id % 4 AS BIGINT) AS file, count(*) AS input_rows, count(*) AS output_rows FROM tape GROUP BY ALL",
+)
 def _limited(i: Inputs) -> DataFrame:
-    """One file per micro-batch here, as the broker's record ceiling does there."""
-    ceiling = broker_options("broker:9092", "trades", MAX_TRADES_PER_TRIGGER)["maxOffsetsPerTrigger"]
-    path = i.as_files(i.trades.select(F.to_json(F.struct(*i.trades.columns)).alias("value")).repartition(4), "messages")
+    """Four files under a ceiling of one file for each micro-batch, as the broker's ceiling of
+    records does there: the sizes of the batches are those of the files."""
+    path = i.scratch("messages")
+    text = F.to_json(F.struct(*i.trades.columns)).alias("value")
+    for file in range(4):
+        i.trades.where(F.col("trade_id") % 4 == file).select(text).coalesce(1).write.mode("append").text(path)
     stream = decode_json(read_files(i.stream_spark, path, max_files=1), TRADE)
-    out = i.scratch("trades")
-    running = jobs.start_append(stream, "limited", out, i.scratch("checkpoint"))
+    log = ProgressLog(i.stream_spark)
+    running = jobs.start_append(stream, "limited", i.scratch("trades"), i.scratch("checkpoint"))
     await_all([running])
-    batches = progress_frame(i.spark, [running]).where("input_rows > 0").count()
-    limited = batches == 4 and ceiling == "50000"
-    return i.spark.read.parquet(out).agg(F.count("*").alias("trades")).withColumn("limited", F.lit(limited))
+    sizes = log.close([running]).where("query = 'limited' AND input_rows > 0")
+    return sizes.select(F.col("batch_id").alias("file"), "input_rows", "output_rows")
 
 
 @query(
     "stream_batch_metrics",
-    "SELECT 'trades' AS query, count(*) AS input_rows, CAST(0 AS BIGINT) AS dropped_late FROM tape",
+    "SELECT 'trades' AS query, count(*) AS input_rows, count(*) AS output_rows, CAST(0 AS BIGINT) AS dropped_late FROM tape",
 )
 def _progress(i: Inputs) -> DataFrame:
     stream = json_stream(i, i.trades, TRADE)
+    log = ProgressLog(i.stream_spark, i.scratch("progress"))
     running = jobs.start_append(stream, "trades", i.scratch("trades"), i.scratch("checkpoint"))
     await_all([running])
-    frame = progress_frame(i.spark, [running])
-    return frame.groupBy("query").agg(
-        F.sum("input_rows").alias("input_rows"), F.sum("dropped_late").alias("dropped_late")
-    )
+    frame = log.close([running]).where("query = 'trades'")
+    return frame.groupBy("query").agg(*(F.sum(c).alias(c) for c in ("input_rows", "output_rows", "dropped_late")))
 
 
 @query("stream_checkpointed_write", "SELECT symbol, trade_id, price FROM tape")

@@ -10,7 +10,7 @@ from tapewright.sources.decode import decode_json
 from tapewright.sources.sinks import CandleTable, read_latest
 from tapewright.sources.streams import read_files
 from tapewright.streaming import jobs
-from tapewright.streaming.supervise import await_all, progress_frame, supervise
+from tapewright.streaming.supervise import ProgressLog, await_all, supervise
 
 MINUTE = 60_000
 START = 1_704_067_200_000
@@ -57,11 +57,13 @@ def late_files(tmp_path):
 )
 def test_late_trades(spark, tmp_path, late_files, interval, dropped, expected):
     table = CandleTable(str(tmp_path / "candles"))
-    query = jobs.start_ohlcv(trade_stream(spark, late_files), interval, table, str(tmp_path / "cp"), every=None)
+    stream = trade_stream(spark, late_files)
+    log = ProgressLog(stream.sparkSession)
+    query = jobs.start_ohlcv(stream, interval, table, str(tmp_path / "cp"), every=None)
     await_all([query])
     got = [((r.open_time - START) // MINUTE, r.open, r.close, r.trades) for r in table.read(spark).orderBy("open_time").collect()]
     assert got == expected
-    assert progress_frame(spark, [query]).agg({"dropped_late": "sum"}).collect()[0][0] == dropped
+    assert log.close([query]).agg({"dropped_late": "sum"}).collect()[0][0] == dropped
 
 
 def test_restart_continues_and_updates_stored_candles(spark, tmp_path):
@@ -101,3 +103,20 @@ def test_a_new_checkpoint_does_not_take_over_old_staged_rows(spark, tmp_path):
     write_file(folder, 1, [(2, 1, 12)])
     await_all([jobs.start_ohlcv(trade_stream(spark, folder, None), "5m", table, str(tmp_path / "cp2"), every=None)])
     assert rows_of(table.read(spark), "close", "trades") == [(12.0, 2)]
+
+
+def test_progress_of_more_batches_than_a_query_remembers(spark, tmp_path):
+    for number in range(105):
+        write_file(tmp_path / "in", number, [(number, 0, 1)])
+    streaming = stream_session(spark, 1)
+    log = ProgressLog(streaming, str(tmp_path / "log"), flush=40)
+    stream = decode_json(read_files(streaming, str(tmp_path / "in"), max_files=1), TRADE)
+    query = jobs.start_append(stream, "many", str(tmp_path / "out"), str(tmp_path / "cp"))
+    await_all([query])
+    got = log.close([query]).where("query = 'many'").agg({"input_rows": "sum", "output_rows": "sum"}).collect()[0]
+    assert tuple(got) == (105, 105)
+
+
+def test_exchange_candles_need_an_order(spark, tmp_path, late_files):
+    with pytest.raises(ValueError, match="order"):
+        jobs.start_klines(trade_stream(spark, late_files), CandleTable(str(tmp_path / "t")), str(tmp_path / "cp"))
