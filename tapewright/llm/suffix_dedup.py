@@ -48,8 +48,8 @@ SHARD_BYTES = 2 << 20
 STRETCH = 2 << 20
 #: Every so many places, common prefixes are compared in full.
 SAMPLE = 8
-#: Documents with ranges that may be broadcast instead of shuffling the texts to them.
-BROADCAST_ROWS = 1_000_000
+#: Size of a table of ranges that may be broadcast instead of shuffling the texts to it.
+BROADCAST_BYTES = 48 << 20
 
 
 # Anchors
@@ -475,7 +475,7 @@ def fetched(rows: DataFrame, requests: DataFrame, length: int) -> DataFrame:
     """The bytes of the requested contexts, cut out of their documents."""
     wanted = requests.groupBy("doc_id", "version").agg(F.collect_list(F.struct("gram", "digest", "copies", "contexts", "shift", "first", "more")).alias("asked"))
     wanted = materialize(wanted.withColumnRenamed("doc_id", "wanted_id").withColumnRenamed("version", "wanted_version"), "requests")
-    joined = rows.join(_small(wanted), F.col("doc_id").eqNullSafe(F.col("wanted_id")) & (F.col("version") == F.col("wanted_version")))
+    joined = rows.join(_small(wanted, "asked", 80), F.col("doc_id").eqNullSafe(F.col("wanted_id")) & (F.col("version") == F.col("wanted_version")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches):
@@ -492,9 +492,11 @@ def fetched(rows: DataFrame, requests: DataFrame, length: int) -> DataFrame:
     return joined.select("text", "asked").mapInArrow(run, "gram long, digest long, copies long, contexts long, shift int, bytes binary")
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """Broadcast if there are few rows, else shuffle and let adaptive execution split."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+def _small(df: DataFrame, column: str, item_bytes: int) -> DataFrame:
+    """Broadcast if the rows and the items of their array ``column`` fit ``BROADCAST_BYTES``, else
+    shuffle and let adaptive execution split."""
+    size = df.agg(F.sum(F.lit(64) + item_bytes * F.size(column))).first()[0] or 0
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
 def repeated_ranges(rows: DataFrame, length: int, gram: int, crowd: int = CROWD) -> DataFrame:
@@ -533,7 +535,7 @@ def without_repeats(
         raise ValueError("an anchor must fit into a window")
     rows = texts(docs, id_col, text_col).withColumn("version", F.xxhash64("text"))
     ranges = materialize(repeated_ranges(rows, length, gram, crowd), "ranges").withColumnsRenamed({"doc_id": "range_id", "version": "range_version"})
-    joined = rows.join(_small(ranges), F.col("doc_id").eqNullSafe(F.col("range_id")) & (F.col("version") == F.col("range_version")), "left")
+    joined = rows.join(_small(ranges, "ranges", 40), F.col("doc_id").eqNullSafe(F.col("range_id")) & (F.col("version") == F.col("range_version")), "left")
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
