@@ -29,11 +29,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapewright.llm.columns import pieces
+from tapewright.session import materialize
 
 #: A subtree is a template if it occurs on so many different pages of a host, and, inside the
 #: article, on this share of the host's pages too.
 MIN_PAGES = 10
 ARTICLE_SHARE = 0.3
+#: Size of the table of deletions that may be broadcast instead of shuffling the pages to it.
+BROADCAST_BYTES = 48 << 20
 
 # Elements by what they mean for the text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -297,7 +300,9 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     trees = subtrees(rows)
     # One template may stand on a third of all pages: the unique side is joined to the split one.
     gone = trees.join(templates(trees), ["host", "tree", "inner"], "left_semi").groupBy("row").agg(F.collect_set("at").alias("deleted"))
-    joined = rows.join(gone, "row", "left").select("page_id", "url", "html", "deleted")
+    gone = materialize(gone, "deleted")
+    size = gone.agg(F.sum(F.lit(64) + 4 * F.size("deleted"))).first()[0] or 0
+    joined = rows.join(F.broadcast(gone) if size <= BROADCAST_BYTES else gone, "row", "left").select("page_id", "url", "html", "deleted")
     kind = rows.schema["page_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
