@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapewright.llm import bpe_stream, leak_search, pairwise_quality, pii_votes, trie_join
+from tapewright.llm.columns import bounded_batches
 from tapewright.session import materialize
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -26,7 +27,7 @@ SHINGLE_WORDS, PERCENT = 5, 80
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents whose score, learnt from preference pairs, is below the border. The labels
     are those of the documents at hand."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    labels = bounded_batches(spark).read.parquet(f"{sf_dir}/labels.parquet")
     scored = pairwise_quality.scored(docs.select(*COLUMNS), pairwise_quality.learn(docs, labels), "__score")
     return scored.filter(F.col("__score") >= pairwise_quality.BORDER).select(*COLUMNS)
 
@@ -41,6 +42,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Keep the document with the least id of each group of similar texts, and of rows that
     repeat an id the one with the least text. Documents without words or id are linked with
     nothing and stay."""
+    bounded_batches(spark)
     docs = docs.select(*COLUMNS)
     groups = materialize(trie_join.similar_groups(docs, SHINGLE_WORDS, PERCENT), "groups")
     kept = docs.join(_ids(groups.filter("doc_id <> component_id").select("doc_id").distinct()), "doc_id", "left_anti")
@@ -51,7 +53,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that contain a benchmark item."""
-    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    items = bounded_batches(spark).read.parquet(f"{sf_dir}/benchmark.parquet")
     leaked = _ids(leak_search.leaks(docs, items).select("doc_id").distinct())
     return docs.select(*COLUMNS).join(leaked, "doc_id", "left_anti").select(*COLUMNS)
 
@@ -66,6 +68,7 @@ def without_private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every document (little-endian unsigned 32-bit integers) and their number."""
+    bounded_batches(spark)
     coded = bpe_stream.encode_decode(docs, public_tokenizers.path("word_bpe_49k.json"))
     return coded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 

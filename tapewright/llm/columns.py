@@ -7,11 +7,23 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text bytes handed to Python code at once. A single longer text is handed over alone.
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
+
+
+#: Rows of one Arrow batch. Spark's default of 10 000 may be hundreds of MB of text.
+BATCH_ROWS = 1000
+
+
+def bounded_batches(spark: SparkSession) -> SparkSession:
+    """Let the session hand at most ``BATCH_ROWS`` rows to Python at once."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(setting, "10000")) > BATCH_ROWS:
+        spark.conf.set(setting, str(BATCH_ROWS))
+    return spark
 
 
 def whole_text(column: str = "text") -> Column:

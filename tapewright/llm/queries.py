@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapewright.llm import bpe_stream, divergence, leak_search, pairwise_quality, pii_votes, site_templates, snapshots, suffix_dedup, token_store, trie_join
-from tapewright.llm.columns import texts
+from tapewright.llm.columns import bounded_batches, texts
 from tapewright.session import materialize, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,7 +28,7 @@ def oracle(name: str, sql: str) -> None:
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return bounded_batches(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
 @query
