@@ -66,6 +66,7 @@ def dedupe(
     """
     order = (*order, *(c for c in ("best_bid", "best_ask") if c in snapshots.columns and c not in order))
     block = F.expr(f"{order[0]} div {block_ms}")
+    snapshots = snapshots.where(F.col(order[0]).isNotNull())  # a snapshot without a time follows none
     bordered = with_borders(snapshots, ["symbol"], list(order), block, back=1)
     before = F.lag("timestamp").over(block_window(["symbol"], list(order)))
     changed = drop_borrowed(bordered.withColumn("_before", before))

@@ -95,9 +95,11 @@ def tick_direction(
 ) -> DataFrame:
     """Each tick against the one before it: up, down, flat or NULL, and the change.
 
-    The tape of a symbol is handled in blocks of ``block_ms``.
+    The tape of a symbol is handled in blocks of ``block_ms``. A tick without a time comes
+    before or after none and is left out.
     """
     block = F.expr(f"{order[0]} div {block_ms}")
+    ticks = ticks.where(F.col(order[0]).isNotNull())
     bordered = with_borders(ticks, ["symbol"], list(order), block, back=1)
     before = F.lag(price).over(block_window(["symbol"], list(order)))
     ticked = drop_borrowed(bordered.withColumn("prev_price", before))
