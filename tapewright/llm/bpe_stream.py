@@ -160,7 +160,8 @@ class Codec:
     pattern whose matches are the words, and byte-level symbols with a word-end suffix.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, remembered: int = CHUNKS) -> None:
+        self.remembered = remembered
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -199,7 +200,7 @@ class Codec:
         if known is None:
             known = array("I", self.ids(word)).tobytes()  # little-endian on all that Spark runs on
             if len(word) <= CHUNK_CHARS:
-                if len(self.known) >= CHUNKS:
+                if len(self.known) >= self.remembered:
                     self.known.clear()
                 self.known[word] = known
         return known
@@ -252,20 +253,21 @@ class Chunks(dict):
     def __missing__(self, chunk: str) -> bytes:
         ids = b"".join(map(self.codec.packed, self.codec.words(chunk)))
         if len(chunk) <= CHUNK_CHARS:
-            if len(self) >= CHUNKS:
+            if len(self) >= self.codec.remembered:
                 self.clear()
             self[chunk] = ids
         return ids
 
 
 @lru_cache(maxsize=2)
-def codec(path: str) -> Codec:
+def codec(path: str, remembered: int = CHUNKS) -> Codec:
     """One codec for each vocabulary file and worker."""
-    return Codec(path)
+    return Codec(path, remembered)
 
 
-def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Encode every whole text and decode it again.
+def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", remembered: int = CHUNKS) -> DataFrame:
+    """Encode every whole text and decode it again; ``remembered`` chunks and words stay in each
+    worker's memory (about 350 bytes for each).
 
     Returns ``doc_id``, ``ids`` (little-endian unsigned 32-bit integers) and ``decoded``
     (the names of the tokens set off by blanks, read back from ``ids``). No shuffle; a
@@ -275,7 +277,7 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        use = codec(path)
+        use = codec(path, remembered)
         for piece in pieces(batches):
             ids = [use.encode(t) for t in piece.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(

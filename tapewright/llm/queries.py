@@ -34,7 +34,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 @query
 def op3_bpe_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Tokens of every document and their decoding, as digests."""
-    coded = bpe_stream.encode_decode(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    coded = bpe_stream.encode_decode(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), remembered=800_000)
     return coded.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
