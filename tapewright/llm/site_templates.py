@@ -2,11 +2,12 @@
 
 Pages are parsed into trees of block elements. Every subtree that may be furniture is
 hashed over its tags, classes and text; Spark counts, for each host, on how many pages
-with different main parts a subtree occurs, and the subtrees that recur on many of them
-are deleted. Elements whose tag, role or class says what they are (menus, footers,
-adverts, forms, comments, ...) go in any case, and an article or main element, where the
-page has one, bounds what is kept. Paragraphs and headings inside it are never taken for
-furniture: a sentence that many articles share is still theirs.
+with different main parts a subtree occurs, and the subtrees that recur on a large share
+of the host's pages are deleted. Elements whose tag, role or class says what they are
+(menus, footers, adverts, forms, comments, ...) go in any case, and the outermost article
+or main elements, where the page has any, bound what is kept; all of them count. Paragraphs,
+headings, cells and the like go with a subtree around them, never by themselves: a sentence
+that many pages share is still theirs.
 
 Text: character references decoded, white space inside a block turned into one blank,
 blocks in page order joined by line feeds.
@@ -31,10 +32,10 @@ from pyspark.sql import functions as F
 from tapewright.llm.columns import pieces
 from tapewright.session import materialize
 
-#: A subtree is a template if it occurs on so many different pages of a host, and, inside the
-#: article, on this share of the host's pages too.
+#: A subtree is a template if it occurs on so many different pages of a host, and on this share
+#: of the host's pages too.
 MIN_PAGES = 10
-ARTICLE_SHARE = 0.3
+SHARE = 0.3
 #: Size of the table of deletions that may be broadcast instead of shuffling the pages to it.
 BROADCAST_BYTES = 48 << 20
 
@@ -200,8 +201,7 @@ def scope(nodes: list[Node], deleted: frozenset[int] = frozenset()) -> list[Node
     for tag in ("article", "main"):
         found = [n for n in nodes if n.tag == tag and not gone[n.at] and not n.inside(tag)]
         if found:
-            most = max(n.size for n in found)
-            return [n for n in found if 4 * n.size >= most]
+            return found
     return nodes[:1]
 
 
@@ -211,9 +211,8 @@ def candidates(nodes: list[Node]) -> list[tuple[Node, bool]]:
     for n in nodes:
         if n.tag in ("page", "html", "head", "body", "article", "main") or not n.size:
             continue
-        inner = n.inside("article", "main")
-        if not (inner and n.tag in PROSE):
-            out.append((n, inner))
+        if n.tag not in PROSE:
+            out.append((n, n.inside("article", "main")))
     return out
 
 
@@ -268,7 +267,8 @@ def _keyed(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFr
 
 
 def subtrees(rows: DataFrame) -> DataFrame:
-    """One row for each subtree that may be a template; ``main`` tells different pages apart."""
+    """One row for each subtree that may be a template, and one without ``tree`` for the page;
+    ``main`` tells different pages apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "html"):
@@ -276,6 +276,8 @@ def subtrees(rows: DataFrame) -> DataFrame:
             for row, url, source in zip(*(piece.column(c).to_pylist() for c in ("row", "url", "html"))):
                 nodes, site = parse(source), host(url)
                 main = int.from_bytes(hashlib.blake2b(b"".join(n.digest for n in scope(nodes)), digest_size=8).digest(), "big", signed=True)
+                for c, v in zip(columns, (row, site, main, 0, None, False)):
+                    columns[c].append(v)
                 for n, inner in candidates(nodes):
                     for c, v in zip(columns, (row, site, main, n.at, int.from_bytes(n.digest, "big", signed=True), inner)):
                         columns[c].append(v)
@@ -285,13 +287,14 @@ def subtrees(rows: DataFrame) -> DataFrame:
     return rows.select("row", "url", "html").mapInArrow(run, "row long, host string, main long, at int, tree long, inner boolean")
 
 
-def templates(trees: DataFrame, min_pages: int = MIN_PAGES, article_share: float = ARTICLE_SHARE) -> DataFrame:
-    """Subtrees (``host``, ``tree``, ``inner``) that recur on many pages of their host."""
+def templates(trees: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE) -> DataFrame:
+    """Subtrees (``host``, ``tree``, ``inner``) that recur on a large share of the pages of their host."""
     # Each page counts once for a subtree; both steps add up before they shuffle.
-    counts = trees.groupBy("host", "tree", "inner", "main").agg(F.lit(1).alias("one")).groupBy("host", "tree", "inner").agg(F.count("one").alias("n"))
+    found = trees.filter(F.col("tree").isNotNull())
+    counts = found.groupBy("host", "tree", "inner", "main").agg(F.lit(1).alias("one")).groupBy("host", "tree", "inner").agg(F.count("one").alias("n"))
     counts = counts.filter(F.col("n") >= min_pages)
     sizes = trees.groupBy("host", "main").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count("one").alias("pages"))
-    return counts.join(sizes, "host").filter(~F.col("inner") | (F.col("n") >= article_share * F.col("pages"))).select("host", "tree", "inner")
+    return counts.join(sizes, "host").filter(F.col("n") >= share * F.col("pages")).select("host", "tree", "inner")
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

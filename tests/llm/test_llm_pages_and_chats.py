@@ -43,6 +43,23 @@ def test_recurring_subtrees_go(spark):
     assert all(got[200 + k] == f"Same.\nPart {k}" for k in range(12))
 
 
+def test_shared_prose_stays_without_an_article(spark):
+    shared = "<h2>Introduction</h2><table><tr><td>Yes</td><td>Cell</td></tr></table><div>Ten of forty pages.</div>"
+    rows = [(k, f"http://a.example/{k}", f"<body><p>Story {k}.</p>{shared if k < 10 else ''}</body>", 0) for k in range(40)]
+    # Pages that hold nothing but paragraphs count for the share, a heading on every page is no template.
+    rows += [(100 + k, f"http://b.example/{k}", f"<h1>Report</h1><p>Part {k}.</p>{'<div>Some.</div>' if k < 10 else ''}", 0) for k in range(40)]
+    got = pages_of(spark, rows)
+    assert all(got[k] == f"Story {k}.\nIntroduction\nYes\nCell\nTen of forty pages." for k in range(10))
+    assert all(got[100 + k] == f"Report\nPart {k}.\nSome." for k in range(10))
+    assert got[20] == "Story 20." and got[120] == "Report\nPart 20."
+
+
+def test_every_top_level_article_stays():
+    long = "word " * 100
+    assert text(f"<article><p>{long}</p></article><article><p>Short.</p></article>") == f"{long.strip()}\nShort."
+    assert text(f"<main>{long}</main><main>Short.</main><article class='ad'>no</article>") == f"{long.strip()}\nShort."
+
+
 def test_page_edges(spark):
     page = "<p>x</p>"
     rows = [(1, None, page, 0), (2, "http://h/", None, 0), (3, "no host", "", 0), (None, "http://h/", page, 0), (4, "http://h/", page, 0), (4, "http://h/", page, 0)]
