@@ -472,10 +472,13 @@ def verdicts(contexts: DataFrame, length: int, gram: int, crowd: int) -> DataFra
 
 
 def fetched(rows: DataFrame, requests: DataFrame, length: int) -> DataFrame:
-    """The bytes of the requested contexts, cut out of their documents."""
+    """The bytes of the requested contexts, each cut once out of its document."""
     wanted = requests.groupBy("doc_id", "version").agg(F.collect_list(F.struct("gram", "digest", "copies", "contexts", "shift", "first", "more")).alias("asked"))
     wanted = materialize(wanted.withColumnRenamed("doc_id", "wanted_id").withColumnRenamed("version", "wanted_version"), "requests")
     joined = rows.join(_small(wanted, "asked", 80), F.col("doc_id").eqNullSafe(F.col("wanted_id")) & (F.col("version") == F.col("wanted_version")))
+    if rows.groupBy("doc_id", "version").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").limit(1).count():
+        # Rows that repeat an id with the same text are asked once.
+        joined = joined.dropDuplicates(["doc_id", "version"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches):
@@ -513,7 +516,8 @@ def repeated_ranges(rows: DataFrame, length: int, gram: int, crowd: int = CROWD)
     all_of = F.array(F.struct(F.lit(0).alias("a"), F.col("more").alias("b")))
     each = hits.select("doc_id", "version", "first", F.explode(F.coalesce("ranges", all_of)).alias("r"))
     span = F.struct((F.col("first") + F.col("r.a")).alias("start"), (F.col("first") + F.col("r.b") + length).alias("end"))
-    return each.groupBy("doc_id", "version").agg(F.collect_list(span).alias("ranges"))
+    # Rows that repeat an id with the same text bring the same spans; sets drop them before the shuffle.
+    return each.groupBy("doc_id", "version").agg(F.collect_set(span).alias("ranges"))
 
 
 def merged(ranges: list[dict[str, int]]) -> list[tuple[int, int]]:

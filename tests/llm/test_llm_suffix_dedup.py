@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 
 import numpy as np
@@ -65,3 +66,21 @@ def test_edges(spark):
     assert by[(3, 3000)] == (3000, 1) and len(got) == 7
     assert by[(4, 400)] == (400, 1) and by[(5, 401)] == (401, 1)  # each window of q starts elsewhere too
     assert removed(spark, [], 400, 160) == []
+
+
+@pytest.mark.parametrize("again", [3, None])
+def test_repeated_rows_carry_their_spans_once(spark, again):
+    random.seed(9)
+    long = "".join(random.choice("abcdefgh") for _ in range(3000))
+    docs = [(again, long)] * 40 + [(5, long[:1500] + "z" * 600), (6, "y" + long[1000:])]
+    rows = suffix_dedup.texts(spark.createDataFrame(docs, "doc_id long, text string"), "doc_id", "text").withColumn("version", F.xxhash64("text"))
+    ranges = {r.doc_id: r.ranges for r in suffix_dedup.repeated_ranges(rows, 400, 160).collect()}
+    assert set(ranges) == {again, 5, 6}
+    assert all(len(found) == len(set(found)) for found in ranges.values())
+    # One copy of each context is fetched, however many rows repeat it.
+    asked = rows.select("doc_id", "version").distinct().filter("doc_id <=> " + ("NULL" if again is None else str(again)))
+    zero = [F.lit(0).cast("long").alias(c) for c in ("gram", "digest", "copies", "contexts")] + [F.lit(0).alias(c) for c in ("shift", "first", "more")]
+    assert suffix_dedup.fetched(rows, asked.select("*", *zero), 400).count() == 1
+    got = removed(spark, docs, 400, 160)
+    assert got.count((again, 3000, 3000, 1, hashlib.sha256(b"").hexdigest())) == 40
+    assert {r[0]: r[1:4] for r in got}[6] == (2001, 2000, 1)
