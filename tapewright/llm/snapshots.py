@@ -7,9 +7,10 @@ hash is among the inner prefix hashes of any conversation is a snapshot; an anti
 leaves the maximal ones, and of equal ones that with the smallest id. They are rendered
 with a role header before every turn.
 
-Hashes are 256 bits of role and text, so equal hashes are taken for equal turns. A
-conversation is bounded by its own turns; equal prefixes, however many conversations share
-them, are combined before the shuffle.
+Hashes are 256 bits of role and text, so equal hashes are taken for equal turns. Exact
+repeats of a turn are dropped before and after a shuffle by conversation and turn, and only
+then is a conversation put together, so it is bounded by its different turns; equal prefixes,
+however many conversations share them, are combined before the shuffle.
 
 Defined results: turns are ordered by number (NULL first), then role and text; exact
 repeats of a row count once; a NULL role or text counts as empty; rows with a NULL
@@ -35,7 +36,7 @@ def conversations(rows: DataFrame) -> DataFrame:
             F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
         ).alias("t"),
     )
-    return turns.groupBy("conv_id").agg(F.array_sort(F.array_distinct(F.collect_list("t"))).alias("turns"))
+    return turns.distinct().groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("turns"))
 
 
 def prefixes(turns: Column) -> Column:

@@ -93,3 +93,12 @@ def test_snapshot_edges(spark):
     # Role and text do not run into each other.
     assert set(collapsed(spark, [(1, 0, "a", "bc", 0), (2, 0, "ab", "c", 0), (2, 1, "x", "", 0)])) == {1, 2}
     assert collapsed(spark, []) == {}
+
+
+def test_repeated_turns_are_dropped_before_they_are_collected(spark):
+    rows = [(1, k % 3, "user", f"t{k % 3}") for k in range(3000)] + [(2, None, None, None), (2, None, "", "")]
+    convs = snapshots.conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    assert {r.conv_id: [t.text for t in r.turns] for r in convs.collect()} == {1: ["t0", "t1", "t2"], 2: [""]}
+    plan = convs._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    collects = [k for k, line in enumerate(plan) if "collect_list" in line]
+    assert collects and any("Aggregate [conv_id" in line and ", t" in line for line in plan[collects[-1] + 1 :])
