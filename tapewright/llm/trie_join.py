@@ -22,7 +22,7 @@ n-grams have 64 bits; overlaps count hashes.
 
 Defined results: NULL or empty texts have no n-grams and are linked with nothing; a text
 with fewer words than n has its whole word sequence as one n-gram; rows that repeat an id
-belong together; rows with a NULL id are linked with nothing; extra columns are ignored.
+belong together, and with them the classes of their sets; rows with a NULL id are linked with nothing; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapewright.llm.columns import pieces, shuffle_partitions, texts
@@ -52,6 +52,8 @@ CROWD = 4096
 GROUP = 512
 #: Ids of clustered sets that may be broadcast instead of shuffling the texts to them.
 BROADCAST_IDS = 2_000_000
+#: What tells classes apart: size of the set and two sums of its hashes.
+KEYS = ("n", "s1", "s2")
 #: Tokens of a trie edge that are compared before the bound is looked at again.
 STRIDE = 96
 
@@ -478,27 +480,41 @@ def similar_in(sets: list[np.ndarray], like: Similarity) -> list[tuple[int, int]
     return out
 
 
-def clustered_sets(rows: DataFrame, clusters: DataFrame, like: Similarity, order: Order) -> DataFrame:
-    """The ordered sets of clustered documents, with cluster and cluster size."""
+def clustered_sets(rows: DataFrame, clusters: DataFrame, like: Similarity, order: Order, classes: DataFrame | None = None) -> DataFrame:
+    """The ordered sets of clustered documents, with cluster and cluster size. Where ids repeat,
+    ``classes`` (``doc_id`` and ``KEYS``, each once) tells which sets to take, one for each."""
     few = clusters.count() <= BROADCAST_IDS
     chosen = rows.join(F.broadcast(clusters) if few else clusters, "doc_id")
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches):
-            sets = [order.arranged(s).tobytes() for s in gram_sets(piece.column("text"), like.n)]
+            sets = gram_sets(piece.column("text"), like.n)
+            sizes = pa.array([len(s) for s in sets], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [piece.column(c) for c in ("doc_id", "cluster", "members")] + [pa.array(sets, pa.binary())], ["doc_id", "cluster", "members", "grams"]
+                [piece.column(c) for c in ("doc_id", "cluster", "members")]
+                + [sizes, *(signed(np.array([f(s).sum() for s in sets], np.uint64)) for f in (np.asarray, mix))]
+                + [pa.array([order.arranged(s).tobytes() for s in sets], pa.binary())],
+                ["doc_id", "cluster", "members", *KEYS, "grams"],
             )
 
-    return chosen.select("doc_id", "cluster", "members", "text").mapInArrow(run, f"doc_id {kind}, cluster {kind}, members long, grams binary")
+    schema = f"doc_id {kind}, cluster {kind}, members long, n long, s1 long, s2 long, grams binary"
+    found = chosen.select("doc_id", "cluster", "members", "text").mapInArrow(run, schema)
+    if classes is None:
+        return found
+    # Copies of a row fall together in each task before the shuffle.
+    return found.dropDuplicates(["doc_id", *KEYS]).join(classes.select("doc_id", *KEYS), ["doc_id", *KEYS], "left_semi")
+
+
+def block(salt: int) -> Column:
+    """One of the blocks of a cluster, by the id and the class of a set."""
+    return F.pmod(F.xxhash64(F.lit(salt), "doc_id", *KEYS), F.ceil(F.col("members") / GROUP)).cast("int")
 
 
 def links_within(sets: DataFrame, like: Similarity, salt: int) -> DataFrame:
     """Verified links inside blocks of about ``GROUP`` sets of a cluster."""
     kind = sets.schema["doc_id"].dataType.simpleString()
-    blocks = F.ceil(F.col("members") / GROUP)
-    cut = sets.withColumn("block", F.when(blocks > 1, F.pmod(F.xxhash64(F.lit(salt), "doc_id"), blocks)).otherwise(0))
+    cut = sets.withColumn("block", block(salt))
     cut = cut.repartition(shuffle_partitions(sets), "cluster", "block").sortWithinPartitions("cluster", "block", "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -520,7 +536,7 @@ def links_across(sets: DataFrame, roots: DataFrame, like: Similarity) -> DataFra
     cores = parts.groupBy("cluster").agg(F.max_by("root", F.struct("size", "root")).alias("core"), F.count(F.lit(1)).alias("parts"))
     named = named.join(cores.filter("parts > 1").select("cluster", "core"), "cluster")
     blocks = F.ceil(F.col("members") / GROUP).cast("int")
-    named = named.withColumns({"own": F.pmod(F.xxhash64(F.lit(0), "doc_id"), blocks).cast("int"), "part": F.xxhash64("root")})
+    named = named.withColumns({"own": block(0), "part": F.xxhash64("root")})
     at = F.when(F.col("root") == F.col("core"), F.array("own")).otherwise(F.sequence(F.lit(0), blocks - 1))
     rows = named.withColumn("block", F.explode(at)).withColumn("visits", F.col("block") != F.col("own"))
     rows = rows.select("doc_id", "cluster", "block", "visits", "part", "grams").repartition(shuffle_partitions(sets), "cluster", "block")
@@ -549,6 +565,21 @@ def links_across(sets: DataFrame, roots: DataFrame, like: Similarity) -> DataFra
     return rows.mapInArrow(run, f"a {kind}, b {kind}")
 
 
+def repeated_ids(usable: DataFrame) -> DataFrame:
+    """Ids of several rows, and whether their sets differ."""
+    ends = [f(k).alias(f"{name}_{k}") for name, f in (("low", F.min), ("high", F.max)) for k in KEYS]
+    found = usable.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), *ends).filter("rows > 1")
+    return found.select("doc_id", F.expr(" or ".join(f"low_{k} <> high_{k}" for k in KEYS)).alias("differ"))
+
+
+def links_of_ids(usable: DataFrame, repeated: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links between the classes that hold sets of the same id."""
+    varied = usable.select("doc_id", *KEYS).join(repeated.filter("differ"), "doc_id", "left_semi").distinct()
+    held = materialize(varied.join(classes.select("class", *KEYS), list(KEYS)).select("doc_id", "class").distinct(), "held")
+    least = held.groupBy("doc_id").agg(F.min("class").alias("b"))
+    return held.join(least, "doc_id").select(F.col("class").alias("a"), "b")
+
+
 def similar_groups(docs: DataFrame, n: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``n_shingles`` (size of its set) and ``component_id`` (least id reachable by links
     of sets with a Jaccard similarity of ``percent`` or more) of every document."""
@@ -557,18 +588,26 @@ def similar_groups(docs: DataFrame, n: int, percent: int, id_col: str = "doc_id"
     order = frequent(rows, like)
     sets = materialize(described(rows, like, order), "sets")
     usable = sets.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
-    keys = ["n", "s1", "s2"]
+    keys = list(KEYS)
     classes = materialize(usable.groupBy(*keys).agg(F.min("doc_id").alias("class"), F.count(F.lit(1)).alias("copies")), "classes")
     alone = usable.join(classes.select(F.col("class").alias("doc_id"), *keys), ["doc_id", *keys], "left_semi")
-    members = materialize(alone.select("doc_id", "n", "prefix", "sketch").dropDuplicates(["doc_id", "n", "sketch"]), "members")
+    members = materialize(alone.select("doc_id", *keys, "prefix", "sketch").dropDuplicates(["doc_id", *keys]), "members")
+    repeated = materialize(repeated_ids(usable), "repeated")
+    several = members if repeated.limit(1).count() else None
     rough = components(candidates(members, like)).select(F.col("node").alias("doc_id"), F.col("root").alias("cluster"))
-    sizes = rough.groupBy("cluster").agg(F.count(F.lit(1)).alias("members"))
+    if several is None:
+        sizes = rough.groupBy("cluster").agg(F.count(F.lit(1)).alias("members"))
+    else:
+        counts = members.groupBy("doc_id").agg(F.count(F.lit(1)).alias("sets"))
+        sizes = rough.join(counts, "doc_id").groupBy("cluster").agg(F.sum("sets").alias("members"))
     clusters = materialize(rough.join(sizes, "cluster").select("doc_id", "cluster", "members"), "clusters")
-    links = materialize(links_within(clustered_sets(rows, clusters, like, order), like, 0), "links")
+    links = materialize(links_within(clustered_sets(rows, clusters, like, order, several), like, 0), "links")
+    if several is not None:
+        links = materialize(links.unionByName(links_of_ids(usable, repeated, classes)), "links")
     large = clusters.filter(F.col("members") > GROUP)
     split = large.limit(1).count() > 0
     if split:
-        ordered = materialize(clustered_sets(rows, large, like, order), "ordered")
+        ordered = materialize(clustered_sets(rows, large, like, order, several), "ordered")
         links = materialize(links.unionByName(links_within(ordered, like, 1)), "links")
     roots = materialize(components(links), "roots")
     if split:

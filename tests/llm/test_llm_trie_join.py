@@ -76,6 +76,30 @@ def test_edges(spark):
     assert joined(spark, []) == []
 
 
+def test_classes_of_one_id_belong_together(spark):
+    a, b = (" ".join(f"{c}{k}" for k in range(30)) for c in "ab")
+    got = joined(spark, [(5, a), (3, a), (5, b), (4, b), (6, "other words stand here")])
+    assert got == sorted([(5, 27, 3), (3, 27, 3), (5, 27, 3), (4, 27, 3), (6, 1, 6)], key=str)
+
+
+def test_repeated_id_in_many_blocks(spark, monkeypatch):
+    """A hot id: copies of a row are one set, and its different texts are dealt over the blocks."""
+    monkeypatch.setattr(trie_join, "GROUP", 5)
+    base = [f"w{k}" for k in range(200)]
+    texts = [" ".join(base[:150] + [f"x{k}"] + base[151:]) for k in range(40)]
+    docs = [(1, t) for t in texts for _ in range(3)] + [(2, texts[0] + " more"), (3, "far away from all of them")]
+    got = joined(spark, docs)
+    assert [r[0::2] for r in got] == [(1, 1)] * 120 + [(2, 1), (3, 3)]
+    rows = spark.createDataFrame(docs, "doc_id long, text string")
+    like = trie_join.Similarity(4, 85)
+    order = trie_join.frequent(rows, like)
+    classes = trie_join.described(rows, like, order).dropDuplicates(["doc_id", "n", "s1", "s2"])
+    clusters = spark.createDataFrame([(1, 1, 41), (2, 1, 41)], "doc_id long, cluster long, members long")
+    sets = trie_join.clustered_sets(rows, clusters, like, order, classes)
+    dealt = [r["count"] for r in sets.groupBy(trie_join.block(0)).count().collect()]
+    assert sum(dealt) == 41 and len(dealt) > 4 and max(dealt) < 20
+
+
 def test_similarity_at_the_border(spark):
     """17 of 20 is 0.85 and links; 16 of 20 does not."""
     words = [f"w{k}" for k in range(40)]
