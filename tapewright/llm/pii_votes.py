@@ -37,7 +37,7 @@ BASE = {
 
 #: Further candidates, in the order of the span list.
 CANDIDATES = {
-    "secret": r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{20,128}={0,2}(?![A-Za-z0-9+/_=-])",
+    "secret": r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{20,}+={0,2}(?![A-Za-z0-9+/_=-])",
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
     "iban": r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?(?![0-9A-Za-z])",
     "local_phone": r"(?<![0-9A-Za-z+.-])(?<!\+[0-9]{1,3}\x20)\(?[0-9]{3}\)?[\x20.-][0-9]{3}[.-][0-9]{4}(?![0-9A-Za-z-])",

@@ -74,6 +74,14 @@ def test_votes_add_secrets_and_leave_others(spark):
     assert 0.3 < priors["secret"] < 0.7 and rates[0][0] > 0.7 > 0.2 > rates[0][1]
 
 
+def test_long_secrets_are_found_whole(spark):
+    keys = {k: f"{k}" + "aB3-x_9Z4q" * n for k, n in enumerate((3, 30, 5000))}
+    rows = [(k, f'we set token = "{keys[k % 3]}" and left') for k in range(30)]
+    found = pii_votes.private_spans(spark.createDataFrame(rows, "doc_id long, text string"))
+    masked = found.select("doc_id", pii_votes.masked(F.col("text"), F.col("spans")).alias("text")).collect()
+    assert {r.text for r in masked} == {'we set token = "<SECRET>" and left'} and len(masked) == 30
+
+
 def test_masking_and_running_sums(spark):
     rows = spark.createDataFrame([(1, "é mail a@b.cc or 10.0.0.1 😀"), (2, None), (3, "plain")], "doc_id long, text string")
     found = pii_votes.private_spans(rows).select("doc_id", pii_votes.masked(F.coalesce("text", F.lit("")), F.col("spans")).alias("text"))
