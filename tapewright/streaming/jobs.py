@@ -122,7 +122,8 @@ def start_klines(
 
 def book_table(path: str) -> KeyedTable:
     """Latest top of book, one row per symbol; ``shard`` is its only partition."""
-    return KeyedTable(path, T.StructType(BOOK_TOP.fields).add("shard", T.IntegerType()), ["symbol", "shard"], ["shard"], ["timestamp"])
+    layout = T.StructType([*BOOK_TOP.fields, T.StructField("shard", T.IntegerType())])
+    return KeyedTable(path, layout, ["symbol", "shard"], ["shard"], ["timestamp"])
 
 
 def start_book(
