@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapewright.llm import bpe_stream, divergence, leak_search, pairwise_quality, pii_votes, site_templates, snapshots, suffix_dedup, token_store, trie_join
+from tapewright.llm import bpe_stream, divergence, leak_search, merkle_manifest, pairwise_quality, pareto_mix, periodic_runs, pii_votes, site_templates, snapshots, suffix_dedup, token_store, trie_join
 from tapewright.llm.columns import bounded_batches, texts
 from tapewright.session import materialize, scratch_path
 
@@ -119,3 +119,24 @@ def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
         F.size("removed").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of words in every document, and digests of the texts without them."""
+    return periodic_runs.digest(periodic_runs.periodic_runs(periodic_runs.looped(table(spark, folder, "documents"))))
+
+
+@query
+def op12_pareto_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with the words that the mix of sources takes of it."""
+    return pareto_mix.mixed(table(spark, folder, "documents"))
+
+
+oracle("op12_pareto_mix", pareto_mix.SQL)
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Leaf, roots, proof and verification of every document."""
+    return merkle_manifest.manifest(table(spark, folder, "documents"))

