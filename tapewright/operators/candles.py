@@ -77,6 +77,20 @@ def ohlcv(trades: DataFrame, interval: str, dim: DataFrame | None = None) -> Dat
     return join_dim(bars, dim.select("symbol", "name", "category"))
 
 
+def bar_aggregates() -> list[Column]:
+    """Aggregates of a coarser candle; shared by the batch and the streaming rollup."""
+    return [
+        F.min_by("open", "open_time").alias("open"),
+        F.max("high").alias("high"),
+        F.min("low").alias("low"),
+        F.max_by("close", "open_time").alias("close"),
+        F.sum("volume").alias("volume"),
+        F.sum("quote_volume").alias("quote_volume"),
+        F.sum("trades").alias("trades"),
+        F.sum("taker_buy_volume").alias("taker_buy_volume"),
+    ]
+
+
 def rollup(candles: DataFrame, interval: str) -> DataFrame:
     """Coarser candles: first open, last close, extremes and sums.
 
@@ -86,16 +100,7 @@ def rollup(candles: DataFrame, interval: str) -> DataFrame:
     width = WIDTH_MS[interval]
     start = candle.bucket_start(F.col("open_time"), width)
     bars = candles.groupBy("symbol", start.alias("_start")).agg(
-        F.min_by("open", "open_time").alias("open"),
-        F.max("high").alias("high"),
-        F.min("low").alias("low"),
-        F.max_by("close", "open_time").alias("close"),
-        F.sum("volume").alias("volume"),
-        F.sum("quote_volume").alias("quote_volume"),
-        F.sum("trades").alias("trades"),
-        F.sum("taker_buy_volume").alias("taker_buy_volume"),
-        F.min("open_time").alias("first_open_time"),
-        F.max("close_time").alias("last_close_time"),
+        *bar_aggregates(), F.min("open_time").alias("first_open_time"), F.max("close_time").alias("last_close_time")
     )
     bars = bars.withColumnRenamed("_start", "open_time")
     return _finish(bars, interval, ["first_open_time", "last_close_time"])

@@ -62,7 +62,11 @@ def with_actuals(predictions: DataFrame, candles: DataFrame, interval: str = "5m
         (F.col("open_time") - WIDTH_MS[interval]).alias("open_time"),
         F.col("close").alias("actual_price"),
     )
-    joined = predictions.join(actual, ["symbol", "open_time"], "left")
+    return realised(predictions.join(actual, ["symbol", "open_time"], "left"))
+
+
+def realised(joined: DataFrame) -> DataFrame:
+    """Realised change and accuracy of predictions that have their ``actual_price``."""
     error = F.abs(candle.change_pct(F.col("predicted_price"), F.col("actual_price")))
     return joined.withColumns(
         {

@@ -7,7 +7,9 @@ from tapewright.suite import (  # noqa: F401
     feature_queries,
     market_queries,
     model_queries,
+    partial_queries,
     serving_queries,
+    state_queries,
     stream_queries,
 )
 from tapewright.suite.registry import ORACLES, QUERIES

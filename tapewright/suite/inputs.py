@@ -27,6 +27,9 @@ FIRST_DAY = 1_704_067_200_000
 #: The clock a day earlier.
 EARLIER = AS_OF - WIDTH_MS["1d"]
 
+#: Days of one fit of the sliding refit.
+SPAN_DAYS = 10
+
 #: Four of the five symbols, so that one has no metadata.
 DIM_ROWS = [
     ("click", "Click", "CLK", "Layer 1", 1),

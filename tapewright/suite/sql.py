@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 from tapewright.schemas import FEATURES, WIDTH_MS
-from tapewright.suite.inputs import AS_OF, DIM_ROWS, EARLIER, FIRST_DAY, PARAMS
+from tapewright.suite.inputs import AS_OF, DIM_ROWS, EARLIER, FIRST_DAY, PARAMS, SPAN_DAYS
 
 
 def _bars(width: int, name: str) -> str:
@@ -157,6 +157,10 @@ CTES = {
     **_forecast("", AS_OF),
     **_forecast("earlier_", EARLIER),
     "train_part": f"SELECT * FROM training WHERE open_time <= {CUT}",
+    "span_part": f"""SELECT * FROM training
+WHERE open_time // {WIDTH_MS["1d"]} > (SELECT max(open_time) // {WIDTH_MS["1d"]} FROM training) - {SPAN_DAYS}""",
+    "system_span": _system("span_part"),
+    "solved_span": _solved("system_span", "solved_span"),
     "system_all": _system("training"),
     "solved_all": _solved("system_all", "solved_all"),
     "system_train": _system("train_part"),

@@ -30,5 +30,12 @@ def test_query(spark, sql, name):
         assert compare(got, sql.execute(oracle).df()) == ""
 
 
+@pytest.mark.parametrize("name", sorted(n for n in entry.queries() if n.startswith(("stream_", "src_"))))
+def test_streaming_query_again(spark, sql, name):
+    """What one run of a stream leaves in the process does not disturb the next one."""
+    got = entry.queries()[name](spark, FOLDER).toPandas()
+    assert compare(got, sql.execute(entry.oracle_sql()[name]).df()) == ""
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
