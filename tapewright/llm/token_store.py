@@ -9,12 +9,13 @@ can read the file; a reader that wants a few documents reads the two tables and
 frames that these documents touch, and checks each frame's checksum.
 
 Defined results: a NULL or empty text gives only the end id; rows are ordered by id (NULL
-first), rows that repeat an id by their text; extra columns are ignored. An empty table
+first), rows that repeat an id by a digest of their text; extra columns are ignored. An empty table
 gives shards without documents.
 """
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import struct
@@ -30,11 +31,12 @@ import pyarrow.fs as pafs
 import xxhash
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tapewright.llm.columns import pieces, shuffle_partitions, texts
+from tapewright.llm.columns import pieces, shuffle_partitions, whole_text
 
 # Spark runs one task for each core; the library's own threads would compete with them.
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -51,10 +53,14 @@ LEVEL = 3
 #: it is emptied when a quarter of all chunks are others.
 CHUNKS = 1_500_000
 CHUNK_CHARS = 48
+#: Chunks that are encoded as one text.
+GROUP = 512
 
 MANIFEST = "shard int, path string, width int, n_docs long, n_tokens long"
 
-# The white space of the pre-tokenizer's pattern.
+# The character that stands for a blank in byte-level tokens, and the white
+# space of the pre-tokenizer's pattern.
+BLANK = "\u0120"
 SPACE = " \\t\\n\\r\\x0b\\x0c\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 
 
@@ -75,6 +81,9 @@ class Encoder:
         self.width = 2 if self.library.get_vocab_size() <= 1 << 16 else 4
         self.code = "H" if self.width == 2 else "I"  # machine integers: little-endian on all that Spark runs on
         self.end = array(self.code, [end_id]).tobytes()
+        vocabulary = self.library.get_vocab()
+        self.heads = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.heads[[i for token, i in vocabulary.items() if token.startswith(BLANK)]] = True
         self.marks = dict(zip(".,;:!?", self._encode(list(".,;:!?"))))
         self.spaced: dict[str, bytes] = {}
         self.units: dict[str, bytes] = {}
@@ -82,6 +91,26 @@ class Encoder:
     def _encode(self, units: list[str]) -> list[bytes]:
         return [array(self.code, e.ids).tobytes() for e in self.library.encode_batch_fast(units, add_special_tokens=False)]
 
+    def _spaced(self, chunks: list[str]) -> list[bytes]:
+        """Ids of each chunk after a blank, many chunks at a time as one text.
+
+        A blank begins a new piece for the library, and of the tokens of a piece only the
+        first can hold it; so the ids of a chunk begin where such a token stands. Where
+        the numbers do not agree (a vocabulary without such tokens) chunks go one by one.
+        """
+        out: list[bytes] = []
+        groups = [chunks[k : k + GROUP] for k in range(0, len(chunks), GROUP)]
+        whole = self.library.encode_batch_fast([" " + " ".join(g) for g in groups], add_special_tokens=False)
+        for group, coded in zip(groups, whole):
+            ids = np.array(coded.ids, f"<u{self.width}")
+            first = np.flatnonzero(self.heads[ids])
+            if len(first) != len(group) or first[0]:
+                out += self._encode([" " + c for c in group])
+                continue
+            raw, at = ids.tobytes(), (first * self.width).tolist()
+            out += [raw[a:b] for a, b in zip(at, [*at[1:], len(raw)])]
+        return out
+
     def learn(self, chunks: set[str]) -> dict[str, bytes | None]:
         """Ids of new chunks that follow one blank, or start with their line feed; kept while
         there is room. None for a chunk with white space elsewhere: its text goes unit by unit.
@@ -90,8 +119,12 @@ class Encoder:
         # Letters and the mark after them are encoded apart.
         marked = [c for c in chunks if c[-1:] in self.marks and c[:-1].isalpha()]
         stems = {c[:-1] for c in marked}
-        plain = [c for c in (chunks | stems).difference(marked, known) if c and c != "\n" and not self.OTHER.search(c, c[0] == "\n")]
-        found = dict(zip(plain, self._encode([c if c[0] == "\n" else " " + c for c in plain])))
+        # Membership chunk by chunk: a set difference would walk through all that is known.
+        apart = set(marked)
+        plain = [c for c in chunks | stems if c and c not in known and c not in apart and c != "\n" and not self.OTHER.search(c, c[0] == "\n")]
+        lines = [c for c in plain if c[0] == "\n"]
+        plain = [c for c in plain if c[0] != "\n"]
+        found = dict(zip(lines, self._encode(lines))) | dict(zip(plain, self._spaced(plain)))
         found |= {c: (found.get(c[:-1]) or known[c[:-1]]) + self.marks[c[-1]] for c in marked}
         if len(known) < CHUNKS:
             known |= found
@@ -217,6 +250,16 @@ class ShardReader:
         return b"".join(out)
 
 
+def _place(docs: DataFrame) -> list[Column]:
+    """Where each row of a table of files stands; the same for all rows of other tables."""
+    place = [F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row")]
+    try:
+        docs.select(*place)
+    except AnalysisException:
+        return [F.lit("").alias("file"), F.lit(0).alias("row")]
+    return place
+
+
 def write_tokens(docs: DataFrame, folder: str, path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encode every whole text and write shards in ascending id order below ``folder``.
 
@@ -224,9 +267,12 @@ def write_tokens(docs: DataFrame, folder: str, path: str, end_id: int, id_col: s
     name of its own attempt and then moved, so that a lost or repeated task does no harm.
     ``folder`` must be reachable from every executor; it also gets a ``manifest`` table.
     """
-    rows = texts(docs, id_col, text_col)
-    parts = shuffle_partitions(docs)
-    ordered = rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
+    # Rows of one id are told apart by a digest of their text, equal rows by their place in the
+    # files, so that neither a NULL nor a much repeated id is one range.
+    order = [F.col("doc_id").asc_nulls_first(), F.col("digest"), F.col("file"), F.col("row")]
+    rows = docs.select(F.col(id_col).alias("doc_id"), whole_text(text_col).alias("text"), *_place(docs))
+    rows = rows.withColumn("digest", F.md5(F.col("text").cast("binary")))
+    ordered = rows.repartitionByRange(shuffle_partitions(docs), *order).sortWithinPartitions(*order).select("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use, shard = encoder(path, end_id), TaskContext.get().partitionId()
@@ -235,15 +281,19 @@ def write_tokens(docs: DataFrame, folder: str, path: str, end_id: int, id_col: s
         name = f"{root}/shard-{shard:06d}.tokens.zst"
         attempt = f"{root}/.attempt-{shard}-{uuid.uuid4().hex}"
         ids, lengths = [], []
-        with fs.open_output_stream(attempt, compression=None) as sink:
-            writer = ShardWriter(sink)
-            for piece in pieces(batches, limit=4 << 20):
-                for raw in use.encode(piece.column("text").to_pylist()):
-                    writer.add(raw)
-                    lengths.append(len(raw) // use.width)
-                ids.append(piece.column("doc_id"))
-            kept = pa.chunked_array(ids) if ids else pa.nulls(0)
-            writer.close(pa.table({"doc_id": kept, "n_tokens": pa.array(lengths, pa.int64())}))
+        gc.disable()  # nothing below makes cycles, and looking for them takes a tenth of the time
+        try:
+            with fs.open_output_stream(attempt, compression=None) as sink:
+                writer = ShardWriter(sink)
+                for piece in pieces(batches, limit=4 << 20):
+                    for raw in use.encode(piece.column("text").to_pylist()):
+                        writer.add(raw)
+                        lengths.append(len(raw) // use.width)
+                    ids.append(piece.column("doc_id"))
+                kept = pa.chunked_array(ids) if ids else pa.nulls(0)
+                writer.close(pa.table({"doc_id": kept, "n_tokens": pa.array(lengths, pa.int64())}))
+        finally:
+            gc.enable()
         fs.move(attempt, name)
         yield pa.RecordBatch.from_pydict(
             {

@@ -47,13 +47,36 @@ def test_transducer_keeps_a_bounded_tail():
     assert merges.lookahead == max(len(t.removesuffix("</w>")) for t in library(WORDS).get_vocab() if not t.startswith("<|"))
 
 
-def test_decoder_gives_back_bytes():
+def test_decoder_gives_back_bytes(monkeypatch):
     codec = bpe_stream.Codec(WORDS)
-    for text in ["the cat", "é 한국 😀", "a<|endoftext|>b"]:
-        ids = np.frombuffer(codec.encode(text), "<u4").tolist()
-        assert "".join(codec.text(ids)).replace(" ", "") == text.replace(" ", "")
-    cut = codec.merges.vocab["Ã"]  # the first byte of a two-byte character alone
-    assert "".join(codec.text([cut])) == "�"
+    for block in (bpe_stream.BLOCK, 1, 3):
+        monkeypatch.setattr(bpe_stream, "BLOCK", block)
+        for text in ["the cat", "é 한국 😀", "a<|endoftext|>b", "<|endoftext|><|endoftext|>", ""]:
+            assert "".join(codec.text(codec.encode(text))).replace(" ", "") == text.replace(" ", "")
+        cut = codec.merges.vocab["Ã"]  # the first byte of a two-byte character alone
+        special = codec.special["<|endoftext|>"]
+        assert "".join(codec.text(np.array([cut], "<u4").tobytes())) == "\ufffd"
+        assert "".join(codec.text(np.array([cut, special, cut], "<u4").tobytes())) == "\ufffd<|endoftext|>\ufffd"
+
+
+def test_the_query_path_decodes_by_the_state_machine(spark):
+    texts = ["The Cat, sat.", "é 한국 😀 <|endoftext|> x", "", "a" * 9000]
+    rows = bpe_stream.encode_decode(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), WORDS).collect()
+    for row in rows:
+        assert row.text.replace(" ", "") == texts[row.doc_id].lower().replace(" ", "")
+
+
+def test_rows_without_an_id_are_dealt_by_their_text(spark, tmp_path):
+    """A third of all rows has no id and another third one id; both are spread over shards."""
+    rows = [(None, f"text {k} " * 20) for k in range(300)] + [(7, f"word {k} " * 20) for k in range(300)] + [(None, "same")] * 100 + [(k, "x") for k in range(100, 200)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(4).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    token_store.write_tokens(docs, str(tmp_path / "store"), BYTES, 2)
+    shards = spark.read.parquet(str(tmp_path / "store/manifest")).collect()
+    assert sum(r.n_docs for r in shards) == len(rows) and max(r.n_docs for r in shards) < len(rows) / 4
+    got = sorted(((r.start, r.doc_id, r.ids) for r in token_store.read_tokens(spark, str(tmp_path / "store")).collect()))
+    assert [d for _, d, _ in got] == sorted((d for d, _ in rows), key=lambda d: (d is not None, d or 0))
+    assert [s for s, _, _ in got] == [sum(len(i) // 4 for _, _, i in got[:k]) for k in range(len(got))]
 
 
 def test_encode_decode_edges(spark):
