@@ -11,11 +11,15 @@ sequences of the item's question and of its answer must occur in the window.
 Windows are twice as long as the longest item and overlap by one item length, so no
 occurrence falls between two. The index is built from at most ``SHARD_BYTES`` of items at
 a time and sent to the executors; more items mean more index shards, each with its own
-pass over the documents. No shuffle of texts.
+pass over the documents. Frequencies, mean length and window width are those of all items,
+counted by Spark, so no score depends on the number of shards. No shuffle of texts.
 
 Defined results: NULL or empty items and texts match nothing; an item with fewer than five
 words matches where its whole word sequence occurs; items that repeat an id are searched
-as separate texts and reported once, with the best match; extra columns are ignored.
+as separate texts, in one shard, and reported once, with the best match; equal items count
+once; a document that repeats an id is reported for each of its rows; a very long text is
+searched window by window, whole; extra columns are ignored; an empty table on either side
+gives no rows.
 """
 
 from __future__ import annotations
@@ -23,6 +27,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +36,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from tapewright.llm.columns import pieces, texts, whole_text
-from tapewright.llm.words import MARKS, SPACE, Words, sequence
+from tapewright.llm.words import MARKS, SPACE, Words, sequence, sequences
+from tapewright.session import materialize
 
 TERM_WORDS = 3
 SHINGLE_WORDS = 5
@@ -64,21 +70,66 @@ def grams(text: str, n: int) -> np.ndarray:
     return np.unique(words.grams(n)[0])
 
 
+class Statistics(NamedTuple):
+    """What BM25 and the windows need to know of all items: their number, the mean number of
+    terms, the longest and the shortest in words, and in how many items a term occurs."""
+
+    items: int
+    mean: float
+    longest: int
+    shortest: int
+    terms: np.ndarray
+    df: np.ndarray
+
+
+def term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct terms of every item, and its length in words."""
+    for piece in pieces(batches):
+        for text in piece.column("text").to_pylist():
+            words = len(Words(pa.array([text]), SEPARATORS).hash)
+            if words:
+                own = grams(text, TERM_WORDS).astype(np.int64)
+                yield pa.RecordBatch.from_pydict({"term": own, "n_terms": np.full(len(own), len(own)), "n_words": np.full(len(own), words), "first": np.arange(len(own)) == 0})
+
+
+def statistics_of(tests: DataFrame) -> tuple[Statistics, DataFrame]:
+    """Statistics of all items without their terms, and a table of the terms' frequencies."""
+    schema = "term long, n_terms long, n_words long, first boolean"
+    counted = materialize(tests.select("text").mapInArrow(term_rows, schema), "terms")
+    n, terms, longest, shortest = counted.filter("first").agg(F.count(F.lit(1)), F.sum("n_terms"), F.max("n_words"), F.min("n_words")).first()
+    df = materialize(counted.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "frequencies")
+    return Statistics(n, (terms or 0) / max(1, n), longest or 0, shortest or 0, np.zeros(0, np.uint64), np.zeros(0, np.int64)), df
+
+
+def of_shard(whole: Statistics, df: DataFrame, part: DataFrame) -> Statistics:
+    """The statistics with the frequencies of the terms of one shard: as many as its text has."""
+    own = part.select("text").mapInArrow(term_rows, "term long, n_terms long, n_words long, first boolean").select("term").distinct()
+    rows = df.join(own, "term", "left_semi").collect()
+    terms = np.array([r["term"] for r in rows], np.int64).astype(np.uint64)
+    order = np.argsort(terms)
+    return whole._replace(terms=terms[order], df=np.array([r["df"] for r in rows], np.int64)[order])
+
+
 class Index:
-    """Inverted index of items with block maxima."""
+    """Inverted index of items with block maxima.
 
-    def __init__(self, items: list[tuple[object, str]]) -> None:
+    Without ``statistics`` the items are all there are.
+    """
+
+    def __init__(self, items: list[tuple[object, str]], statistics: Statistics | None = None) -> None:
         items = [(i, t) for i, t in items if t and len(Words(pa.array([t]), SEPARATORS).hash)]
         self.ids = [i for i, _ in items]
         parts = [question_and_answer(t) for _, t in items]
         self.parts = [tuple(grams(p, SHINGLE_WORDS) for p in (q, a, t)) for (q, a), (_, t) in zip(parts, items)]
         lengths = [len(Words(pa.array([t]), SEPARATORS).hash) for _, t in items]
-        self.longest = max(lengths, default=0)
-        self.shortest = min(lengths, default=0)
         terms = [grams(t, TERM_WORDS) for _, t in items]
         self.terms, df = np.unique(np.concatenate([np.zeros(0, np.uint64), *terms]), return_counts=True)
-        idf = np.log1p((len(items) - df + 0.5) / (df + 0.5))
-        mean = sum(map(len, terms)) / max(1, len(terms))
+        if statistics is None:
+            mean = sum(map(len, terms)) / max(1, len(terms))
+            statistics = Statistics(len(items), mean, max(lengths, default=0), min(lengths, default=0), self.terms, df)
+        self.longest, self.shortest, mean = statistics.longest, statistics.shortest, statistics.mean
+        df = statistics.df[np.searchsorted(statistics.terms, self.terms)]
+        idf = np.log1p((statistics.items - df + 0.5) / (df + 0.5))
         postings: list[list[tuple[int, float]]] = [[] for _ in self.terms]
         for k, own in enumerate(terms):
             at = np.searchsorted(self.terms, own)
@@ -191,12 +242,7 @@ def _short(index: Index, hashes: np.ndarray) -> list[int]:
     """Terms that are whole items of fewer words than a term."""
     if index.shortest >= TERM_WORDS:
         return []
-    out = []
-    for n in range(1, TERM_WORDS):
-        for k in range(len(hashes) - n + 1):
-            value = np.array([sequence(hashes[k : k + n])], np.uint64)
-            out += index.lookup(value)[1].tolist()
-    return out
+    return [t for n in range(1, TERM_WORDS) for t in index.lookup(sequences(hashes, n))[1].tolist()]
 
 
 def _shingles(words: Words, row: int, a: int, b: int, index: Index) -> np.ndarray:
@@ -205,8 +251,7 @@ def _shingles(words: Words, row: int, a: int, b: int, index: Index) -> np.ndarra
     part = Words.__new__(Words)
     part.hash, part.first = hashes, np.array([0, len(hashes)])
     whole = part.grams(SHINGLE_WORDS)[0]
-    brief = [sequence(hashes[k : k + n]) for n in range(1, SHINGLE_WORDS) for k in range(len(hashes) - n + 1)]
-    return np.concatenate([whole, np.array(brief, np.uint64)])
+    return np.concatenate([whole, *(sequences(hashes, n) for n in range(1, SHINGLE_WORDS))])
 
 
 OUT = "doc_id {doc}, item_id {item}, score double, overlap double, question_overlap double, answer_overlap double"
@@ -216,15 +261,20 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     """Pairs of a training document and a test item that it contains, with the best window's
     score and overlaps."""
     rows = texts(docs, id_col, text_col)
-    tests = items.select("item_id", whole_text().alias("text"))
+    tests = items.select("item_id", whole_text().alias("text")).dropDuplicates()
     size = tests.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, math.ceil(size / shard_bytes))
     schema = OUT.format(doc=rows.schema["doc_id"].dataType.simpleString(), item=tests.schema["item_id"].dataType.simpleString())
+    if shards > 1:
+        tests = materialize(tests, "items")
+        whole, df = statistics_of(tests)
     found = None
     for k in range(shards):
-        # Bounded: one shard of the items by hash, about ``shard_bytes`` of text.
-        part = tests.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == k) if shards > 1 else tests
-        index = Index([(r["item_id"], r["text"]) for r in part.collect()])
+        # Bounded: one shard of the items, about ``shard_bytes`` of text, those of one id together.
+        part = tests.filter(F.pmod(F.xxhash64("item_id"), F.lit(shards)) == k) if shards > 1 else tests
+        index = Index([(r["item_id"], r["text"]) for r in part.collect()], of_shard(whole, df, part) if shards > 1 else None)
+        if shards > 1 and not index.ids:
+            continue
         hits = rows.mapInArrow(_search(index, to_arrow_type(tests.schema["item_id"].dataType)), schema)
         found = hits if found is None else found.unionAll(hits)
     return found

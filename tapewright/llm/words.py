@@ -126,8 +126,14 @@ class Words:
 
 def sequence(hashes: np.ndarray) -> int:
     """One hash for a sequence of word hashes."""
-    value = np.uint64(len(hashes))
+    return int(sequences(hashes, len(hashes))[0])
+
+
+def sequences(hashes: np.ndarray, n: int) -> np.ndarray:
+    """The hash that ``sequence`` gives of every ``n`` consecutive word hashes."""
+    size = max(0, len(hashes) - n + 1)
+    value = np.full(size, n, np.uint64)
     with np.errstate(over="ignore"):
-        for h in hashes:
-            value = mix(np.array([value * _BASE + h], np.uint64))[0]
-    return int(value)
+        for k in range(n):
+            value = mix(value * _BASE + hashes[k : k + size])
+    return value

@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from brute import similar
 from pyspark.sql import functions as F
@@ -34,8 +35,6 @@ def test_wand_returns_all_above_the_threshold():
 
 
 def test_words_hash_alike_wherever_they_stand():
-    import pyarrow as pa
-
     words = Words(pa.array(["Ab cd  ef", "", "x", "cd ef gh ab"]))
     assert words.first.tolist() == [0, 3, 3, 4, 8]
     assert words.hash[0] == words.hash[7] and words.hash[1] == words.hash[4] and len(set(words.hash.tolist())) == 5
@@ -54,7 +53,59 @@ def test_leaks(spark, shard_bytes):
             words[at:at] = items[k % 12][1].upper().replace("?", " !").split()
         docs.append((k, " ".join(words)))
     found = leak_search.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), shard_bytes=shard_bytes)
-    assert {(r.doc_id, r.item_id) for r in found.collect()} == {(k, k % 12) for k in range(0, 60, 3)}
+    rows = found.collect()
+    assert {(r.doc_id, r.item_id) for r in rows} == {(k, k % 12) for k in range(0, 60, 3)}
+    # Scores are those of an index of all items, however many shards there are.
+    index = leak_search.Index(items)
+    plain = {(docs[h[0]][0], *h[1:]) for h in leak_search.matches(index, pa.array([t for _, t in docs]))}
+    assert {tuple(r) for r in rows} == plain
+
+
+def test_every_window_against_full_scoring(spark):
+    """Block-max WAND over windows gives what scoring every item for every window gives."""
+    rng = random.Random(8)
+    items = [(k, sentence(rng, rng.choice((2, 4, 9, 40))) + "? " + sentence(rng, rng.choice((1, 3, 12)))) for k in range(30)]
+    index = leak_search.Index(items)
+    texts = []
+    for k in range(40):
+        words = sentence(rng, 300).split()
+        for item in rng.sample(items, 2):
+            inside = item[1].split()
+            if rng.random() < 0.5:
+                del inside[rng.randrange(len(inside))]
+            at = rng.randrange(len(words))
+            words[at:at] = inside
+        texts.append(" ".join(words))
+
+    def all_of(self, terms, threshold):
+        score = {}
+        for t in terms:
+            for item, weight in zip(*self.postings[t], strict=True):
+                score[item] = score.get(item, 0.0) + weight
+        return [(k, v) for k, v in sorted(score.items()) if v + 1e-9 >= threshold]
+
+    full = leak_search.Index(items)
+    full.bound = np.full_like(full.bound, 1.0)  # no window is passed over
+    full.search = all_of.__get__(full)
+    rounded = lambda found: sorted((r, i, round(s, 9), *rest) for r, i, s, *rest in found)
+    got = rounded(leak_search.matches(index, pa.array(texts)))
+    assert got == rounded(leak_search.matches(full, pa.array(texts))) and len(got) > 20
+
+
+def test_items_that_repeat_an_id_are_reported_once(spark):
+    rng = random.Random(4)
+    item = sentence(rng, 20)
+    items = [(1, item), (1, item), (1, item + " more"), (2, sentence(rng, 20))]
+    docs = spark.createDataFrame([(5, f"so {item} more and so on")], "doc_id long, text string")
+    for shard_bytes in (1 << 20, 10):
+        found = leak_search.leaks(docs, spark.createDataFrame(items, "item_id long, text string"), shard_bytes=shard_bytes).collect()
+        assert [(r.doc_id, r.item_id, r.overlap) for r in found] == [(5, 1, 1.0)]
+
+
+def test_short_sequences_hash_like_single_ones():
+    hashes = Words(pa.array(["a b c d e f"])).hash
+    for n in range(1, 7):
+        assert leak_search.sequences(hashes, n).tolist() == [leak_search.sequence(hashes[k : k + n]) for k in range(7 - n)]
 
 
 def test_leak_needs_question_and_answer(spark):
@@ -84,6 +135,17 @@ def test_ranking_learns(spark):
     assert sum((r.score >= pairwise_quality.BORDER) == (r.quality == 1) for r in rows) / len(rows) > 0.95
 
 
+def test_ranking_of_repeated_ids_is_the_same_on_every_run(spark):
+    rng = random.Random(6)
+    rows = [(k % 40, sentence(rng, 30 + k % 50) + "#" * (k % 9)) for k in range(200)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(40)], "doc_id long, quality int")
+    fits = []
+    for parts, part in ((1, rows), (6, rows[::-1])):
+        ranking = pairwise_quality.learn(spark.createDataFrame(part, "doc_id long, text string").repartition(parts), labels)
+        fits.append(ranking.score(pairwise_quality.matrix([t for _, t in rows])).tolist())
+    assert fits[0] == fits[1]
+
+
 def test_ranking_edges(spark):
     docs = spark.createDataFrame([(1, None, 9), (2, "", 9), (None, "a b", 9), (3, "x " * 50_000, 9), (3, "x", 9)], "doc_id long, text string, score int")
     none = spark.createDataFrame([(1, None), (None, 1), (2, 7), (3, 0), (3, 1)], "doc_id long, quality int")
