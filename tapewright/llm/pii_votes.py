@@ -11,9 +11,10 @@ the votes and the kind, fitted to those posteriors) decides which candidates are
 
 Everything on rows is built-in column functions: a match's place follows from the pieces
 between matches, so no shuffle is needed; only the vote pattern counts (at most 27 for
-each kind) reach the driver. Defined results: a NULL or empty text has no spans; rows that
-repeat an id are searched alike; extra columns are ignored. A corpus without candidates
-trains nothing and adds nothing.
+each kind) reach the driver. Defined results: a NULL or empty text has no spans; a very long
+text is searched whole, in time that grows with its length; rows that repeat an id are
+searched alike; extra columns are ignored. A corpus without candidates trains nothing and
+adds nothing; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -27,10 +28,13 @@ from pyspark.sql import functions as F
 from tapewright.llm.columns import whole_text
 
 # The base patterns, each with what a text must hold to be searched at all.
-# Repetitions that nothing follows are possessive: same matches, no deep recursion.
+# Matches are those of the plain patterns, found in linear time. A repetition whose characters
+# cannot be what follows it is possessive. What a match from within an unbroken run needs, one
+# from the beginning of the run needs as well, so a search starts there, or where the last
+# match has ended.
 BASE = {
-    "email": ("@", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)++"),
-    "ip": (".", r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+"),
+    "email": ("@", r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"),
+    "ip": (".", r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"),
     "card": ("", r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){15,18}+(?![\x20-]?[0-9])"),
     "phone": ("+", r"\+[0-9][\x20().0-9-]+[0-9]"),
 }

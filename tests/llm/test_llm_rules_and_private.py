@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
 
-from brute import private, rule_counts
+import pytest
+from brute import PRIVATE, private, rule_counts
 from pyspark.sql import functions as F
 
 from tapewright.llm import divergence, pii_votes
@@ -93,3 +95,25 @@ def test_masking_and_running_sums(spark):
 
 def test_private_empty_table(spark):
     assert pii_votes.digest(pii_votes.private_spans(spark.createDataFrame([], "doc_id long, text string"))).collect() == []
+
+
+def test_base_spans_of_odd_runs(spark):
+    """Strings of the characters that begin, join and end matches, against the plain patterns."""
+    rng = random.Random(12)
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 40))) for alphabet in ("a.@-_", "ab@.%+ é", "12.", "1. 9", "a@b.c_+1") for _ in range(400)]
+    texts += ["a@b.c_d@e.f", "a@b.c..d@e.f", "x@@a@b.c", "1.2.3.4.5.6.7.8", "1.1.1.1@1.1.1.1", "@a.b@c.d@e"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = pii_votes.private_spans(docs).select("doc_id", "spans").collect()
+    for row in found:
+        want = {(k, *s) for k, spans in private(texts[row.doc_id]).items() for s in spans}
+        assert {(s.kind, s.start, s.end) for s in row.spans if s.kind in PRIVATE} == want, texts[row.doc_id]
+
+
+@pytest.mark.parametrize(("unit", "size"), [("y1", 1 << 20), ("1", 1 << 20), ("a.", 1 << 20), ("a-", 1 << 20), ("+1(", 1 << 20), ("a@", 1 << 20), ("1.", 1 << 16)])
+def test_a_long_unbroken_run_is_searched_in_seconds(spark, unit, size):
+    run = unit * (size // len(unit))
+    docs = spark.createDataFrame([(1, f"{run} me@home.org")], "doc_id long, text string")
+    begin = time.monotonic()
+    row = pii_votes.private_spans(docs).select("spans").first()
+    assert time.monotonic() - begin < 20
+    assert ("email", len(run) + 1, len(run) + 12) in {(s.kind, s.start, s.end) for s in row.spans}
