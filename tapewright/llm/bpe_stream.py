@@ -30,12 +30,14 @@ from pyspark.sql import DataFrame
 
 from tapewright.llm.columns import pieces, texts
 
-ENCODED = "doc_id {id}, ids binary, decoded string"
+ENCODED = "doc_id {id}, ids binary, decoded string, text string"
 
 #: Chunks, words and pairs of tokens that each worker remembers; each memory is emptied when full.
 CHUNKS = 400_000
 #: Longest chunk or word that is remembered.
 CHUNK_CHARS = 48
+#: Ids that the decoder takes in at once.
+BLOCK = 4096
 
 
 def byte_symbols() -> list[str]:
@@ -179,10 +181,22 @@ class Codec:
         for token, i in [*model["vocab"].items(), *self.special.items()]:
             self.names[i] = token
         self.symbol = byte_symbols()
-        self.byte = {c: b for b, c in enumerate(self.symbol)}
+        self.raw = self._raw_bytes()
+        self.is_special = np.zeros(len(self.names), bool)
+        self.is_special[list(self.special.values())] = True
         self.known: dict[str, bytes] = {}
         self.chunks = Chunks(self)
 
+    def _raw_bytes(self) -> list[bytes]:
+        """Bytes that each token stands for, with a blank at the end of a word."""
+        byte, suffix = {c: b for b, c in enumerate(self.symbol)}, self.merges.suffix
+        out = []
+        for i, name in enumerate(self.names):
+            ended = bool(suffix) and name.endswith(suffix)
+            body = name[: -len(suffix)] if ended else name
+            out.append(b"" if i in self.special.values() else bytes(byte[c] for c in body) + b" " * ended)
+        return out
+
     def words(self, text: str) -> list[str]:
         """The words of a text without special tokens, normalized."""
         text = unicodedata.normalize("NFC", text)
@@ -223,23 +237,23 @@ class Codec:
         """Names of the tokens, set off by blanks (a vocabulary file without decoder)."""
         return " ".join(map(self.names.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
-    def text(self, ids: Iterable[int]) -> Iterator[str]:
-        """Decoded text, piece by piece, as soon as its bytes are complete.
+    def text(self, ids: bytes) -> Iterator[str]:
+        """Decoded text of ids, piece by piece, as soon as its bytes are complete.
 
         The state is the start of an unfinished character (at most three bytes); bytes
-        that form no character come out as U+FFFD. Word ends become blanks.
+        that form no character come out as U+FFFD. Word ends become blanks, and a special
+        token ends whatever is unfinished. ``BLOCK`` ids are fed to the state at once.
         """
         state = codecs.getincrementaldecoder("utf-8")("replace")
-        special, suffix = set(self.special.values()), self.merges.suffix
-        for i in ids:
-            name = self.names[i]
-            if i in special:
-                yield state.decode(b"", True) + name
-                state.reset()
-                continue
-            ended = bool(suffix) and name.endswith(suffix)
-            raw = bytes(self.byte[c] for c in (name[: -len(suffix)] if ended else name))
-            yield state.decode(raw) + (" " if ended else "")
+        every = np.frombuffer(ids, "<u4")
+        for at in range(0, len(every), BLOCK):
+            part = every[at : at + BLOCK]
+            borders = [0, *(np.flatnonzero(self.is_special[part]) + 1).tolist()]
+            for a, b in zip(borders, [*borders[1:], len(part) + 1]):
+                yield state.decode(b"".join(map(self.raw.__getitem__, part[a : b - 1].tolist())))
+                if b <= len(part):
+                    yield state.decode(b"", True) + self.names[part[b - 1]]
+                    state.reset()
         yield state.decode(b"", True)
 
 
@@ -269,9 +283,10 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     """Encode every whole text and decode it again; ``remembered`` chunks and words stay in each
     worker's memory (about 350 bytes for each).
 
-    Returns ``doc_id``, ``ids`` (little-endian unsigned 32-bit integers) and ``decoded``
-    (the names of the tokens set off by blanks, read back from ``ids``). No shuffle; a
-    task holds a few MB of text at a time, or one text.
+    Returns ``doc_id``, ``ids`` (little-endian unsigned 32-bit integers), ``decoded``
+    (the names of the tokens set off by blanks, read back from ``ids``, as a file without a
+    decoder has it) and ``text`` (what the bytes of the tokens spell, by the state machine).
+    No shuffle; a task holds a few MB of text at a time, or one text.
     """
     rows = texts(docs, id_col, text_col)
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -281,8 +296,13 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
         for piece in pieces(batches):
             ids = [use.encode(t) for t in piece.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [piece.column("doc_id"), pa.array(ids, pa.binary()), pa.array(map(use.tokens, ids), pa.string())],
-                ["doc_id", "ids", "decoded"],
+                [
+                    piece.column("doc_id"),
+                    pa.array(ids, pa.binary()),
+                    pa.array(map(use.tokens, ids), pa.string()),
+                    pa.array(("".join(use.text(i)) for i in ids), pa.string()),
+                ],
+                ["doc_id", "ids", "decoded", "text"],
             )
 
     return rows.mapInArrow(run, ENCODED.format(id=kind))

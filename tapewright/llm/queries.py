@@ -40,6 +40,7 @@ def op3_bpe_stream(spark: SparkSession, folder: str) -> DataFrame:
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"),
     )
 
 
@@ -118,6 +119,7 @@ def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
         removed.alias("n_removed"),
         F.size("removed").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        F.make_valid_utf8(F.col("kept").cast("string")).alias("text"),
     )
 
 
