@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 
 #: What stands before and after each turn.
 HEADER, FOOTER = "<|im_start|>", "<|im_end|>"
+#: Turns hashed in one go.
+BLOCK = 256
 
 
 def conversations(rows: DataFrame) -> DataFrame:
@@ -40,15 +42,23 @@ def conversations(rows: DataFrame) -> DataFrame:
 
 
 def prefixes(turns: Column) -> Column:
-    """Rolling hash of every prefix, from the first turn to the whole conversation."""
-    own = F.transform(turns, lambda t: F.sha2(F.concat_ws("\0", t["role"], t["text"]).cast("binary"), 256))
-    start = F.struct(F.lit("").alias("last"), F.array().cast("array<string>").alias("all"))
+    """Rolling hash of every prefix, from the first turn to the whole conversation.
 
-    def step(acc: Column, h: Column) -> Column:
-        rolled = F.sha2(F.concat(acc["last"], h).cast("binary"), 256)
-        return F.struct(rolled.alias("last"), F.array_append(acc["all"], rolled).alias("all"))
+    In blocks: appending to one long array copies it every time. A block begins with the
+    hash that the block before it has ended with.
+    """
 
-    return F.aggregate(own, start, step)["all"]
+    def rolled(hashes: Column, t: Column) -> Column:
+        own = F.sha2(F.concat_ws("\0", t["role"], t["text"]).cast("binary"), 256)
+        return F.array_append(hashes, F.sha2(F.concat(F.element_at(hashes, -1), own).cast("binary"), 256))
+
+    def block(blocks: Column, first: Column) -> Column:
+        last = F.element_at(F.element_at(blocks, -1), -1)
+        return F.array_append(blocks, F.aggregate(F.slice(turns, first + 1, F.lit(BLOCK)), F.array(last), rolled))
+
+    starts = F.sequence(F.lit(0), F.size(turns) - 1, F.lit(BLOCK))
+    blocks = F.aggregate(starts, F.array(F.array(F.lit(""))), block)
+    return F.flatten(F.transform(F.slice(blocks, F.lit(2), F.size(blocks)), lambda b: F.slice(b, F.lit(2), F.size(b))))
 
 
 def maximal(hashed: DataFrame) -> DataFrame:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+
+from pyspark.sql import functions as F
+
 from tapewright.llm import site_templates, snapshots
 
 
@@ -102,3 +106,16 @@ def test_repeated_turns_are_dropped_before_they_are_collected(spark):
     plan = convs._jdf.queryExecution().optimizedPlan().toString().splitlines()
     collects = [k for k, line in enumerate(plan) if "collect_list" in line]
     assert collects and any("Aggregate [conv_id" in line and ", t" in line for line in plan[collects[-1] + 1 :])
+
+
+def test_prefix_hashes_of_long_conversations(spark):
+    """Blocks give the hashes that rolling over all turns gives; thousands of turns take seconds."""
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    rows = [(c, k, "user", f"turn {k}") for c, n in ((1, 1), (2, snapshots.BLOCK), (3, snapshots.BLOCK + 1), (4, 5000)) for k in range(n)]
+    convs = snapshots.conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    for conv_id, size, hashes in convs.select("conv_id", F.size("turns"), snapshots.prefixes(F.col("turns"))).collect():
+        last, want = "", []
+        for k in range(size):
+            last = sha(last + sha(f"user\0turn {k}"))
+            want.append(last)
+        assert hashes == want, conv_id
