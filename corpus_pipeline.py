@@ -70,7 +70,8 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every document (little-endian unsigned 32-bit integers) and their number."""
     bounded_batches(spark)
     coded = bpe_stream.encode_decode(docs, public_tokenizers.path("word_bpe_49k.json"), remembered=250_000)
-    return coded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+    digests = (F.sha2(F.col(c).cast("binary"), 256).alias(f"{c}_sha256") for c in ("decoded", "text"))
+    return coded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", *digests)
 
 
 STAGES = [
