@@ -517,7 +517,17 @@ def repeated_ranges(rows: DataFrame, length: int, gram: int, crowd: int = CROWD)
     each = hits.select("doc_id", "version", "first", F.explode(F.coalesce("ranges", all_of)).alias("r"))
     span = F.struct((F.col("first") + F.col("r.a")).alias("start"), (F.col("first") + F.col("r.b") + length).alias("end"))
     # Rows that repeat an id with the same text bring the same spans; sets drop them before the shuffle.
-    return each.groupBy("doc_id", "version").agg(F.collect_set(span).alias("ranges"))
+    spans = each.groupBy("doc_id", "version").agg(F.collect_set(span).alias("ranges"))
+    # Contexts overlap, so the runs they make together are far fewer than they are.
+    kind = spans.schema["doc_id"].dataType.simpleString()
+    return spans.mapInArrow(_joined, f"doc_id {kind}, version long, ranges array<struct<start:int,end:int>>")
+
+
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    runs = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+    for batch in batches:
+        found = [[{"start": a, "end": b} for a, b in merged(r)] for r in batch.column("ranges").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("version"), pa.array(found, runs)], ["doc_id", "version", "ranges"])
 
 
 def merged(ranges: list[dict[str, int]]) -> list[tuple[int, int]]:
