@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 
 from pyspark.sql import functions as F
 
@@ -64,6 +65,91 @@ def test_every_top_level_article_stays():
     assert text(f"<main>{long}</main><main>Short.</main><article class='ad'>no</article>") == f"{long.strip()}\nShort."
 
 
+def linked_menu(k):
+    """Furniture of a site without articles: its links differ on every page."""
+    return f'<div class="x{k}"><div>Filed under <a href="/{k}">topic{k}</a> by <a>author{k * 7}</a> at the desk</div><ul><li>See also <a>s{k}s{k + 1}</a></ul></div>'
+
+
+def test_furniture_that_differs_only_in_its_links(spark):
+    def story(k):
+        return f'<div class="s"><p>Story {k} begins <a>here</a>.</p><div>It goes on, part {k * k}, for a good while.</div></div>'
+
+    rows = [(k, f"http://a.example/{k}", f"<body>{linked_menu(k)}{story(k)}</body>", 0) for k in range(15)]
+    rows += [(100 + k, f"http://b.example/{k}", f"<body>{linked_menu(k)}{story(k)}</body>", 0) for k in range(3)]
+    # Inside an article a quarter of links is prose; a list that is all links goes.
+    inside = "<article><p>Part {0}.</p><div>Seen by <a>friends{0}</a> of the house</div><ul class='more'><li><a>next{0}</a><li><a>last{0}</a></ul></article>"
+    rows += [(200 + k, f"http://c.example/{k}", inside.format(k), 0) for k in range(15)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string, text int")
+    got = {r.page_id: r.text for r in site_templates.main_text(frame).collect()}
+    off = {r.page_id: r.text for r in site_templates.main_text(frame, min_pages=1000).collect()}
+    for k in range(15):
+        assert got[k] == f"Story {k} begins here.\nIt goes on, part {k * k}, for a good while."
+        assert off[k].startswith(f"Filed under topic{k} by author{k * 7} at the desk\nSee also s{k}s{k + 1}\n") and off[k].endswith(got[k])
+        assert got[200 + k] == f"Part {k}.\nSeen by friends{k} of the house"
+    # Three pages are no evidence.
+    assert all(got[100 + k] == off[100 + k] for k in range(3))
+
+
+def test_words_in_classes_of_an_article():
+    assert text('<article><p>a</p><div class="legal side-effects related">b</div><section class="menu">c</section><header>d</header></article>') == "a\nb\nc\nd"
+    assert text('<article><p>a</p><div class="box ad">b</div><div class="comments">c</div><nav>d</nav></article>') == "a"
+    assert text('<div><p>a</p></div><div class="side-menu">b</div>') == "a"
+
+
+def brute_templates(rows, min_pages, share):
+    """Hosts' templates by plain sets over all subtrees."""
+    from collections import defaultdict
+
+    pages, seen = defaultdict(set), defaultdict(lambda: defaultdict(lambda: (0, 0)))
+    for _, url, source, _ in rows:
+        nodes = site_templates.parse(source or "")
+        site = site_templates.host(url)
+        main = b"".join(n.digest for n in site_templates.scope(nodes))
+        pages[site].add(main)
+        kept = {at for at, _ in site_templates.marked(nodes)}
+        for c in site_templates.candidates(nodes, list(kept)):
+            assert any(c.at <= at <= c.last for at in kept)
+            at = seen[site, c.tree, c.inner, c.masked]
+            at[main] = tuple(map(max, at[main], (c.linked, c.size)))
+    out = set()
+    for key, mains in seen.items():
+        linked, size = (sum(v[k] for v in mains.values()) for k in (0, 1))
+        if len(mains) >= min_pages and len(mains) >= share * len(pages[key[0]]):
+            if not key[3] or linked >= site_templates.LINKED[key[2]] * size:
+                out.add(key)
+    return out
+
+
+def test_templates_against_plain_counts(spark):
+    rng = random.Random(5)
+    parts = ["<div>Box <b>one</b></div>", "<ul><li>x<li><a>y</a></ul>", "<section><div>Deep</div><div>Box</div></section>", "<p>Same.</p>"]
+    rows = []
+    for k in range(160):
+        body = "".join(rng.choice(parts) if rng.random() < 0.7 else f"<div class='c{k}'>n <a>{rng.random()}</a></div>" for _ in range(rng.randrange(5)))
+        body = f"<article>{body}</article>" if rng.random() < 0.2 else body
+        rows.append((k, rng.choice(["http://a/1", "http://b/2", None, "x"]), rng.choice([body, body, None]), 0))
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string, text int")
+    trees = site_templates.parsed(site_templates._keyed(frame, "page_id", "url", "html"))
+    for min_pages, share in ((1, 0.0), (3, 0.1), (10, 0.3)):
+        found = {tuple(r) for r in site_templates.templates(trees, min_pages, share).collect()}
+        assert found == brute_templates(rows, min_pages, share)
+    # The text is that of a second parse with the subtrees deleted one by one.
+    gone = brute_templates(rows, 3, 0.1)
+    want = {}
+    for k, url, source, _ in rows:
+        nodes = site_templates.parse(source or "")
+        places = site_templates.candidates(nodes, [at for at, _ in site_templates.marked(nodes)])
+        deleted = frozenset(c.at for c in places if (site_templates.host(url), c.tree, c.inner, c.masked) in gone)
+        want[k] = "\n".join(site_templates.blocks(nodes, deleted))
+    assert {r.page_id: r.text for r in site_templates.main_text(frame, min_pages=3, share=0.1).collect()} == want
+
+
+def test_long_page(spark):
+    source = "<div>" + "<p>word &amp; <a>link</a></p>" * 60_000 + "</div>" + "<section>" * 3000 + "deep"
+    got = pages_of(spark, [(1, "http://a/", source, 0)])
+    assert got[1] == "\n".join(["word & link"] * 60_000 + ["deep"])
+
+
 def test_page_edges(spark):
     page = "<p>x</p>"
     rows = [(1, None, page, 0), (2, "http://h/", None, 0), (3, "no host", "", 0), (None, "http://h/", page, 0), (4, "http://h/", page, 0), (4, "http://h/", page, 0)]
