@@ -3,20 +3,23 @@
 Base rules count words, symbols, repeated lines and repeated five-word windows. The test
 compares two histograms of a document with those of its language, each by Jensen-Shannon
 distance (base 2, 0 to 1): how its characters fall into classes, and how its words fall
-on the language's commonest words. A reference is the sum over all documents of that
-language that pass the base rules, every document counted with equal weight. A document
-that is too short for a histogram is not judged by it, and a language with fewer than
-``MIN_DOCS`` such documents has no reference: both guards keep the document.
+on the language's commonest words. A reference is the mean over all documents of that
+language that pass the base rules, every document counted with equal weight, and over
+``POOLED`` documents more that look like the mean of all languages in the same kind of
+script (with or without small and capital letters): a language of few documents is judged
+by the pool, one of many by itself, and nothing changes at a count. A document that is too
+short for a histogram is not judged by it, and this guard keeps it.
 
 Everything is built-in column functions on one row; only the small references need a
 shuffle. Defined results: a NULL or empty text has no words and fails the base rules;
-rows that repeat an id are judged alike; a NULL language is a language of its own; extra
-columns are ignored.
+rows that repeat an id with one text are judged alike; a NULL language is a language of its
+own; a distance that equals its limit keeps the document; an empty table gives no rows; extra
+columns are ignored. A long text is one row of one task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapewright.llm.columns import whole_text
@@ -28,7 +31,8 @@ WINDOW = 5
 #: Guards: shorter documents are not compared.
 MIN_CLASS_CHARS = 200
 MIN_COMMON_WORDS = 50
-MIN_DOCS = 20
+#: Weight of the mean of all languages in a reference, as a number of documents.
+POOLED = 20
 #: Greatest distance of prose of the language: of very long documents, and what is added to
 #: it divided by the square root of the characters or words.
 CLASS_LIMIT = (0.145, 1.6)
@@ -68,7 +72,7 @@ def jensen_shannon(p: Column, q: Column) -> Column:
         return F.when(a > 0, a * F.log2(2 * a / (a + b))).otherwise(0.0)
 
     terms = F.zip_with(p, q, lambda a, b: part(a, b) + part(b, a))
-    return F.sqrt(F.greatest(F.lit(0.0), F.aggregate(terms, F.lit(0.0), lambda acc, x: acc + x) / 2))
+    return F.when(p.isNotNull() & q.isNotNull(), F.sqrt(F.greatest(F.lit(0.0), F.aggregate(terms, F.lit(0.0), lambda acc, x: acc + x) / 2)))
 
 
 def limit(at_large: float, noise: float, size: Column) -> Column:
@@ -178,23 +182,42 @@ def base_failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))
 
 
+def uncased() -> Column:
+    """Whether most letters of a document have no case, as far as its classes tell."""
+    lower, upper, rest = (F.get(F.col("class_share"), k) for k in (0, list(CLASSES).index("upper"), len(CLASSES)))
+    return F.coalesce(rest > lower + upper, F.lit(False))
+
+
 def references(rows: DataFrame) -> DataFrame:
-    """Mean histograms by language, over all documents that pass the base rules and guards."""
+    """Mean histograms by language and kind of script, over all documents that pass the base rules
+    and guards, with the pool of all languages mixed in."""
+    sizes = {"class_share": len(CLASSES) + 1, "word_share": 1 + max(len(w.split()) for w in COMMON_WORDS.values())}
 
-    def mean(name: str, size: int) -> list[Column]:
-        return [F.avg(F.get(F.col(name), k)).alias(f"{name}_{k}") for k in range(size)]
+    def passed(name: str) -> Column:
+        return F.when(~base_failed(), F.col(name))
 
-    def array(name: str, size: int) -> Column:
-        return F.when(F.col(f"{name}_0").isNotNull(), F.array(*(f"{name}_{k}" for k in range(size)))).alias(f"ref_{name}")
+    sums = [F.sum(F.get(passed(n), k)).alias(f"{n}_{k}") for n, size in sizes.items() for k in range(size)]
+    each = rows.groupBy("lang", uncased().alias("uncased")).agg(*(F.count(passed(n)).alias(f"{n}_docs") for n in sizes), *sums)
 
-    sizes = {"class_share": len(CLASSES) + 1, "word_share": 1 + max(len(w.split()) for w in COMMON_WORDS.values())}
-    whole = rows.filter(~base_failed()).groupBy("lang").agg(F.count(F.lit(1)).alias("n_docs"), *(c for n, k in sizes.items() for c in mean(n, k)))
-    return whole.filter(F.col("n_docs") >= MIN_DOCS).select(F.col("lang").alias("ref_lang"), *(array(n, k) for n, k in sizes.items()))
+    # These windows see one row for each language and kind of script.
+    own, pool = Window.partitionBy("lang"), Window.partitionBy("uncased")
+
+    def mixed(name: str, size: int) -> Column:
+        n, all_ = F.sum(f"{name}_docs").over(own), F.sum(f"{name}_docs").over(pool)
+        weight = F.when(all_ > 0, F.lit(float(POOLED))).otherwise(0.0)
+
+        def share(k: int) -> Column:
+            mine, theirs = (F.coalesce(F.sum(f"{name}_{k}").over(w), F.lit(0.0)) for w in (own, pool))
+            return (mine + weight * F.coalesce(F.try_divide(theirs, all_), F.lit(0.0))) / (n + weight)
+
+        return F.when(n + weight > 0, F.array(*map(share, range(size)))).alias(f"ref_{name}")
+
+    return each.select(F.col("lang").alias("ref_lang"), F.col("uncased").alias("ref_uncased"), *(mixed(n, k) for n, k in sizes.items()))
 
 
 def judged(rows: DataFrame, refs: DataFrame) -> DataFrame:
     """The counts with both distances and the verdict ``kept``."""
-    joined = rows.join(refs, rows["lang"].eqNullSafe(refs["ref_lang"]), "left")
+    joined = rows.join(refs, rows["lang"].eqNullSafe(refs["ref_lang"]) & (uncased() == refs["ref_uncased"]), "left")
     joined = joined.withColumns({f"{n}_distance": jensen_shannon(F.col(f"{n}_share"), F.col(f"ref_{n}_share")) for n in ("class", "word")})
     far = (F.col("class_distance") > limit(*CLASS_LIMIT, F.col("word_chars"))) | (F.col("word_distance") > limit(*WORD_LIMIT, F.col("n_words")))
     return joined.select(

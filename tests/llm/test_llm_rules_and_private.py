@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
+import re
 import time
 
 import pytest
@@ -42,6 +44,59 @@ def test_rule_edges(spark):
     assert judged(spark, []) == []
 
 
+def shares_of(text, lang):
+    """Both histograms of a text by plain counting, or None."""
+    import unicodedata
+
+    words, counts = [w for w in re.split(r"[\x20\x09-\x0D]+", text) if w], [0] * 6
+    for c in text:
+        kind = unicodedata.category(c)
+        marks = c in ".,;:!?'\"()-"
+        counts[0 if kind == "Ll" else 1 if c in " \n\t" else 2 if kind == "Lu" else 3 if kind[0] == "N" else 4 if marks else 5] += 1
+    commons = None
+    if len(words) >= divergence.MIN_COMMON_WORDS and lang in divergence.COMMON_WORDS:
+        table = divergence.COMMON_WORDS[lang].split()
+        plain = [w.strip(".,;:!?'\"()").lower() for w in words]
+        commons = [plain.count(w) / len(words) for w in table] + [0.0] * (20 - len(table))
+        commons.append(1 - sum(commons))
+    return ([x / len(text) for x in counts] if sum(map(len, words)) >= divergence.MIN_CLASS_CHARS else None), commons
+
+
+def far(p, q):
+    if p is None or q is None:
+        return None
+    each = lambda a, b: a * math.log2(2 * a / (a + b)) if a > 0 else 0.0
+    return math.sqrt(max(0.0, sum(each(a, b) + each(b, a) for a, b in zip(p, q)) / 2))
+
+
+def test_distances_against_plain_counts(spark):
+    rng = random.Random(3)
+    han = "".join(map(chr, range(0x4E00, 0x4E40)))
+    strange = "".join(rng.choice("0123456789%#=") for _ in range(900))
+    strange = " ".join(strange[k : k + 7] for k in range(0, 900, 7))
+    docs = [(prose(rng, rng.choice([8, 60, 300])), rng.choice(["en", "en", "en", "sv", None])) for _ in range(90)]
+    docs += [(prose(rng, 120), lang) for lang in ("it", "pt", "pt")]
+    docs += [(" ".join("".join(rng.choice(han) for _ in range(9)) for _ in range(60)), "zh") for _ in range(3)]
+    docs += [(strange.translate(str.maketrans("%#=", "123")), lang) for lang in ("en", "it", "nl")]
+    rows = [(k, t, lang) for k, (t, lang) in enumerate(docs)]
+    got = {r.doc_id: r for r in judged(spark, rows)}
+    hist = [shares_of(t, lang) for t, lang in docs]
+    uncased = [h is not None and h[5] > h[0] + h[2] for h, _ in hist]
+    for which, name in enumerate(("class_distance", "word_distance")):
+        passed = [k for k in got if not got[k].base_failed and hist[k][which]]
+        for k in got:
+            own = [hist[j][which] for j in passed if docs[j][1] == docs[k][1]]
+            pool = [hist[j][which] for j in passed if uncased[j] == uncased[k]]
+            weight = divergence.POOLED / len(pool) if pool else 0.0
+            size = len(own) + (divergence.POOLED if pool else 0)
+            ref = [(sum(a) + weight * sum(b)) / size for a, b in zip(zip(*own) if own else [()] * 21, zip(*pool) if pool else [()] * 21)] if size else None
+            want = far(hist[k][which], ref)
+            assert got[k][name] == (None if want is None else pytest.approx(want, abs=1e-6)), (k, name)
+    # Digits are caught in languages of any size; clean texts of small languages stay, in every script.
+    assert [got[k].kept for k in range(90, 99)] == [True] * 6 + [False] * 3
+    assert all(got[k].kept for k in range(90) if not got[k].base_failed)
+
+
 def test_divergence_is_a_distance(spark):
     p, q = F.array(F.lit(0.5), F.lit(0.5), F.lit(0.0)), F.array(F.lit(0.0), F.lit(0.0), F.lit(1.0))
     row = spark.range(1).select(divergence.jensen_shannon(p, q).alias("far"), divergence.jensen_shannon(p, p).alias("near")).first()
