@@ -14,31 +14,28 @@ _TYPES = {
 }
 
 
-def _record(*fields: str) -> T.StructType:
-    """A flat layout from ``name TYPE`` texts (needs no running session)."""
-    layout = T.StructType()
-    for text in fields:
-        name, kind = text.split()
-        layout = layout.add(name, _TYPES[kind])
-    return layout
+def _record(fields: str) -> T.StructType:
+    """A flat layout from ``name TYPE, name TYPE`` (needs no running session)."""
+    pairs = [text.split() for text in fields.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 # --- fixed values: record layouts, which must equal the published messages and tables ---
 
 TRADE = _record(
-    *("symbol STRING", "trade_id BIGINT", "price DOUBLE", "quantity DOUBLE", "trade_time BIGINT"),
-    *("is_buyer_maker BOOLEAN", "is_best_match BOOLEAN", "event_time BIGINT", "ingestion_time BIGINT"),
+    "symbol STRING, trade_id BIGINT, price DOUBLE, quantity DOUBLE, trade_time BIGINT, "
+    "is_buyer_maker BOOLEAN, is_best_match BOOLEAN, event_time BIGINT, ingestion_time BIGINT"
 )
 
 KLINE = _record(
-    *("symbol STRING", "interval STRING", "open_time BIGINT", "close_time BIGINT", "open DOUBLE", "high DOUBLE"),
-    *("low DOUBLE", "close DOUBLE", "volume DOUBLE", "quote_volume DOUBLE", "trades_count INT"),
-    *("taker_buy_volume DOUBLE", "is_closed BOOLEAN", "event_time BIGINT", "ingestion_time BIGINT"),
+    "symbol STRING, interval STRING, open_time BIGINT, close_time BIGINT, open DOUBLE, high DOUBLE, "
+    "low DOUBLE, close DOUBLE, volume DOUBLE, quote_volume DOUBLE, trades_count INT, "
+    "taker_buy_volume DOUBLE, is_closed BOOLEAN, event_time BIGINT, ingestion_time BIGINT"
 )
 
-BOOK_TOP = _record("symbol STRING", "best_bid DOUBLE", "best_ask DOUBLE", "spread DOUBLE", "timestamp BIGINT")
+BOOK_TOP = _record("symbol STRING, best_bid DOUBLE, best_ask DOUBLE, spread DOUBLE, timestamp BIGINT")
 
-_LEVELS = T.ArrayType(_record("price DOUBLE", "quantity DOUBLE"))
+_LEVELS = T.ArrayType(_record("price DOUBLE, quantity DOUBLE"))
 BOOK = T.StructType(
     [
         T.StructField("symbol", T.StringType()),
@@ -50,16 +47,16 @@ BOOK = T.StructType(
 
 #: Exchange wire formats: short keys, numbers as strings. Keys differ only by case, so
 #: a decoded record is renamed by position to the matching ``*_NAMES`` layout.
-RAW_TRADE = _record("e STRING", "E BIGINT", "s STRING", "t BIGINT", "p STRING", "q STRING", "T BIGINT", "m BOOLEAN", "M BOOLEAN")
+RAW_TRADE = _record("e STRING, E BIGINT, s STRING, t BIGINT, p STRING, q STRING, T BIGINT, m BOOLEAN, M BOOLEAN")
 RAW_TRADE_NAMES = (
     "struct<kind:string,event_time:bigint,symbol:string,trade_id:bigint,price:string,quantity:string,"
     "trade_time:bigint,is_buyer_maker:boolean,is_best_match:boolean>"
 )
-RAW_KLINE = _record("e STRING", "E BIGINT").add(
+RAW_KLINE = _record("e STRING, E BIGINT").add(
     "k",
     _record(
-        *("s STRING", "i STRING", "t BIGINT", "T BIGINT", "o STRING", "h STRING", "l STRING", "c STRING"),
-        *("v STRING", "q STRING", "n BIGINT", "V STRING", "x BOOLEAN"),
+        "s STRING, i STRING, t BIGINT, T BIGINT, o STRING, h STRING, l STRING, c STRING, v STRING, q STRING, "
+        "n BIGINT, V STRING, x BOOLEAN"
     ),
 )
 RAW_KLINE_NAMES = (
@@ -70,12 +67,12 @@ RAW_KLINE_NAMES = (
 _PAIRS = T.ArrayType(T.ArrayType(T.StringType()))
 RAW_DEPTH = T.StructType().add("bids", _PAIRS).add("asks", _PAIRS)
 
-SYMBOL_METADATA = _record("symbol STRING", "name STRING", "base STRING", "category STRING", "rank INT")
+SYMBOL_METADATA = _record("symbol STRING, name STRING, base STRING, category STRING, rank INT")
 
 CANDLE = _record(
-    *("symbol STRING", "interval STRING", "open_time BIGINT", "close_time BIGINT", "open DOUBLE", "high DOUBLE"),
-    *("low DOUBLE", "close DOUBLE", "volume DOUBLE", "quote_volume DOUBLE", "trades BIGINT"),
-    *("taker_buy_volume DOUBLE", "vwap DOUBLE"),
+    "symbol STRING, interval STRING, open_time BIGINT, close_time BIGINT, open DOUBLE, high DOUBLE, "
+    "low DOUBLE, close DOUBLE, volume DOUBLE, quote_volume DOUBLE, trades BIGINT, "
+    "taker_buy_volume DOUBLE, vwap DOUBLE"
 )
 
 #: The stored candle table: one fixed layout for every writer, so partitions written by
@@ -84,10 +81,10 @@ CANDLE = _record(
 STORED_CANDLE = T.StructType(
     [
         *CANDLE.fields,
-        *_record("name STRING", "category STRING", "is_closed BOOLEAN", "price_change_pct DOUBLE").fields,
-        *_record("candle_type STRING", "body_size DOUBLE", "upper_shadow DOUBLE", "lower_shadow DOUBLE").fields,
-        *_record("first_open_time BIGINT", "last_close_time BIGINT", "event_time BIGINT").fields,
-        *_record("created_at STRING", "source STRING", "date STRING").fields,
+        *_record("name STRING, category STRING, is_closed BOOLEAN, price_change_pct DOUBLE").fields,
+        *_record("candle_type STRING, body_size DOUBLE, upper_shadow DOUBLE, lower_shadow DOUBLE").fields,
+        *_record("first_open_time BIGINT, last_close_time BIGINT, event_time BIGINT").fields,
+        *_record("created_at STRING, source STRING, date STRING").fields,
     ]
 )
 
@@ -112,18 +109,9 @@ PARTITION_SPAN = {"1m": "day", "5m": "day", "1h": "month", "4h": "month", "1d":
 
 #: A served prediction.
 PREDICTION = _record(
-    "symbol STRING",
-    "open_time BIGINT",
-    "close DOUBLE",
-    "predicted_price DOUBLE",
-    "predicted_change_pct DOUBLE",
-    "direction STRING",
-    "prediction_time STRING",
-    "target_time STRING",
-    "return_1 DOUBLE",
-    "rsi DOUBLE",
-    "volatility_5 DOUBLE",
-    "volume_ratio DOUBLE",
+    "symbol STRING, open_time BIGINT, close DOUBLE, predicted_price DOUBLE, predicted_change_pct DOUBLE, "
+    "direction STRING, prediction_time STRING, target_time STRING, return_1 DOUBLE, rsi DOUBLE, "
+    "volatility_5 DOUBLE, volume_ratio DOUBLE"
 )
 
 #: Candle widths in milliseconds.

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from datetime import date, timedelta
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,6 +45,9 @@ def _file(spark: SparkSession, path: str):
     return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+#: Files whose changes one round of a compaction folds.
+FILES_AT_ONCE = 10_000
+
 #: Columns a stored change has besides the table's: which fields it carries, and when it was
 #: written (microseconds).
 CHANGE = T.StructType().add("_given", T.ArrayType(T.StringType())).add("_at", T.LongType())
@@ -119,11 +125,28 @@ class KeyedTable:
         The folded rows are added first and the files they came from deleted after that:
         a compaction that is cut off leaves changes twice, which read the same, and files
         that other writers add meanwhile stay. ``where`` may name partition columns only.
+        Partitions are folded some at a time, so that the driver holds the paths of about
+        ``FILES_AT_ONCE`` files, or of one partition that has more.
         """
         changes = self.changes(spark) if where is None else self.changes(spark).where(where)
-        old = [r[0] for r in changes.select("_metadata.file_path").distinct().collect()]
-        if not old:
-            return 0
+        files = changes.select(*self.partitions, F.col("_metadata.file_path").alias("_file")).distinct()
+        sizes = files.groupBy(*self.partitions).count().orderBy(*self.partitions).collect()
+        return sum(self._fold(spark, changes, chosen) for chosen in self._rounds(sizes))
+
+    def _rounds(self, sizes: list[Row]) -> Iterator[Column]:
+        """Filters that select partitions of about ``FILES_AT_ONCE`` files together."""
+        chosen, files = F.lit(False), 0
+        for size in sizes:
+            if files and files + size["count"] > FILES_AT_ONCE:
+                yield chosen
+                chosen, files = F.lit(False), 0
+            same = (F.col(c).eqNullSafe(F.lit(size[c])) for c in self.partitions)
+            chosen, files = chosen | reduce(and_, same), files + size["count"]
+        if files:
+            yield chosen
+
+    def _fold(self, spark: SparkSession, changes: DataFrame, chosen: Column) -> int:
+        old = [r[0] for r in changes.where(chosen).select("_metadata.file_path").distinct().collect()]
         listed = spark.read.schema(changes.schema).option("basePath", self.path).parquet(*old)
         write_partitions(self._newest(listed), self.path, self.partitions, "append")
         for name in old:

@@ -103,6 +103,20 @@ def test_compaction_keeps_what_reads_show(spark, tmp_path, monkeypatch):
     assert show() == want and table.changes(spark).count() == len(want)
 
 
+def test_compaction_in_rounds(spark, tmp_path, monkeypatch):
+    table = sinks.CandleTable(str(tmp_path / "t"), ["event_time"])
+    for k in range(3):
+        table.upsert(spark.createDataFrame([(s, "1m", d * DAY, float(k), k) for s in "AB" for d in range(4)], ORDERED))
+    want = rows_of(table.read(spark), "symbol", "open_time", "close")
+    rounds = []
+    fold = sinks.KeyedTable._fold
+    monkeypatch.setattr(sinks, "FILES_AT_ONCE", 6)
+    monkeypatch.setattr(sinks.KeyedTable, "_fold", lambda *a: rounds.append(fold(*a)) or rounds[-1])
+    assert table.compact(spark) == 12 and rounds == [6, 6]
+    assert rows_of(table.read(spark), "symbol", "open_time", "close") == want and table.changes(spark).count() == 8
+    assert table.compact(spark, F.col("date") == "2999-01-01") == 0
+
+
 def test_empty_upsert_changes_nothing(spark, tmp_path):
     table = sinks.CandleTable(str(tmp_path / "t"))
     empty = spark.createDataFrame([], SCHEMA)
