@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -161,6 +162,68 @@ def test_border_lies_between_the_classes():
     assert (ranking.score(good) > pairwise_quality.BORDER).all() and (ranking.score(bad) < pairwise_quality.BORDER).all()
 
 
+def labelled(rng, n_good, n_bad):
+    """Rows that are not held out, with unlike features and labels that overlap."""
+    rows, k = [], 0
+    while len(rows) < n_good + n_bad:
+        k += 1
+        if zlib.crc32(str(k).encode()) % 5:
+            good = len(rows) < n_good
+            rows.append((k, sentence(rng, rng.randint(3, 12)) + "#" * rng.randint(0, 4 if good else 9) + "A" * rng.randint(0, 6), int(good)))
+    rng.shuffle(rows)
+    x = pairwise_quality.matrix([t for _, t, _ in rows])
+    return rows, x, np.array([label for *_, label in rows])
+
+
+def tables(spark, rows):
+    return spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string"), spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, quality int")
+
+
+def border_of(ranking, x, label):
+    s = np.sort(ranking.strength(x))
+    n_bad = int((label == 0).sum())
+    return (s[n_bad - 1] + s[n_bad]) / 2
+
+
+def test_ranking_uses_every_labelled_row(spark):
+    rows, x, label = labelled(random.Random(11), 4700, 4500)
+    ranking = pairwise_quality.learn(*tables(spark, rows))
+    assert np.allclose(ranking.mean, x.mean(0), rtol=1e-12, atol=1e-15)
+    assert np.allclose(ranking.scale, np.maximum(x.std(0), 1e-6), rtol=1e-9)
+    assert abs(ranking.border - border_of(ranking, x, label)) < 1e-9
+
+
+@pytest.mark.parametrize("n_good, n_bad, group", [(400, 300, 50), (3, 500, 40), (500, 1, 40), (60, 60, 1)])
+def test_ranking_in_groups(spark, monkeypatch, n_good, n_bad, group):
+    monkeypatch.setattr(pairwise_quality, "NEAR", 5)
+    monkeypatch.setattr(pairwise_quality, "BINS", 4)
+    rows, x, label = labelled(random.Random(n_good + group), n_good, n_bad)
+    docs, labels = tables(spark, rows)
+    ranking = pairwise_quality.learn(docs, labels, group=group)
+    assert np.allclose(ranking.mean, x.mean(0), rtol=1e-12, atol=1e-15) and ranking.weights.any()
+    assert abs(ranking.border - border_of(ranking, x, label)) < 1e-9
+    # Every group has rows of both labels, and every row is one group's own.
+    found = docs.join(labels, "doc_id").selectExpr("doc_id", "quality as label", f"array_repeat(doc_id * 1d, {len(pairwise_quality.FEATURES)}) as x")
+    parts = pairwise_quality.grouped(found, {0: n_bad, 1: n_good}, group).collect()
+    assert all(r.good and r.bad for r in parts) or group == 1
+    for side, k in (("good", 1), ("bad", 0)):
+        ids = [np.frombuffer(r[side]).reshape(-1, len(pairwise_quality.FEATURES))[np.frombuffer(r[f"own_{side}"], bool), 0] for r in parts]
+        assert sorted(np.concatenate(ids).astype(int).tolist()) == sorted(i for i, _, q in rows if q == k)
+    if group > 1:
+        whole = pairwise_quality.fit(x[label == 1], x[label == 0], n_bad / len(rows))
+        assert np.corrcoef(whole.strength(x), ranking.strength(x))[0, 1] > 0.98
+
+
+def test_border_among_equal_scores():
+    x = np.zeros((90, len(pairwise_quality.FEATURES)))
+    x[:40, 0] = 1
+    x[85:, 0] = -1
+    ranking = pairwise_quality.fit(x[:60], x[60:], 1 / 3)
+    assert ranking.border == ranking.strength(x)[50]
+    ranking = pairwise_quality.fit(x[:40], x[40:], 50 / 90)
+    assert ranking.border == (ranking.strength(x)[50] + ranking.strength(x)[0]) / 2
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
